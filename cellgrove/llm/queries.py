@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, packing, secrets, token_counts
+from . import chat, decontaminate, exact_dedup, lines, ngram_join, packing, quality, secrets, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.report(_table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -39,6 +47,14 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(_table(spark, sf_dir, "documents"))
+
+
 _OP1_SQL = r"""
 WITH turns AS (
   SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -60,6 +76,42 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+_OP3_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM pairs p JOIN n x ON p.a = x.doc_id JOIN n y ON p.b = y.doc_id WHERE 100 * c >= 80 * (x.n + y.n - c)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, e.b FROM reach r JOIN edges e ON r.y = e.a
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) r USING (doc_id)
+"""
+
+_OP10_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+u AS (SELECT doc_id, i, len(l) AS n, l[i] AS line, list_sum([0] || [length(x) + 1 FOR x IN l[1 : i - 1]]) AS start FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM d)),
+v AS (SELECT *, [x FOR x IN string_split_regex(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '\s+') IF x <> ''] AS w FROM u),
+r AS (SELECT *, CASE WHEN len(w) >= 5 THEN first_value(doc_id) OVER o END AS first_doc, len(w) >= 5 AND row_number() OVER o > 1 AS gone
+      FROM v WINDOW o AS (PARTITION BY CASE WHEN len(w) >= 5 THEN array_to_string(w, ' ') ELSE doc_id || ':' || i END ORDER BY doc_id, i)),
+f AS (SELECT doc_id, string_agg(CAST(first_doc AS VARCHAR), ',' ORDER BY first_doc) AS first_docs FROM (SELECT DISTINCT doc_id, first_doc FROM r WHERE gone) GROUP BY doc_id),
+c AS (SELECT doc_id, string_agg(CASE WHEN gone THEN '' ELSE line || CASE WHEN i < n THEN chr(10) ELSE '' END END, '' ORDER BY i) AS clean,
+             count(CASE WHEN gone THEN 1 END) AS n_removed, CAST(coalesce(sum(CASE WHEN gone THEN len(w) END), 0) AS BIGINT) AS removed_words,
+             CAST(coalesce(sum(CASE WHEN gone THEN length(line) END), 0) AS BIGINT) AS removed_chars,
+             coalesce(string_agg(CASE WHEN gone THEN CAST(CAST(start AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(start AS BIGINT) + length(line) AS VARCHAR) END, ',' ORDER BY i), '') AS spans
+      FROM r GROUP BY doc_id)
+SELECT doc_id, n_removed, removed_words, removed_chars, spans, coalesce(first_docs, '') AS first_docs, length(clean) AS clean_chars, sha256(clean) AS clean_sha256
+FROM c LEFT JOIN f USING (doc_id)
+"""
+
 _OP6_SQL = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
 r AS (SELECT doc_id, sha256(norm) AS text_sha256, length(text) AS chars FROM t),
@@ -87,12 +139,16 @@ def queries() -> dict:
     return {
         "op1_chat_formatting": op1_chat_formatting,
         "op2_packing": op2_packing,
+        "op3_ngram_join": op3_ngram_join,
+        "op4_toxicity": op4_toxicity,
         "op5_token_counts": op5_token_counts,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_secret_scans": op7_secret_scans,
         "op8_decontamination": op8_decontamination,
+        "op9_quality": op9_quality,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_formatting": _OP1_SQL, "op6_exact_dedup": _OP6_SQL, "op8_decontamination": _OP8_SQL}
+    return {"op1_chat_formatting": _OP1_SQL, "op3_ngram_join": _OP3_SQL, "op6_exact_dedup": _OP6_SQL, "op8_decontamination": _OP8_SQL, "op10_substring_dedup": _OP10_SQL}
