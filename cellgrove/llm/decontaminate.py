@@ -150,7 +150,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", *
     """``docs`` with the hit words cut out of the text (up to the next word); all columns stay, and
     ``removed_words`` (long) is added. Texts without a hit are returned unchanged."""
     marked = scan(docs, benchmark, carry=docs.columns, text=text, **names)
-    fields = [*(docs.schema[c] for c in docs.columns), T.StructField("removed_words", T.LongType())]
+    columns = docs.columns
+    fields = [*(docs.schema[c] for c in columns), T.StructField("removed_words", T.LongType())]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,7 +171,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", *
                     gone = int(hit.sum())
                     out[i] = np.frombuffer(t, np.uint8)[keep].tobytes().decode("utf-8", "replace")
                 removed.append(gone)
-            arrays = [pa.array(out, batch.schema.field(text).type) if c == text else batch.column(c) for c in docs.columns]
+            arrays = [pa.array(out, batch.schema.field(text).type) if c == text else batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(removed, pa.int64())], names=[f.name for f in fields])
 
     return marked.mapInArrow(cut, T.StructType(fields))
