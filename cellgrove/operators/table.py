@@ -80,7 +80,8 @@ def require_values(df: DataFrame, column: str) -> DataFrame:
     if column not in df.columns:
         raise ValueError(f"no column {column}")
     some = df.agg(F.assert_true(F.count(column) > 0, F.lit(f"{column} has no value")).alias("__ok"))
-    return df.crossJoin(F.broadcast(some)).drop("__ok")  # one row
+    # one row; the filter keeps the check from being pruned away
+    return df.crossJoin(F.broadcast(some)).where(F.col("__ok").isNull()).drop("__ok")
 
 
 # ---- tags
