@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from . import store
 
+#: Links that one task may write.
+TASK_ROWS = 200_000
+
 
 def _minimum(pairs: DataFrame) -> DataFrame:
     """u, v of each pair with m, the smallest of u and its partners."""
@@ -29,13 +32,13 @@ def components(links: DataFrame) -> DataFrame:
     before = _state(pairs)
     while before[0]:
         both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _minimum(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = _minimum(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = _minimum(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        pairs = store.written(small, "links")
+        pairs = store.written(small.coalesce(-(-2 * before[0] // TASK_ROWS)), "links")
         after = _state(pairs)
         if after == before:
             break
         before = after
     # a star now: every node but the smallest points at the smallest
-    return pairs.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(pairs.select("v", "v").distinct().toDF("node", "component"))
+    return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(pairs.select("v", "v").distinct().toDF("node", "component"))

@@ -6,12 +6,14 @@
    prefixes. Two sets of Jaccard ``T`` or more share a shingle among their first n - ceil(T n) + 1.
 2. Texts with equal sets are one class; classes with identical prefixes and size are one group, which is
    listed once under each prefix shingle. Shingles of one group only are dropped.
-3. Links that span most components are found first: every class is verified against one leader, the one
+3. Links that span most components are found first: every class is verified against a few leaders, those
    it shares most lists with.
 4. Then group pairs are filtered at the level of (shingle, component): only lists that still hold two
-   components of compatible size are expanded to their members, and each pair of members in different
-   components is verified. Pairs within one component need no verification, so the work on a huge group
-   of near copies is linear, and no link between components is lost.
+   components of compatible size are expanded to their members, and pairs of members in different
+   components are counted; first against the largest component of a list, then all that are still apart.
+   Pairs within one component need no verification, and no link between components is lost.
+5. A pair is verified only if its number of shared prefix shingles leaves the threshold within reach: what
+   two sets share beyond their prefixes is at most the rest of one of them.
 
 Verification sends the sets of pair partners to one place, computed from the texts again; leaders of
 many are salted.
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import store
@@ -42,6 +44,8 @@ T = 80
 SKETCH_BITS, _SLICES = 22, 64
 #: Rows of (key, class) that may be sent to all executors; beyond that the texts are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Rounds in which every class is verified against so many leaders; more would only save pairs of the last step.
+LEADER_ROUNDS, LEADERS = 1, 4
 #: Partners of one leader that are verified in one place.
 SALT_ROWS = 2000
 
@@ -79,7 +83,7 @@ def _sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
 
 def frequencies(docs: DataFrame, *, text: str = "text", k: int = SHINGLE) -> np.ndarray:
     """A level (0: rare) for each counter of the sketch of all texts' shingles. Sketches are added up by
-    slice in the executors; the driver gets 2^SKETCH_BITS counters in all."""
+    slice in the executors; the driver gets one byte for each of the 2^SKETCH_BITS counters."""
     width = (1 << SKETCH_BITS) // _SLICES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,15 +114,21 @@ def frequencies(docs: DataFrame, *, text: str = "text", k: int = SHINGLE) -> np.
                 if i not in sums:
                     sums[i] = np.zeros(width, np.uint32)
                 sums[i] += np.frombuffer(c, np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["slice", "counts"])
+        # eight steps to a doubling: one byte a counter
+        codes = [np.rint(8 * np.log2(1 + s.astype(np.float64))).astype(np.uint8).tobytes() for s in sums.values()]
+        totals = [int(s.sum(dtype=np.int64)) for s in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(codes, pa.binary()), pa.array(totals, pa.int64())], names=["slice", "codes", "total"])
 
-    parts = docs.select(F.col(text).alias("text")).mapInArrow(count, "slice long, counts binary").repartition("slice").mapInArrow(add, "slice long, counts binary")
-    total = np.zeros((_SLICES, width), np.uint32)
+    parts = docs.select(F.col(text).alias("text")).mapInArrow(count, "slice long, counts binary").repartition("slice").mapInArrow(add, "slice long, codes binary, total long")
+    codes, total = np.zeros((_SLICES, width), np.uint8), 0
     for row in parts.toLocalIterator():
-        total[row.slice] = np.frombuffer(row.counts, np.uint32)
-    total = total.reshape(-1)
-    least = max(8.0, 4 * float(total.mean()))
-    return np.where(total < least, 0, 1 + np.log2(np.maximum(total, 1) / least)).astype(np.uint8)
+        codes[row.slice] = np.frombuffer(row.codes, np.uint8)
+        total += row.total
+    # a counter holds a shingle's own count and about the mean of others: frequent is what stands out of that
+    mean = total / (1 << SKETCH_BITS)
+    above = (2 ** (np.arange(256) / 8) - 1 - mean) / (4 + 4 * mean**0.5)
+    level = np.where(above < 1, 0, np.minimum(31, 1 + 2 * np.log2(np.maximum(above, 1)))).astype(np.uint8)
+    return level[codes.reshape(-1)]
 
 
 def signatures(docs: DataFrame, levels: np.ndarray, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, t: int = T) -> DataFrame:
@@ -189,10 +199,40 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, *, key: str
     return sent.repartition("a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(compare, "a long, b long").distinct()
 
 
+def _within_reach(shared, twin, n_a, n_b, t: int):
+    """Whether ``shared`` common prefix shingles can make a link. Up to the end of the shorter-reaching prefix
+    all common shingles are counted; beyond it there are at most the rest of that set. Classes of one group
+    (which share a list of a negative number) have equal prefixes."""
+    least = F.ceil(t * (n_a + n_b) / (100.0 + t))
+    rest = lambda n: F.ceil(t * n / 100.0) - 1
+    return (twin < 0) | (shared >= least - F.greatest(rest(n_a), rest(n_b)))
+
+
 def _labelled(entries: DataFrame, parts: DataFrame) -> DataFrame:
     return entries.join(parts, entries["cid"] == parts["node"], "left").select("token", "cid", "n", F.coalesce("component", "cid").alias("component"))
 
 
+def _cross_pairs(now: DataFrame, t: int, largest: bool) -> DataFrame:
+    """Stored pairs (a, b) of classes in different components that share a list and enough prefix shingles;
+    ``largest``: only pairs with the component that has most members in the list."""
+    blocks = now.groupBy("token", "component").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("members"))
+    lists = blocks.groupBy("token").agg(F.count("*").alias("blocks"), F.max(F.struct("members", "component", "least", "most")).alias("top")).where("blocks > 1")
+    if largest:
+        y = lists.select("token", F.col("top.component").alias("component_2"), F.col("top.least").alias("least_2"), F.col("top.most").alias("most_2"))
+        differ = F.col("component") != F.col("component_2")
+    else:
+        y = blocks.join(lists.select("token"), "token").select("token", F.col("component").alias("component_2"), F.col("least").alias("least_2"), F.col("most").alias("most_2"))
+        differ = F.col("component") < F.col("component_2")
+    fits = differ & (100 * F.col("most") >= t * F.col("least_2")) & (100 * F.col("most_2") >= t * F.col("least"))
+    pairs = blocks.join(y, "token").where(fits).select("token", "component", "component_2")
+    pairs = pairs.join(now, ["token", "component"]).select("token", "component_2", F.col("cid").alias("a"), F.col("n").alias("n_a"))
+    other = now.select("token", F.col("component").alias("component_2"), F.col("cid").alias("b"), F.col("n").alias("n_b"))
+    pairs = pairs.join(other, ["token", "component_2"]).where((100 * F.col("n_a") >= t * F.col("n_b")) & (100 * F.col("n_b") >= t * F.col("n_a")))
+    a, b = F.least("a", "b"), F.greatest("a", "b")
+    counted = pairs.groupBy(a.alias("a"), b.alias("b")).agg(F.count("*").alias("c"), F.min("token").alias("twin"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
+    return store.written(counted.where(_within_reach(F.col("c"), F.col("twin"), F.col("n_a"), F.col("n_b"), t)).select("a", "b"), "pairs")
+
+
 def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, t: int = T) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Stored tables: documents (key, n, cid), verified links between classes (a, b; they span every
     component) and components (node, component) of linked classes."""
@@ -215,30 +255,32 @@ def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = S
     twins = of.where("size > 1").join(classes.select("cid", "n"), "cid").select((-F.col("gid") - 1).alias("token"), "cid", "n")
     entries = store.written(entries.unionAll(twins).distinct(), "entries")
 
-    # one leader for each class: the one it shares most lists with, of a similar size
+    # leaders for each class: those of other components it shares most lists with, of a similar size
     size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / t)))
-    sized = entries.withColumn("size", size)
-    leaders = sized.groupBy("token", "size").agg(F.min("cid").alias("leader"), F.max("cid").alias("other")).where("leader <> other").drop("other")
-    votes = sized.join(leaders, ["token", "size"]).where("cid <> leader").groupBy("cid", "leader").agg(F.count("*").alias("votes"))
-    best = votes.groupBy("cid").agg(F.max(F.struct("votes", (-F.col("leader")).alias("less"))).alias("best"))
-    first = store.written(best.select((-F.col("best.less")).alias("a"), F.col("cid").alias("b")), "pairs")
-    links = store.written(_verified(docs, classes, first, **names), "verified")
-    parts = store.written(components(links), "components")
-
-    # lists that still hold several components, component by component
-    now = _labelled(entries, parts)
-    blocks = now.groupBy("token", "component").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    mixed = blocks.groupBy("token").agg(F.min("component").alias("one"), F.max("component").alias("two")).where("one <> two").select("token")
-    mixed = store.written(now.join(mixed, "token"), "mixed")
-    blocks = mixed.groupBy("token", "component").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    x, y = blocks.toDF("token", "component", "least", "most"), blocks.toDF("token", "component_2", "least_2", "most_2")
-    fits = (F.col("component") < F.col("component_2")) & (100 * F.col("most") >= t * F.col("least_2")) & (100 * F.col("most_2") >= t * F.col("least"))
-    pairs = x.join(y, "token").where(fits).select("token", "component", "component_2")
-    pairs = pairs.join(mixed, ["token", "component"]).select("token", "component_2", F.col("cid").alias("a"), F.col("n").alias("n_a"))
-    other = mixed.select("token", F.col("component").alias("component_2"), F.col("cid").alias("b"), F.col("n").alias("n_b"))
-    pairs = pairs.join(other, ["token", "component_2"]).where((100 * F.col("n_a") >= t * F.col("n_b")) & (100 * F.col("n_b") >= t * F.col("n_a")))
-    rest = store.written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    if not rest.isEmpty():
+    links = parts = None
+    for number in range(LEADER_ROUNDS):
+        now = (entries.withColumn("component", F.col("cid")) if parts is None else _labelled(entries, parts)).withColumn("size", size)
+        # leaders by several orders: of copies that vary around the threshold each leader catches a part
+        some = [F.min(F.struct(F.xxhash64("cid", F.lit(LEADERS * number + i)), "component", "cid", "n")) for i in range(LEADERS)]
+        lists = now.groupBy("token", "size").agg(F.array_distinct(F.transform(F.array(*some), lambda x: x.dropFields("col1"))).alias("chosen"), F.min("component").alias("low"), F.max("component").alias("high"))
+        leaders = lists.where("low <> high").select("token", "size", F.explode("chosen").alias("first"))
+        leaders = leaders.select("token", "size", F.col("first.cid").alias("leader"), F.col("first.component").alias("its"), F.col("first.n").alias("n_leader"))
+        votes = now.join(leaders, ["token", "size"]).where("component <> its").groupBy("cid", "leader").agg(F.count("*").alias("votes"), F.min("token").alias("twin"), F.first("n").alias("n_a"), F.first("n_leader").alias("n_b"))
+        # lists with another leader aren't counted here, so half the votes will do
+        votes = votes.where(_within_reach(2 * F.col("votes"), F.col("twin"), F.col("n_a"), F.col("n_b"), t))
+        w = Window.partitionBy("cid").orderBy(F.desc("votes"), "leader")
+        best = votes.withColumn("place", F.row_number().over(w)).where(F.col("place") <= LEADERS)
+        pairs = store.written(best.select(F.col("leader").alias("a"), F.col("cid").alias("b")), "pairs")
+        found = _verified(docs, classes, pairs, **names)
+        links = store.written(found if links is None else links.unionAll(found), "verified")
+        parts = store.written(components(links), "components")
+
+    # lists that still hold several components: first against the largest of each list, which joins most of
+    # what is left without pairing the rest among itself; then all that are still apart
+    for largest in (True, False):
+        rest = _cross_pairs(_labelled(entries, parts), t, largest)
+        if rest.isEmpty():
+            continue
         links = store.written(links.unionAll(_verified(docs, classes, rest, **names)), "verified")
         parts = store.written(components(links), "components")
     documents = sig.select("key", "n", F.col("set").alias("d_set")).join(classes.select("set", "cid"), F.col("d_set") == F.col("set"), "left").select("key", "n", "cid")
