@@ -161,15 +161,19 @@ def co_train(features: DataFrame, labels: DataFrame, rounds: int = ROUNDS, growt
     is nothing to learn. ``labels``: key, y. Also returns the numbers of pseudo-labels by round."""
     known = labels.select(F.col("key").alias("k"), "y")
     labelled = features.join(known, features["key"] == known["k"]).drop("k").where("y is not null")
-    order = F.xxhash64("key")
+    order = F.pmod(F.xxhash64("key"), F.lit(1 << 30))
+    n = {r.fit: r.n for r in labelled.where(fold(F.col("key")) > 0).groupBy((fold(F.col("key")) > 1).alias("fit")).agg(F.count("*").alias("n")).collect()}
 
-    def sample(rows: DataFrame, n: int) -> list:
-        return rows.orderBy(order, "key").limit(n).select("text_view", "meta_view", "y").collect()
+    def sample(fit: bool, most: int) -> list:
+        """The rows of smallest hash; each task only sends those below a bound that half as many more pass."""
+        bound = int(min(1.0, 1.5 * most / max(1, n.get(fit, 0))) * (1 << 30))
+        rows = labelled.where((fold(F.col("key")) > 0) & ((fold(F.col("key")) > 1) == fit) & (order < bound))
+        return rows.orderBy(order, "key").limit(most).select("text_view", "meta_view", "y").collect()
 
     def arrays(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return _unpacked([bytes(r.text_view) for r in rows], np.float32), _unpacked([bytes(r.meta_view) for r in rows], np.uint8), np.array([r.y for r in rows], np.float64)
 
-    fitted, tested = sample(labelled.where(fold(F.col("key")) > 1), SAMPLE_ROWS), sample(labelled.where(fold(F.col("key")) == 1), CALIBRATION_ROWS)
+    fitted, tested = sample(True, SAMPLE_ROWS), sample(False, CALIBRATION_ROWS)
     ys = [r.y for r in fitted]
     if not fitted or min(ys) == max(ys):
         return None, (sum(ys) + 1) / (len(ys) + 2), []
@@ -190,12 +194,13 @@ def co_train(features: DataFrame, labels: DataFrame, rounds: int = ROUNDS, growt
 
     both = models()
     for _ in range(rounds):
-        # the views themselves come along only with the few rows that are picked
-        scored = _scored(pool.withColumns({"t": F.col("text_view"), "m": F.col("meta_view")}), both)
+        scored = _scored(pool, both)
         got = 0
         for to, by in ((0, "meta_logit"), (1, "text_logit")):
             for label, rank in ((1, F.col(by)), (0, -F.col(by))):
-                best = scored.where(rank > limit).orderBy(rank.desc(), order, "key").limit(growth).select("key", F.col("t").alias("text_view"), F.col("m").alias("meta_view"), F.lit(float(label)).alias("y")).collect()
+                # keys only are ranked; the views of the few that are picked (at most ``growth``) are fetched
+                chosen = scored.where(rank > limit).orderBy(rank.desc(), order, "key").limit(growth).select("key").distinct()
+                best = pool.join(F.broadcast(chosen), "key").dropDuplicates(["key"]).select("key", "text_view", "meta_view", F.lit(float(label)).alias("y")).collect()
                 new = [r for r in best if (to, r.key) not in used]
                 used.update((to, r.key) for r in new)
                 extra[to].extend(new)
