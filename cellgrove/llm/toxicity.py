@@ -28,11 +28,13 @@ from pyspark.sql import types as T
 
 from .words import _BYTE_VALUE, ALNUM, Words, _power, chunks, mix, utf8
 
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 2000, 3000, 32 << 20
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 1600, 2800, 24 << 20
 #: Rows of the embedding table, and their width.
 BUCKET_BITS, WIDTH = 18, 4
 GRAMS = (3, 4, 5, 6)
 STEPS, RATE, DECAY, GAIN = 80, 0.1, 1e-6, 60.0
+#: A mean counts so many neutral words besides a text's own, so a few odd ones don't decide on a short text.
+PRIOR_WORDS = 20
 #: Words a worker's table may hold.
 TABLE_ROWS = 400_000
 
@@ -102,20 +104,24 @@ def train(texts: list[bytes], labels: np.ndarray, share: float, seed: int = 0) -
     vocabulary = np.sort(np.array([h for h, n in seen.items() if n >= least], np.uint64))
     rows, begin = subwords([names[h] for h in vocabulary.tolist()])
     sizes = np.diff(np.append(begin, len(rows)))
-    # documents x words, each row summing to one
+    # documents x words
     doc, word, value = [], [], []
     for i, (each, n, _) in enumerate(counts):
         place = np.minimum(np.searchsorted(vocabulary, each), len(vocabulary) - 1)
         ok = vocabulary[place] == each
         doc.append(np.full(ok.sum(), i))
         word.append(place[ok])
-        value.append(n[ok] / max(1, n.sum()))
-    doc, word, value = np.concatenate(doc), np.concatenate(word), np.concatenate(value).astype(np.float32)
-    by_word = np.argsort(word, kind="stable")
+        value.append(n[ok] / (n.sum() + PRIOR_WORDS))
+    del counts, names, seen
+    doc, word, value = np.concatenate(doc).astype(np.int32), np.concatenate(word).astype(np.int32), np.concatenate(value).astype(np.float32)
+    by_word = np.argsort(word, kind="stable").astype(np.int32)
     used, rows_used = np.unique(rows, return_inverse=True)  # only these table rows are trained
-    by_row = np.argsort(rows_used, kind="stable")
+    del rows
+    by_row = np.argsort(rows_used, kind="stable").astype(np.int32)
     row_begin = np.searchsorted(rows_used[by_row], np.arange(len(used)))
-    word_of = np.repeat(np.arange(len(sizes)), sizes)
+    rows_used = rows_used.astype(np.int32)
+    word_by_row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[by_row]
+    del by_row
     word_begin = np.searchsorted(word[by_word], np.arange(len(vocabulary)))
     some = np.flatnonzero(np.bincount(doc, minlength=len(texts)))
     doc_begin = np.searchsorted(doc, some)
@@ -141,7 +147,7 @@ def train(texts: list[bytes], labels: np.ndarray, share: float, seed: int = 0) -
         d = (q - target) * balance[:, None]
         d_h = d @ out.T * GAIN
         d_words = np.add.reduceat((d_h[doc] * value[:, None])[by_word], word_begin) * inverse
-        d_e = np.add.reduceat(d_words[word_of[by_row]], row_begin) + DECAY * e
+        d_e = np.add.reduceat(d_words[word_by_row], row_begin) + DECAY * e
         for x, g, (m, v) in zip((e, out, bias), (d_e, h.T @ d, d.sum(0)), state, strict=True):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
@@ -207,7 +213,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
                 w = Words(texts[begin:end], ALNUM)
                 upto = np.append(0, np.cumsum(known.scores(model, w), dtype=np.float64)) if len(w.hashes) else np.zeros(1)
                 n = np.diff(w.first)
-                out.append((upto[w.first[1:]] - upto[w.first[:-1]]) / np.maximum(n, 1) + model.bias)
+                out.append((upto[w.first[1:]] - upto[w.first[:-1]]) / (n + PRIOR_WORDS) + model.bias)
             logit = np.clip(np.concatenate(out), -500, 500) if out else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-logit)), pa.float64())], names=schema.names)
 
