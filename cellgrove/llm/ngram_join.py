@@ -46,6 +46,8 @@ SKETCH_BITS, _SLICES = 22, 64
 BROADCAST_ROWS = 1_000_000
 #: Rounds in which every class is verified against so many leaders; more would only save pairs of the last step.
 LEADER_ROUNDS, LEADERS = 1, 4
+#: Members of a large component that other classes are first held against.
+REPRESENTATIVES = 64
 #: Partners of one leader that are verified in one place.
 SALT_ROWS = 2000
 
@@ -227,6 +229,12 @@ def _cross_pairs(now: DataFrame, t: int, largest: bool) -> DataFrame:
     pairs = blocks.join(y, "token").where(fits).select("token", "component", "component_2")
     pairs = pairs.join(now, ["token", "component"]).select("token", "component_2", F.col("cid").alias("a"), F.col("n").alias("n_a"))
     other = now.select("token", F.col("component").alias("component_2"), F.col("cid").alias("b"), F.col("n").alias("n_b"))
+    if largest:
+        # some members of a component, by hash, stand for it here; the last step knows no such bound
+        nodes = now.select(F.col("cid").alias("b"), F.col("component").alias("component_2")).distinct()
+        sizes = nodes.groupBy("component_2").agg(F.ceil(F.count("*") / REPRESENTATIVES).alias("part"))
+        chosen = nodes.join(sizes, "component_2").where(F.pmod(F.xxhash64("b"), F.col("part")) == 0).select("b")
+        other = other.join(chosen, "b", "left_semi")
     pairs = pairs.join(other, ["token", "component_2"]).where((100 * F.col("n_a") >= t * F.col("n_b")) & (100 * F.col("n_b") >= t * F.col("n_a")))
     a, b = F.least("a", "b"), F.greatest("a", "b")
     counted = pairs.groupBy(a.alias("a"), b.alias("b")).agg(F.count("*").alias("c"), F.min("token").alias("twin"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
