@@ -7,8 +7,15 @@ in every round each view scores all unlabelled documents and hands its most conf
 class, to the other view as pseudo-labels. At last both views are calibrated (Platt scaling) and combined
 on labelled rows that neither was fitted on, and all documents are scored.
 
-Fitting takes bounded numbers of labelled rows (``SAMPLE_ROWS``, ``CALIBRATION_ROWS``) and of pseudo-labels
-(``GROWTH`` a class, view and round); features, scores and the search for confident rows cover all rows.
+Distinct feature rows are ranked, not keys: copies are one text, rows of one metadata combination one rank.
+A view hands over, of each class and in each round, its best texts or combinations not handed over before,
+``GROWTH`` or ``GROWTH_SHARE`` of the pool, whichever is more; those tied with the last (text logits in steps
+of 1 / ``BINS``) go with it, and all rows of what is handed over count. What was handed over is known by rule
+(metadata combinations; text models and their cuts), so no keys are kept. Metadata pseudo-labels are counted
+by combination, those of texts are fitted where they lie: each Newton step sums gradients over them.
+
+Fitting takes bounded numbers of labelled rows (``SAMPLE_ROWS``, weighted back to all of them, and
+``CALIBRATION_ROWS``); pseudo-labels, features, scores and the search for confident rows have no such bound.
 
 Defined results: null texts are empty; null metadata is a value of its own; several labels of one key are
 averaged (0.5 and more is good); without labels of both classes every score is the share of good labels
@@ -29,7 +36,12 @@ from . import store
 from .words import SPACED, Words, chunks, utf8
 
 SAMPLE_ROWS, CALIBRATION_ROWS = 8000, 4000
-ROUNDS, GROWTH = 2, 300
+#: Texts or rows a class, view and round: so many at least, and this share of the pool.
+ROUNDS, GROWTH, GROWTH_SHARE = 2, 300, 0.01
+#: A pseudo-label counts as so much of a labelled row.
+PSEUDO_WEIGHT = 0.5
+#: Text logits are ranked in steps of 1 / BINS.
+BINS = 100
 #: A pseudo-label needs this much confidence in its class.
 CONFIDENT = 0.9
 META_COLUMNS = 64
@@ -90,26 +102,55 @@ def meta_features(source: list, lang: list, size: list) -> np.ndarray:
     return out
 
 
+class _Elsewhere:
+    """Pseudo-labelled texts (text_view, y) as a stored table: only sums over them come to the driver."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+    def _sum(self, of, shape: tuple[int, int]) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(shape)
+            for b in batches:
+                if b.num_rows:
+                    total += of(_unpacked(b.column("text_view").to_pylist(), np.float32).astype(np.float64), b.column("y").to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
+
+        return sum((np.frombuffer(bytes(r.total)).reshape(shape) for r in self.rows.mapInArrow(run, "total binary").collect()), np.zeros(shape))
+
+    def moments(self) -> np.ndarray:
+        return self._sum(lambda x, y: PSEUDO_WEIGHT * np.array([np.full(x.shape[1], len(x)), x.sum(0), (x**2).sum(0)]), (3, TEXT_COLUMNS))
+
+    def slope(self, model: Logistic) -> np.ndarray:
+        return self._sum(lambda x, y: model.slope(x, y, np.full(len(x), PSEUDO_WEIGHT)), (TEXT_COLUMNS + 2, TEXT_COLUMNS + 1))
+
+
 class Logistic:
-    """Ridge logistic regression on standardised columns, by Newton steps."""
+    """Ridge logistic regression on standardised columns, by Newton steps. ``more``: rows fitted on elsewhere
+    (see _Elsewhere), besides ``x``."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1.0):
+    def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1.0, more: _Elsewhere | None = None):
         x = np.asarray(x, np.float64)
-        self.mean, self.scale = x.mean(0), x.std(0) + 1e-6
-        z = np.column_stack([(x - self.mean) / self.scale, np.ones(len(x))])
         weight = np.ones(len(x)) if weight is None else weight
-        self.w = np.zeros(z.shape[1])
-        penalty = np.full(z.shape[1], ridge)
+        sums = np.array([np.full(x.shape[1], weight.sum()), weight @ x, weight @ x**2]) + (more.moments() if more else 0)
+        self.mean = sums[1] / sums[0]
+        self.scale = np.sqrt(np.maximum(0, sums[2] / sums[0] - self.mean**2)) + 1e-6
+        self.w = np.zeros(x.shape[1] + 1)
+        penalty = np.full(len(self.w), ridge)
         penalty[-1] = 1e-6
         for _ in range(25):
-            p = 1 / (1 + np.exp(-np.clip(z @ self.w, -30, 30)))
-            gradient = z.T @ (weight * (p - y)) + penalty * self.w
-            hessian = (z * (weight * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ z + np.diag(penalty)
-            step = np.linalg.solve(hessian, gradient)
+            slope = self.slope(x, y, weight) + (more.slope(self) if more else 0)
+            step = np.linalg.solve(slope[1:] + np.diag(penalty), slope[0] + penalty * self.w)
             self.w -= step * min(1, 5 / np.abs(step).max(initial=1e-9))
             if np.abs(step).max() < 1e-6:
                 break
 
+    def slope(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """The gradient (first row) and the Hessian (the others) over these rows."""
+        z = np.column_stack([(x - self.mean) / self.scale, np.ones(len(x))])
+        p = 1 / (1 + np.exp(-np.clip(z @ self.w, -30, 30)))
+        return np.vstack([z.T @ (weight * (p - y)), (z * (weight * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ z])
+
     def logit(self, x: np.ndarray) -> np.ndarray:
         return np.clip(((np.asarray(x, np.float64) - self.mean) / self.scale) @ self.w[:-1] + self.w[-1], -30, 30)
 
@@ -156,19 +197,65 @@ def _scored(rows: DataFrame, models: tuple[Logistic, Logistic]) -> DataFrame:
     return rows.mapInArrow(run, f"{kinds}, text_logit double, meta_logit double")
 
 
+def _with_labels(features: DataFrame, labels: DataFrame) -> DataFrame:
+    """Stored: ``features`` with y and whether ``labels`` (key, y) knows the key."""
+    known = labels.select(F.col("key").alias("k"), "y")
+    return store.written(features.join(known, features["key"] == known["k"], "left").withColumn("known", F.col("k").isNotNull()).drop("k"), "quality")
+
+
+def _handed_by_text(pool: DataFrame, past: list[tuple[Logistic, float, float]], model: Logistic, limit: float) -> DataFrame:
+    """meta_view, text (a hash of the view) and bin of the rows whose text ``model`` is sure of and which no
+    earlier model handed over (bin at least its upper or at most its lower cut)."""
+    shared = pool.sparkSession.sparkContext.broadcast((past, model))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        past, model = shared.value
+        for b in batches:
+            if b.num_rows:
+                x = _unpacked(b.column("text_view").to_pylist(), np.float32)
+                logit = model.logit(x)
+                bins = _bins(logit)
+                ok = np.abs(logit) > limit
+                for m, low, high in past:
+                    was = m.logit(x)
+                    ok &= (np.abs(was) <= limit) | ((_bins(was) > low) & (_bins(was) < high))
+                at = pa.array(np.flatnonzero(ok))
+                yield pa.RecordBatch.from_arrays([b.column("meta_view").take(at), b.column("text_view").take(at), pa.array(bins[ok], pa.int32())], names=["meta_view", "text_view", "bin"])
+
+    rows = pool.select("meta_view", "text_view").mapInArrow(run, "meta_view binary, text_view binary, bin int")
+    return rows.select("meta_view", F.xxhash64("text_view").alias("text"), "bin")
+
+
+def _bins(logit: np.ndarray) -> np.ndarray:
+    """Away from 0, so that no bin holds both classes."""
+    return (np.sign(logit) * np.ceil(np.abs(logit) * BINS)).astype(np.int32)
+
+
+def best(ranks: np.ndarray, counts: np.ndarray, growth: int) -> float:
+    """The rank down to which ranks are taken from the top until their counts reach ``growth``."""
+    if not len(ranks):
+        return float("inf")
+    order = np.argsort(-ranks, kind="stable")
+    at = np.searchsorted(np.cumsum(counts[order]), growth)
+    return float(ranks[order][min(at, len(order) - 1)])
+
+
 def co_train(features: DataFrame, labels: DataFrame, rounds: int = ROUNDS, growth: int = GROWTH):
     """(text model, metadata model, combination of both logits), or the share of good labels alone if there
-    is nothing to learn. ``labels``: key, y. Also returns the numbers of pseudo-labels by round."""
-    known = labels.select(F.col("key").alias("k"), "y")
-    labelled = features.join(known, features["key"] == known["k"]).drop("k").where("y is not null")
+    is nothing to learn. ``labels``: key, y. Also returns the numbers of pseudo-labelled rows by round."""
+    return _co_train(_with_labels(features, labels), rounds, growth)
+
+
+def _co_train(rows: DataFrame, rounds: int, growth: int):
+    labelled = rows.where("known and y is not null")
     order = F.pmod(F.xxhash64("key"), F.lit(1 << 30))
     n = {r.fit: r.n for r in labelled.where(fold(F.col("key")) > 0).groupBy((fold(F.col("key")) > 1).alias("fit")).agg(F.count("*").alias("n")).collect()}
 
     def sample(fit: bool, most: int) -> list:
         """The rows of smallest hash; each task only sends those below a bound that half as many more pass."""
         bound = int(min(1.0, 1.5 * most / max(1, n.get(fit, 0))) * (1 << 30))
-        rows = labelled.where((fold(F.col("key")) > 0) & ((fold(F.col("key")) > 1) == fit) & (order < bound))
-        return rows.orderBy(order, "key").limit(most).select("text_view", "meta_view", "y").collect()
+        some = labelled.where((fold(F.col("key")) > 0) & ((fold(F.col("key")) > 1) == fit) & (order < bound))
+        return some.orderBy(order, "key").limit(most).select("text_view", "meta_view", "y").collect()
 
     def arrays(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return _unpacked([bytes(r.text_view) for r in rows], np.float32), _unpacked([bytes(r.meta_view) for r in rows], np.uint8), np.array([r.y for r in rows], np.float64)
@@ -178,33 +265,46 @@ def co_train(features: DataFrame, labels: DataFrame, rounds: int = ROUNDS, growt
     if not fitted or min(ys) == max(ys):
         return None, (sum(ys) + 1) / (len(ys) + 2), []
     t, m, y = arrays(fitted)
-    extra: tuple[list, list] = ([], [])  # pseudo-labels for the text view, for the metadata view
-    pool = features.join(known.select("k"), features["key"] == F.col("k"), "left_anti").where(fold(F.col("key")) > 1)
-    used: set = set()
+    weight = np.full(len(y), n[True] / len(y))
+    pool = rows.where(~F.col("known") & (fold(F.col("key")) > 1)).select("text_view", "meta_view")
+    # at most the number of ways to set a column for each of three values, whatever the corpus
+    combinations = {bytes(r.meta_view): r.n for r in pool.groupBy("meta_view").agg(F.count("*").alias("n")).collect()}
+    growth = max(growth, int(np.ceil(GROWTH_SHARE * sum(combinations.values()))))
+    by_meta: dict[bytes, float] = {}  # combinations handed to the text view
+    by_text: dict[tuple[bytes, float], int] = {}  # rows handed to the metadata view
+    past: list[tuple[Logistic, float, float]] = []
     numbers = []
     limit = float(np.log(CONFIDENT / (1 - CONFIDENT)))
 
     def models() -> tuple[Logistic, Logistic]:
-        out = []
-        for own, view, more in ((t, 0, extra[0]), (m, 1, extra[1])):
-            x = np.vstack([own, *([arrays(more)[view]] if more else [])])
-            target = np.append(y, [r.y for r in more])
-            out.append(Logistic(x, target, np.append(np.ones(len(y)), np.full(len(more), 0.5))))
-        return out[0], out[1]
+        more = None
+        if by_meta:
+            chosen = rows.sparkSession.createDataFrame([(bytearray(k), v) for k, v in by_meta.items()], "meta_view binary, y double")
+            more = _Elsewhere(store.written(pool.join(F.broadcast(chosen), "meta_view").select("text_view", "y"), "quality"))
+        x = np.vstack([m, *([_unpacked([k for k, _ in by_text], np.uint8)] if by_text else [])])
+        target = np.append(y, [v for _, v in by_text])
+        return Logistic(t, y, weight, more=more), Logistic(x, target, np.append(weight, [PSEUDO_WEIGHT * c for c in by_text.values()]))
 
     both = models()
     for _ in range(rounds):
-        scored = _scored(pool, both)
         got = 0
-        for to, by in ((0, "meta_logit"), (1, "text_logit")):
-            for label, rank in ((1, F.col(by)), (0, -F.col(by))):
-                # keys only are ranked; the views of the few that are picked (at most ``growth``) are fetched
-                chosen = scored.where(rank > limit).orderBy(rank.desc(), order, "key").limit(growth).select("key").distinct()
-                best = pool.join(F.broadcast(chosen), "key").dropDuplicates(["key"]).select("key", "text_view", "meta_view", F.lit(float(label)).alias("y")).collect()
-                new = [r for r in best if (to, r.key) not in used]
-                used.update((to, r.key) for r in new)
-                extra[to].extend(new)
-                got += len(new)
+        left = [k for k in combinations if k not in by_meta]
+        sure = both[1].logit(_unpacked(left, np.uint8)) if left else np.zeros(0)
+        size = np.array([combinations[k] for k in left])
+        for label, rank in ((1.0, sure), (0.0, -sure)):
+            cut = best(rank[rank > limit], size[rank > limit], growth)
+            for i in np.flatnonzero((rank > limit) & (rank >= cut)):
+                by_meta[left[i]] = label
+                got += int(size[i])
+        found = _handed_by_text(pool, past, both[0], limit)
+        bins = np.array([(r.bin, r.n) for r in found.select("bin", "text").distinct().groupBy("bin").agg(F.count("*").alias("n")).collect()], np.int64).reshape(-1, 2)
+        up, down = bins[bins[:, 0] > 0], bins[bins[:, 0] < 0]
+        high, low = best(up[:, 0], up[:, 1], growth), -best(-down[:, 0], down[:, 1], growth)
+        label = F.when(F.col("bin") >= high, 1.0).when(F.col("bin") <= low, 0.0)
+        for r in found.select("meta_view", label.alias("y")).where("y is not null").groupBy("meta_view", "y").agg(F.count("*").alias("n")).collect():
+            by_text[bytes(r.meta_view), r.y] = by_text.get((bytes(r.meta_view), r.y), 0) + r.n
+            got += r.n
+        past.append((both[0], low, high))
         numbers.append(got)
         if not got:
             break
@@ -220,10 +320,10 @@ def co_train(features: DataFrame, labels: DataFrame, rounds: int = ROUNDS, growt
 
 def report(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", source: str = "source", lang: str = "lang", size: str = "n_chars", rounds: int = ROUNDS) -> DataFrame:
     """key, held_out, text_score, meta_score (calibrated), score (combined), predicted."""
-    features = store.written(_features(docs, key, text, source, lang, size), "quality")
     known = labels.where(F.col(label).isNotNull()).groupBy(F.col(key).alias("key")).agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("double").alias("y"))
     known = known.where(fold(F.col("key")) > 0)  # the held-out fold is never seen
-    model, share, _ = co_train(features, known, rounds)
+    features = _with_labels(_features(docs, key, text, source, lang, size), known)
+    model, share, _ = _co_train(features, rounds, GROWTH)
     if model is None:
         out = features.select("key", *(F.lit(float(share)).alias(c) for c in ("text_score", "meta_score", "score")))
     else:
@@ -234,5 +334,5 @@ def report(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
         for i in (0, 1):
             total = total + (p[i] - F.lit(float(combined.mean[i]))) / F.lit(float(combined.scale[i])) * F.lit(float(combined.w[i]))
         sigmoid = lambda x: 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), x))))
-        out = _scored(features, both).select("key", sigmoid(p[0]).alias("text_score"), sigmoid(p[1]).alias("meta_score"), sigmoid(total).alias("score"))
+        out = _scored(features.drop("y", "known"), both).select("key", sigmoid(p[0]).alias("text_score"), sigmoid(p[1]).alias("meta_score"), sigmoid(total).alias("score"))
     return out.select(F.col("key").alias(key), (fold(F.col("key")) == 0).alias("held_out"), "text_score", "meta_score", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

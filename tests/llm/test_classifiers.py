@@ -78,6 +78,32 @@ def test_pseudo_labels_are_exchanged(spark):
     assert model is not None and handed[0] > 0
 
 
+def test_ties_and_copies_do_not_fill_the_exchange(spark):
+    """All rows of a metadata combination and all copies of a text are handed over together, none twice."""
+    rows = [(i, "good words flow on." if i % 2 else "### $$$ @@@ !!!", "a" if i % 2 else "b", "en", 10) for i in range(120)]
+    rows += [(i, "good words flow on.", "a", "en", 10) for i in range(120, 1100)]  # one text, one combination
+    rows += [(i, f"good words flow on{'.' * (i % 7)} and on {i}.", "a", "en", 10) for i in range(1100, 1400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    labels = spark.createDataFrame([(i, float(i % 2)) for i in range(120)], "key long, y double")
+    features = quality.store.written(quality._features(docs, "doc_id", "text", "source", "lang", "n_chars"))
+    _, _, handed = quality.co_train(features, labels, rounds=2, growth=5)
+    pool = docs.where("doc_id >= 120").where(quality.fold(F.col("doc_id")) > 1).count()
+    copies = docs.where("doc_id between 120 and 1099").where(quality.fold(F.col("doc_id")) > 1).count()
+    assert pool <= handed[0] and sum(handed) <= 2 * 1280  # the whole combination in round 1, nothing twice
+    x = np.array([3.0, 2.0, 2.5])
+    assert quality.best(x, np.array([copies, 1, 1]), 5) == 3.0 and quality.best(x, np.ones(3), 2) == 2.5 and quality.best(x, np.ones(3), 9) == 2.0
+
+
+def test_pseudo_labels_are_fitted_where_they_lie(spark):
+    r = np.random.default_rng(0)
+    x = r.normal(size=(60, quality.TEXT_COLUMNS)).astype(np.float32)
+    y = (x[:, 0] > 0).astype(float)
+    rows = spark.createDataFrame([(bytearray(v.tobytes()), float(t)) for v, t in zip(x[20:], y[20:], strict=True)], "text_view binary, y double")
+    got = quality.Logistic(x[:20], y[:20], more=quality._Elsewhere(rows))
+    want = quality.Logistic(x, y, np.append(np.ones(20), np.full(40, quality.PSEUDO_WEIGHT)))
+    assert np.allclose(got.logit(x), want.logit(x), atol=1e-6)
+
+
 def test_text_features_of_nothing():
     f = quality.text_features([b"", b"a", b"a a a\nb"])
     assert f.shape == (3, quality.TEXT_COLUMNS) and np.isfinite(f).all()
