@@ -15,7 +15,7 @@ of 1 / ``BINS``) go with it, and all rows of what is handed over count. What was
 by combination, those of texts are fitted where they lie: each Newton step sums gradients over them.
 
 Fitting takes bounded numbers of labelled rows (``SAMPLE_ROWS``, weighted back to all of them, and
-``CALIBRATION_ROWS``); pseudo-labels, features, scores and the search for confident rows have no such bound.
+``CALIBRATION_ROWS``); the unlabelled pool is every row of a key without a label, in any fold; pseudo-labels, features, scores and the search for confident rows have no such bound.
 
 Defined results: null texts are empty; null metadata is a value of its own; several labels of one key are
 averaged (0.5 and more is good); without labels of both classes every score is the share of good labels
@@ -266,7 +266,7 @@ def _co_train(rows: DataFrame, rounds: int, growth: int):
         return None, (sum(ys) + 1) / (len(ys) + 2), []
     t, m, y = arrays(fitted)
     weight = np.full(len(y), n[True] / len(y))
-    pool = rows.where(~F.col("known") & (fold(F.col("key")) > 1)).select("text_view", "meta_view")
+    pool = rows.where(~F.col("known")).select("text_view", "meta_view")
     # at most the number of ways to set a column for each of three values, whatever the corpus
     combinations = {bytes(r.meta_view): r.n for r in pool.groupBy("meta_view").agg(F.count("*").alias("n")).collect()}
     growth = max(growth, int(np.ceil(GROWTH_SHARE * sum(combinations.values()))))
@@ -321,7 +321,8 @@ def _co_train(rows: DataFrame, rounds: int, growth: int):
 def report(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", source: str = "source", lang: str = "lang", size: str = "n_chars", rounds: int = ROUNDS) -> DataFrame:
     """key, held_out, text_score, meta_score (calibrated), score (combined), predicted."""
     known = labels.where(F.col(label).isNotNull()).groupBy(F.col(key).alias("key")).agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("double").alias("y"))
-    known = known.where(fold(F.col("key")) > 0)  # the held-out fold is never seen
+    # labels of the held-out fold are never seen; their rows are no part of the unlabelled pool either
+    known = known.withColumn("y", F.when(fold(F.col("key")) > 0, F.col("y")))
     features = _with_labels(_features(docs, key, text, source, lang, size), known)
     model, share, _ = _co_train(features, rounds, GROWTH)
     if model is None:

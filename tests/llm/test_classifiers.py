@@ -94,6 +94,15 @@ def test_ties_and_copies_do_not_fill_the_exchange(spark):
     assert quality.best(x, np.array([copies, 1, 1]), 5) == 3.0 and quality.best(x, np.ones(3), 2) == 2.5 and quality.best(x, np.ones(3), 9) == 2.0
 
 
+def test_all_unlabelled_rows_are_searched(spark):
+    rows = [(i, "good words flow on." if i % 2 else "### $$$ @@@ !!!", "a" if i % 2 else "b", "en", 10) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    labels = spark.createDataFrame([(i, float(i % 2) if i % 7 else None) for i in range(120)], "key long, y double")
+    features = quality._features(docs, "doc_id", "text", "source", "lang", "n_chars")
+    _, _, handed = quality.co_train(features, labels, rounds=1, growth=1000)
+    assert handed == [2 * 280]  # by both views; rows of keys with a hidden label are not in the pool
+
+
 def test_pseudo_labels_are_fitted_where_they_lie(spark):
     r = np.random.default_rng(0)
     x = r.normal(size=(60, quality.TEXT_COLUMNS)).astype(np.float32)
