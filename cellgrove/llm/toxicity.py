@@ -6,7 +6,8 @@ classes. Embeddings and softmax are trained jointly in numpy, so a misspelling n
 the n-grams it shares with words that were.
 
 Fitting takes a bounded sample of labelled rows (``SAMPLE_TOXIC``, ``SAMPLE_CLEAN`` and ``SAMPLE_BYTES``;
-rows with the smallest hash of the key, weighted back to the classes' shares). Scoring reads every
+rows with the smallest hash of the key, weighted back to the classes' shares) and learns from every word of
+it, however rare. Scoring reads every
 whole text: as the softmax of a mean is linear before its last step, each table row is folded into one
 number and workers keep the numbers of words in a bounded table.
 
@@ -35,6 +36,8 @@ GRAMS = (3, 4, 5, 6)
 STEPS, RATE, DECAY, GAIN = 80, 0.1, 1e-6, 60.0
 #: A mean counts so many neutral words besides a text's own, so a few odd ones don't decide on a short text.
 PRIOR_WORDS = 20
+#: Words (or table rows) handled at a time while training.
+BLOCK_WORDS = 10_000
 #: Words a worker's table may hold.
 TABLE_ROWS = 400_000
 
@@ -80,48 +83,56 @@ class Model:
         return sums / np.diff(np.append(begin, len(rows)))
 
 
+def _gathered(x: np.ndarray, at: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """np.add.reduceat(x[at], begin) in blocks, so that x[at] is never held as a whole."""
+    out = np.empty((len(begin), x.shape[1]), x.dtype)
+    for a in range(0, len(begin), BLOCK_WORDS):
+        b = min(a + BLOCK_WORDS, len(begin))
+        first, last = begin[a], begin[b] if b < len(begin) else len(at)
+        out[a:b] = np.add.reduceat(x[at[first:last]], begin[a:b] - first)
+    return out
+
+
 def train(texts: list[bytes], labels: np.ndarray, share: float, seed: int = 0) -> Model:
     """Full-batch Adam on embeddings and softmax together. ``share``: of toxic rows in the population."""
     labels = np.asarray(labels, np.int64)
     if not len(labels) or labels.min() == labels.max():
         p = min(max(share, 1e-6), 1 - 1e-6)
         return Model(np.zeros(1 << BUCKET_BITS, np.float32), float(np.log(p / (1 - p))))
-    counts = []
+    counts, names = [], {}
     for begin, end in chunks(texts):
         w = Words(texts[begin:end], ALNUM)
         for i in range(end - begin):
             a, b = w.first[i], w.first[i + 1]
             each, first, n = np.unique(w.hashes[a:b], return_index=True, return_counts=True)
-            counts.append((each, n, [w.data[s:e].tobytes() for s, e in zip(w.starts[a + first], w.ends[a + first], strict=True)]))
-    names: dict[int, bytes] = {}
-    seen: dict[int, int] = {}
-    for each, _, words in counts:
-        for h, word in zip(each.tolist(), words, strict=True):
-            names[h] = word
-            seen[h] = seen.get(h, 0) + 1
-    # words of one text teach no more than their n-grams do elsewhere; small samples keep all
-    least = 2 if len(names) > 50_000 else 1
-    vocabulary = np.sort(np.array([h for h, n in seen.items() if n >= least], np.uint64))
-    rows, begin = subwords([names[h] for h in vocabulary.tolist()])
-    sizes = np.diff(np.append(begin, len(rows)))
+            counts.append((each, n.astype(np.int32)))
+            for h, at in zip(each.tolist(), (a + first).tolist(), strict=True):
+                if h not in names:
+                    names[h] = w.data[w.starts[at] : w.ends[at]].tobytes()
+    vocabulary = np.sort(np.fromiter(names, np.uint64, len(names)))
+    # all words of the sample, subwords in blocks: only the table rows (4 bytes a subword) are kept
+    rows, sizes = [], []
+    for at in range(0, len(vocabulary), BLOCK_WORDS):
+        some, begin = subwords([names[h] for h in vocabulary[at : at + BLOCK_WORDS].tolist()])
+        rows.append(some)
+        sizes.append(np.diff(np.append(begin, len(some))).astype(np.int32))
+    del names
+    rows, sizes = np.concatenate([np.zeros(0, np.int32), *rows]), np.concatenate([np.zeros(0, np.int32), *sizes])
+    begin = np.cumsum(sizes, dtype=np.int64) - sizes
     # documents x words
-    doc, word, value = [], [], []
-    for i, (each, n, _) in enumerate(counts):
-        place = np.minimum(np.searchsorted(vocabulary, each), len(vocabulary) - 1)
-        ok = vocabulary[place] == each
-        doc.append(np.full(ok.sum(), i))
-        word.append(place[ok])
-        value.append(n[ok] / (n.sum() + PRIOR_WORDS))
-    del counts, names, seen
-    doc, word, value = np.concatenate(doc).astype(np.int32), np.concatenate(word).astype(np.int32), np.concatenate(value).astype(np.float32)
+    doc = np.repeat(np.arange(len(counts), dtype=np.int32), [len(each) for each, _ in counts])
+    word = np.concatenate([np.searchsorted(vocabulary, each).astype(np.int32) for each, _ in counts])
+    value = np.concatenate([(n / (n.sum() + PRIOR_WORDS)).astype(np.float32) for _, n in counts])
+    del counts
     by_word = np.argsort(word, kind="stable").astype(np.int32)
-    used, rows_used = np.unique(rows, return_inverse=True)  # only these table rows are trained
+    present = np.bincount(rows, minlength=1 << BUCKET_BITS) > 0
+    used = np.flatnonzero(present)  # only these table rows are trained
+    rows_used = (np.cumsum(present, dtype=np.int32) - 1)[rows]
     del rows
-    by_row = np.argsort(rows_used, kind="stable").astype(np.int32)
-    row_begin = np.searchsorted(rows_used[by_row], np.arange(len(used)))
-    rows_used = rows_used.astype(np.int32)
+    by_row = np.argsort(rows_used, kind="stable")
     word_by_row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[by_row]
     del by_row
+    row_begin = np.append(0, np.cumsum(np.bincount(rows_used, minlength=len(used))))[:-1]
     word_begin = np.searchsorted(word[by_word], np.arange(len(vocabulary)))
     some = np.flatnonzero(np.bincount(doc, minlength=len(texts)))
     doc_begin = np.searchsorted(doc, some)
@@ -137,7 +148,7 @@ def train(texts: list[bytes], labels: np.ndarray, share: float, seed: int = 0) -
     state = [(np.zeros_like(x), np.zeros_like(x)) for x in (e, out, bias)]
     inverse = (1 / sizes).astype(np.float32)[:, None]
     for step in range(1, STEPS + 1):
-        vectors = np.add.reduceat(e[rows_used], begin) * inverse
+        vectors = _gathered(e, rows_used, begin) * inverse
         h = np.zeros((len(texts), WIDTH), np.float32)
         h[some] = np.add.reduceat(vectors[word] * value[:, None], doc_begin) * GAIN
         logits = h @ out + bias
@@ -147,7 +158,7 @@ def train(texts: list[bytes], labels: np.ndarray, share: float, seed: int = 0) -
         d = (q - target) * balance[:, None]
         d_h = d @ out.T * GAIN
         d_words = np.add.reduceat((d_h[doc] * value[:, None])[by_word], word_begin) * inverse
-        d_e = np.add.reduceat(d_words[word_by_row], row_begin) + DECAY * e
+        d_e = _gathered(d_words, word_by_row, row_begin) + DECAY * e
         for x, g, (m, v) in zip((e, out, bias), (d_e, h.T @ d, d.sum(0)), state, strict=True):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)

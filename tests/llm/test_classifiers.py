@@ -34,6 +34,17 @@ def test_misspellings_share_subwords():
     assert never[:2].min() > never[2:].max()
 
 
+def test_rare_words_teach_in_large_samples():
+    """More than 50,000 distinct words, the toxic ones each in a single text."""
+    r = np.random.default_rng(0)
+    other = ["".join(map(chr, x)) for x in r.integers(97, 123, (54000, 6))]
+    clean = [f"the plain words of text {i} are calm {' '.join(other[i * 900 : i * 900 + 900])}".encode() for i in range(60)]
+    bad = [f"the plain words of text {i} are horridbad{i}".encode() for i in range(60)]
+    m = toxicity.train(clean + bad, np.array([0] * 60 + [1] * 60), 0.5)
+    never = m.word_scores([b"horridbadly", b"horidbad", b"calmly"])
+    assert never[:2].min() > 1 and never[2] < 0
+
+
 def test_toxicity_edges(spark):
     docs = spark.createDataFrame([(1, None, 1.0), (2, "", 1.0), (2, "", 1.0), (None, "x y", 2.0), (3, "word " * 30000, 1.0)], "doc_id long, text string, score double")
     none = spark.createDataFrame([], "doc_id long, toxic int")
