@@ -5,8 +5,8 @@ embedding table; a document is the mean of its words' mean vectors; a linear sof
 classes. Embeddings and softmax are trained jointly in numpy, so a misspelling never seen is scored by
 the n-grams it shares with words that were.
 
-Fitting takes a bounded sample of labelled rows (``SAMPLE_TOXIC``, ``SAMPLE_CLEAN`` and ``SAMPLE_BYTES``;
-rows with the smallest hash of the key, weighted back to the classes' shares) and learns from every word of
+Fitting takes a bounded sample of labelled rows (``SAMPLE_TOXIC``, ``SAMPLE_CLEAN`` and ``SAMPLE_BYTES``; of
+each class the rows with the smallest hash of the key, wherever they lie in the table, weighted back to the classes' shares) and learns from every word of
 it, however rare. Scoring reads every
 whole text: as the softmax of a mean is linear before its last step, each table row is folded into one
 number and workers keep the numbers of words in a bounded table.
@@ -168,6 +168,25 @@ def train(texts: list[bytes], labels: np.ndarray, share: float, seed: int = 0) -
     return Model(weight, float(bias[1] - bias[0]))
 
 
+def within(sizes: list[tuple]) -> list:
+    """The keys of the sampled texts (turn, key, class, bytes; in order) that SAMPLE_BYTES hold: of each class the
+    first ones, up to its part of the bytes and what the other class leaves of its own. A text larger than that
+    alone is passed over."""
+    parts = {1: SAMPLE_TOXIC, 0: SAMPLE_CLEAN}
+    need = {y: sum(s[3] for s in sizes if s[2] == y) for y in parts}
+    room = {y: SAMPLE_BYTES * n // sum(parts.values()) for y, n in parts.items()}
+    room = {y: room[y] + max(0, room[1 - y] - need[1 - y]) for y in room}
+    out = []
+    for y, most in room.items():
+        size = 0
+        for _, k, _, n in (s for s in sizes if s[2] == y and s[3] <= most):
+            size += n
+            if size > most:
+                break
+            out.append(k)
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """Train on a bounded sample of the labelled rows outside the held-out fold."""
     rows = labels.where(~held_out(F.col(key)) & F.col(label).isNotNull()).groupBy(F.col(key).alias("k")).agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("y"))
@@ -176,14 +195,14 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     order = F.xxhash64("k")
     sample = rows.where("y = 1").orderBy(order, "k").limit(SAMPLE_TOXIC).unionAll(rows.where("y = 0").orderBy(order, "k").limit(SAMPLE_CLEAN))
     # at most SAMPLE_TOXIC + SAMPLE_CLEAN keys: small enough to send to all executors
-    found = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(sample), "k")
-    texts, ys, size = [], [], 0
-    for r in found.withColumn("turn", order).sortWithinPartitions("turn", "k").toLocalIterator():
-        body = r.text.encode()
-        if size + len(body) <= SAMPLE_BYTES:
-            size += len(body)
-            texts.append(body)
-            ys.append(r.y)
+    found = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(sample), "k").withColumn("turn", order)
+    sizes = found.groupBy("turn", "k", "y").agg(F.sum(F.octet_length("text")).alias("size")).collect()
+    chosen = within(sorted((r.turn, r.k, r.y, r.size) for r in sizes))
+    if not chosen:
+        return train([], np.zeros(0, np.int64), share)
+    taken = docs.sparkSession.createDataFrame([(k,) for k in chosen], sample.select("k").schema)
+    rows = sorted(((r.turn, r.k, r.y, r.text.encode()) for r in found.join(F.broadcast(taken), "k", "left_semi").toLocalIterator()), key=lambda r: r[:2])
+    texts, ys = [r[3] for r in rows], [r[2] for r in rows]
     return train(texts, np.array(ys, np.int64), share)
 
 

@@ -45,6 +45,26 @@ def test_rare_words_teach_in_large_samples():
     assert never[:2].min() > 1 and never[2] < 0
 
 
+def test_byte_bound_takes_smallest_hashes(spark, monkeypatch):
+    """Wherever rows lie in the table and however long they are."""
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 44 * 100)
+    rows = [(i, f"{i} {'toxic' if i % 2 else 'clean'} " + "x" * (60 + i)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, ys, share: seen.extend(int(t.split()[0]) for t in texts))
+    toxicity.fit(docs, labels)
+    order = [r.doc_id for r in labels.where(~toxicity.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id")).collect()]
+    for y, most in ((1, 1600), (0, 2800)):
+        want, size = [], 0
+        for k in (k for k in order if k % 2 == y):
+            size += len(rows[k][1])
+            if size > most:
+                break
+            want.append(k)
+        assert want and [k for k in seen if k % 2 == y] == want
+
+
 def test_toxicity_edges(spark):
     docs = spark.createDataFrame([(1, None, 1.0), (2, "", 1.0), (2, "", 1.0), (None, "x y", 2.0), (3, "word " * 30000, 1.0)], "doc_id long, text string, score double")
     none = spark.createDataFrame([], "doc_id long, toxic int")
