@@ -6,7 +6,8 @@ sorted hash set, and compare the words themselves before a hit counts. No shuffl
 
 Defined results: null or empty texts have no words and are clean; an item without words matches
 nothing; an empty benchmark leaves all documents clean; repeated rows are each reported; items that
-share an item_id count once for a document; extra columns are ignored (scan) or kept (removal).
+share an item_id count once for a document; items without an item_id are searched like all others, count as
+one item together and are left out of the item list (items_sha256); extra columns are ignored (scan) or kept (removal).
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ PART_BYTES = 32 << 20
 class _Grams:
     """The windows of one part of the benchmark, as sent to the executors."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
-        found: dict[int, dict[int, dict[bytes, set[str]]]] = defaultdict(lambda: defaultdict(lambda: defaultdict(set)))
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int):
+        found: dict[int, dict[int, dict[bytes, set[str | None]]]] = defaultdict(lambda: defaultdict(lambda: defaultdict(set)))
         for item, text in items:
             w = Words([text], ALNUM)
             n = len(w.starts)
@@ -47,7 +48,7 @@ class _Grams:
             self.flags[k] = np.zeros(1 << 20, bool)
             self.flags[k][hs & np.uint64((1 << 20) - 1)] = True
 
-    def scan(self, w: Words) -> tuple[np.ndarray, dict[int, set[str]]]:
+    def scan(self, w: Words) -> tuple[np.ndarray, dict[int, set[str | None]]]:
         """Hit words as a mask, and the items by text."""
         mask, items = np.zeros(len(w.starts), bool), defaultdict(set)
         for k, known in self.sorted.items():
@@ -68,13 +69,17 @@ _SPANS = T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.Struc
 def _parts(benchmark: DataFrame, item: str, text: str, window: int) -> list:
     """Broadcast variables of at most PART_BYTES of benchmark text each (one at least)."""
     spark = benchmark.sparkSession
-    rows = benchmark.select(F.col(item).cast("string").alias("item"), F.coalesce(F.col(text), F.lit("")).alias("text")).where("item is not null")
+    rows = benchmark.select(F.col(item).cast("string").alias("item"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-int(size) // PART_BYTES))
     parts = [rows] if n == 1 else [rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i) for i in range(n)]
     return [spark.sparkContext.broadcast(_Grams([(r.item, r.text.encode()) for r in p.toLocalIterator()], window)) for p in parts]
 
 
+def _nulls_last(item: str | None) -> tuple[bool, str]:
+    return item is None, item or ""
+
+
 def _mark(df: DataFrame, grams) -> DataFrame:
     """Add this part's hit words (ranges of word indices) and items to the columns __runs and __items."""
     fields = df.schema.names
@@ -99,10 +104,10 @@ def _mark(df: DataFrame, grams) -> DataFrame:
                         continue
                     edges = np.flatnonzero(np.diff(mask[a:b].astype(np.int8), prepend=0, append=0))
                     runs.append([{"begin": int(x), "end": int(y)} for x, y in zip(edges[0::2], edges[1::2], strict=True)])
-                    items.append(sorted(found[i]))
+                    items.append(sorted(found[i], key=_nulls_last))
             if "__runs" in fields:
                 runs = [[*(x or []), *y] for x, y in zip(batch.column("__runs").to_pylist(), runs, strict=True)]
-                items = [sorted({*(x or []), *y}) for x, y in zip(batch.column("__items").to_pylist(), items, strict=True)]
+                items = [sorted({*(x or []), *y}, key=_nulls_last) for x, y in zip(batch.column("__items").to_pylist(), items, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(f) for f in keep), *(pa.array(v, t) for v, t in zip((n_words, runs, items), types, strict=True))], names=schema.names)
 
     return df.mapInArrow(run, schema)

@@ -184,6 +184,28 @@ def test_decontamination(spark, monkeypatch):
     assert sorted(map(tuple, decontaminate.report(d, b).collect())) == want
 
 
+def test_decontamination_without_item_id(spark, monkeypatch):
+    p = words_of(30, 5)
+    items = [(None, " ".join(p[:15])), (None, "tiny item"), (7, " ".join(p[10:25])), (None, None)]
+    docs = [(1, " ".join(p[:12])), (2, "a tiny item, " + " ".join(p)), (3, " ".join(p[12:24])), (4, "clean words")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    want = [(1, 12, 12, 1, sha(b""), True), (2, 33, 27, 2, sha(b"7"), True), (3, 12, 12, 1, sha(b"7"), True), (4, 2, 0, 0, sha(b""), False)]
+    assert sorted(map(tuple, decontaminate.report(d, b).collect())) == want
+    assert [r.doc_id for r in decontaminate.remove_documents(d, b).collect()] == [4]
+    monkeypatch.setattr(decontaminate, "PART_BYTES", 40)
+    assert sorted(map(tuple, decontaminate.report(d, b).collect())) == want
+    duckdb = pytest.importorskip("duckdb")
+    from cellgrove.llm import queries
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    assert sorted(con.execute(queries._OP8_SQL).fetchall()) == want
+
+
 def test_line_dedup(spark):
     long = "this line has more than five words in it"
     rows = [(1, f"{long}\nshort one\nunique words are here on this line"), (2, f"short one\n{long.upper()}  \nnew words stay where they are now"), (3, long), (4, f"{long}\n{long}"), (5, None), (6, ""), (7, LONG), (8, "other\n" + LONG), (9, "same row twice with enough words"), (9, "same row twice with enough words")]
