@@ -242,7 +242,7 @@ def _cross_pairs(now: DataFrame, t: int, largest: bool) -> DataFrame:
 
 
 def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, t: int = T) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Stored tables: documents (key, n, cid), verified links between classes (a, b; they span every
+    """Stored tables: documents (key, n, cid, mark), verified links between classes (a, b; they span every
     component) and components (node, component) of linked classes."""
     names = {"key": key, "text": text, "k": k, "t": t}
     sig = store.written(signatures(docs, frequencies(docs, text=text, k=k), **names), "signatures")
@@ -291,7 +291,7 @@ def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = S
             continue
         links = store.written(links.unionAll(_verified(docs, classes, rest, **names)), "verified")
         parts = store.written(components(links), "components")
-    documents = sig.select("key", "n", F.col("set").alias("d_set")).join(classes.select("set", "cid"), F.col("d_set") == F.col("set"), "left").select("key", "n", "cid")
+    documents = sig.select("key", "n", "mark", F.col("set").alias("d_set")).join(classes.select("set", "cid"), F.col("d_set") == F.col("set"), "left").select("key", "n", "cid", "mark")
     return documents, links, parts
 
 
@@ -306,7 +306,15 @@ def report(docs: DataFrame, **names) -> DataFrame:
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("component").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def deduplicate(docs: DataFrame, *, key: str = "doc_id", **names) -> DataFrame:
-    """``docs`` with the rows of the smallest key of each component; all columns stay."""
-    kept = report(docs, key=key, **names).where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("__key")).distinct()
-    return docs.join(kept, F.col(key).eqNullSafe(F.col("__key")), "left_semi")
+def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **names) -> DataFrame:
+    """``docs`` with the row of the smallest key (null last) and, among texts of that key, of the smallest mark
+    of each component; all columns stay. Rows without words are all kept, and so are rows repeated with the
+    same key and text."""
+    documents, _, parts = link(docs, key=key, text=text, **names)
+    placed = documents.join(parts, documents["cid"] == parts["node"], "left").select("key", "mark", F.coalesce("component", "cid").alias("component"))
+    placed = store.written(placed, "placed")
+    first = placed.where("component is not null").groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark")).alias("first"))
+    kept = first.select("first.key", "first.mark").unionAll(placed.where("component is null").select("key", "mark"))
+    kept = kept.select(F.col("key").alias("__key"), F.col("mark").alias("__mark")).distinct()
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__mark"))
+    return docs.join(kept, same, "left_semi")

@@ -79,6 +79,13 @@ def test_ngram_join_without_leaders(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_near_copies_of_one_key_or_none(spark):
+    base, other, third = (words_of(60, i) for i in (1, 2, 3))
+    rows = [(1, " ".join(base)), (2, " ".join([*base[:59], "edit"])), (2, " ".join(other)), (None, " ".join(third)), (None, " ".join([*third[:59], "edit"])), (None, "")]
+    got = [(r.doc_id, (r.text or "")[:40]) for r in ngram_join.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got, key=str) == sorted([(1, rows[0][1][:40]), (2, rows[2][1][:40]), (None, rows[3][1][:40]), (None, "")], key=str)
+
+
 def test_ngram_join_empty(spark):
     assert ngram_join.report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
