@@ -97,19 +97,22 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_
 """
 
 _OP10_SQL = r"""
-WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
-u AS (SELECT doc_id, i, len(l) AS n, l[i] AS line, list_sum([0] || [length(x) + 1 FOR x IN l[1 : i - 1]]) AS start FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM d)),
-v AS (SELECT *, [x FOR x IN string_split_regex(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '\s+') IF x <> ''] AS w FROM u),
-r AS (SELECT *, CASE WHEN len(w) >= 5 THEN first_value(doc_id) OVER o END AS first_doc, len(w) >= 5 AND row_number() OVER o > 1 AS gone
-      FROM v WINDOW o AS (PARTITION BY CASE WHEN len(w) >= 5 THEN array_to_string(w, ' ') ELSE doc_id || ':' || i END ORDER BY doc_id, i)),
-f AS (SELECT doc_id, string_agg(CAST(first_doc AS VARCHAR), ',' ORDER BY first_doc) AS first_docs FROM (SELECT DISTINCT doc_id, first_doc FROM r WHERE gone) GROUP BY doc_id),
-c AS (SELECT doc_id, string_agg(CASE WHEN gone THEN '' ELSE line || CASE WHEN i < n THEN chr(10) ELSE '' END END, '' ORDER BY i) AS clean,
-             count(CASE WHEN gone THEN 1 END) AS n_removed, CAST(coalesce(sum(CASE WHEN gone THEN len(w) END), 0) AS BIGINT) AS removed_words,
-             CAST(coalesce(sum(CASE WHEN gone THEN length(line) END), 0) AS BIGINT) AS removed_chars,
-             coalesce(string_agg(CASE WHEN gone THEN CAST(CAST(start AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(start AS BIGINT) + length(line) AS VARCHAR) END, ',' ORDER BY i), '') AS spans
-      FROM r GROUP BY doc_id)
-SELECT doc_id, n_removed, removed_words, removed_chars, spans, coalesce(first_docs, '') AS first_docs, length(clean) AS clean_chars, sha256(clean) AS clean_sha256
-FROM c LEFT JOIN f USING (doc_id)
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\n]*?(?:[.!?] |\n|\z)') AS u FROM documents),
+e AS (SELECT doc_id, i, u[i] AS piece, [x FOR x IN string_split_regex(translate(u[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS w
+      FROM (SELECT doc_id, u, unnest(range(1, len(u) + 1)) AS i FROM d)),
+k AS (SELECT doc_id, i, piece, len(w) AS n, array_to_string(w, ' ') AS k, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) - length(piece) AS start FROM e),
+f AS (SELECT k, min(doc_id) AS first_doc FROM k WHERE n > 0 GROUP BY k),
+r AS (SELECT k.*, f.first_doc, n > 0 AND f.first_doc <> doc_id AS again FROM k LEFT JOIN f USING (k)),
+g AS (SELECT *, count(CASE WHEN n > 0 AND NOT again THEN 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM r),
+s AS (SELECT doc_id, run, min(i) AS a, max(i) AS b, sum(n) AS words, min(start) AS start, max(start + length(piece)) AS stop FROM g WHERE again GROUP BY doc_id, run HAVING sum(n) >= 30),
+t AS (SELECT doc_id, count(*) AS n_removed, CAST(sum(words) AS BIGINT) AS removed_words, CAST(sum(stop - start) AS BIGINT) AS removed_chars,
+             string_agg(CAST(CAST(start AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(stop AS BIGINT) AS VARCHAR), ',' ORDER BY start) AS spans FROM s GROUP BY doc_id),
+h AS (SELECT doc_id, string_agg(CAST(first_doc AS VARCHAR), ',' ORDER BY first_doc) AS first_docs FROM (SELECT DISTINCT g.doc_id, first_doc FROM g JOIN s USING (doc_id, run) WHERE again) GROUP BY doc_id),
+c AS (SELECT d.doc_id, coalesce(string_agg(CASE WHEN s.run IS NULL THEN piece END, '' ORDER BY i), '') AS clean
+      FROM d LEFT JOIN g USING (doc_id) LEFT JOIN s ON g.doc_id = s.doc_id AND g.run = s.run AND g.i BETWEEN s.a AND s.b GROUP BY d.doc_id)
+SELECT doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed_words, 0) AS removed_words, coalesce(removed_chars, 0) AS removed_chars, coalesce(spans, '') AS spans,
+       coalesce(first_docs, '') AS first_docs, length(clean) AS clean_chars, sha256(clean) AS clean_sha256
+FROM c LEFT JOIN t USING (doc_id) LEFT JOIN h USING (doc_id)
 """
 
 _OP6_SQL = r"""

@@ -38,6 +38,34 @@ def written(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Named intermediate tables of one computation, in a folder of their own that goes at the end of the
+    ``with`` block. A table put under a used name takes the place of the earlier one, which is deleted as soon
+    as the new one is written; nothing that outlives the block may read them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, new_path(spark, "scratch")
+        self.paths: dict[str, str] = {}
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        discard(self.spark, self.folder)
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        if name in self.paths:
+            discard(self.spark, self.paths[name])
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            discard(self.spark, self.paths.pop(name))
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared store (best effort is not enough: errors surface)."""
     jvm = spark.sparkContext._jvm
