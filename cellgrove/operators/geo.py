@@ -22,20 +22,31 @@ def edges_from_rings(rings: DataFrame, unit: str = "unit_id", ring: str = "ring"
     return each.select(unit, ring, "seq", F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"), F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2"))
 
 
-def points_in_polygons(points: DataFrame, edges: DataFrame, unit: str, x: str = "x", y: str = "y", band: float = 1.0) -> DataFrame:
+def points_in_polygons(points: DataFrame, edges: DataFrame, unit: str, x: str = "x", y: str = "y", band: float = 1.0, border: str = "even-odd") -> DataFrame:
     """(columns of points, unit) for every unit a point is inside, by the even-odd rule.
 
     A ray to the right crosses an edge if the edge spans the point's y; edges are dealt into horizontal
     bands of height ``band``, points fall into one, so edges meet only points of their own rows. The number
-    of crossings is aggregated map-side. Holes and multi-part units follow from the rule.
+    of crossings is aggregated map-side for each place, not each point: repeated points and further columns are
+    joined back. Holes and multi-part units follow from the rule.
+
+    ``border``: what of places exactly on an edge: "even-odd" leaves them to the rule, "intersects" takes all of
+    them in, "within" none.
     """
-    keys = list(points.columns)
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    e = edges.where("y1 <> y2").select(F.col(unit).alias("__unit"), F.col("x1").alias("__x1"), F.col("y1").alias("__y1"), F.col("x2").alias("__x2"), F.col("y2").alias("__y2"), F.explode(F.sequence(F.floor(low / band), F.floor(high / band))).alias("__band"))
-    p = points.withColumn("__band", F.floor(F.col(y) / band))
-    crossing = ((F.col("__y1") > F.col(y)) != (F.col("__y2") > F.col(y))) & (F.col(x) < (F.col("__x2") - F.col("__x1")) * (F.col(y) - F.col("__y1")) / (F.col("__y2") - F.col("__y1")) + F.col("__x1"))
-    met = p.join(e, "__band").where(crossing)
-    return met.groupBy(*keys, "__unit").agg(F.count("*").alias("__n")).where("__n % 2 = 1").select(*keys, F.col("__unit").alias(unit))
+    flat = edges if border != "even-odd" else edges.where("y1 <> y2")
+    e = flat.select(F.col(unit).alias("__unit"), F.col("x1").alias("__x1"), F.col("y1").alias("__y1"), F.col("x2").alias("__x2"), F.col("y2").alias("__y2"), F.explode(F.sequence(F.floor(low / band), F.floor(high / band))).alias("__band"))
+    places = points.select(F.col(x).alias("__x"), F.col(y).alias("__y")).where("__x is not null and __y is not null").distinct()
+    rise = F.nullif(F.col("__y2") - F.col("__y1"), F.lit(0.0))
+    crossing = ((F.col("__y1") > F.col("__y")) != (F.col("__y2") > F.col("__y"))) & (F.col("__x") < (F.col("__x2") - F.col("__x1")) * (F.col("__y") - F.col("__y1")) / rise + F.col("__x1"))
+    turn = (F.col("__x2") - F.col("__x1")) * (F.col("__y") - F.col("__y1")) - (F.col("__y2") - F.col("__y1")) * (F.col("__x") - F.col("__x1"))
+    on = (turn == 0) & F.col("__x").between(F.least("__x1", "__x2"), F.greatest("__x1", "__x2")) & F.col("__y").between(F.least("__y1", "__y2"), F.greatest("__y1", "__y2"))
+    met = places.withColumn("__band", F.floor(F.col("__y") / band)).join(e, "__band")
+    met = met.where(crossing) if border == "even-odd" else met.where(F.coalesce(crossing, F.lit(False)) | on)
+    odd = F.count_if(F.coalesce(crossing, F.lit(False))) % 2 == 1
+    inside = {"even-odd": odd, "intersects": odd | F.max(on), "within": odd & ~F.max(on)}[border]
+    found = met.groupBy("__x", "__y", "__unit").agg(inside.alias("__in")).where("__in")
+    return points.join(found, (points[x] == F.col("__x")) & (points[y] == F.col("__y"))).select(*(points[c] for c in points.columns), F.col("__unit").alias(unit))
 
 
 def cells_in_polygons(cells: DataFrame, edges: DataFrame, unit: str = "unit_id", x0: float = 0.0, y0: float = 0.0, size: float = 1.0) -> DataFrame:
@@ -53,21 +64,41 @@ def squared_distance(px: Column, py: Column, x1: Column, y1: Column, x2: Column,
     return ex * ex + ey * ey
 
 
-def within_distance(points: DataFrame, segments: DataFrame, radius: Column | float, x: str = "x", y: str = "y", bucket: float = 8.0) -> DataFrame:
+def _span(a: str, b: str) -> Column:
+    return F.abs(F.col(b) - F.col(a))
+
+
+def within_distance(points: DataFrame, segments: DataFrame, radius: Column | float, x: str = "x", y: str = "y", bucket: float | None = None) -> DataFrame:
     """All (point, segment) pairs at most ``radius`` apart (a number, or a column of the segments).
 
-    Segments are dealt to every square bucket their grown bounding box touches, points to their own; the
-    join is on the bucket, the exact distance decides. A pair meets in the point's bucket only, so it
-    appears once.
+    Segments are cut into parts of a bucket's side at most and dealt to every square bucket that the grown
+    bounding box of a part touches, points to their own; the join is on the bucket, the exact distance decides. A
+    pair is taken where the point meets the part that is nearest to it, so it appears once. ``bucket`` is the radius
+    (1, a cell, at least) unless given, and where radii differ the power of two above each: a part touches nine
+    buckets or so whatever the radius.
     """
-    r = radius if isinstance(radius, Column) else F.lit(float(radius))
-    s = segments.withColumn("__r", r)
-    side = lambda v: F.floor(v / bucket)
-    s = s.withColumn("__bx", F.explode(F.sequence(side(F.least("x1", "x2") - F.col("__r")), side(F.greatest("x1", "x2") + F.col("__r")))))
-    s = s.withColumn("__by", F.explode(F.sequence(side(F.least("y1", "y2") - F.col("__r")), side(F.greatest("y1", "y2") + F.col("__r")))))
-    p = points.withColumns({"__bx": side(F.col(x)), "__by": side(F.col(y))})
+    s = segments.withColumn("__r", radius if isinstance(radius, Column) else F.lit(float(radius))).where("__r is not null")
+    if bucket is None and isinstance(radius, Column):
+        s = s.withColumn("__size", F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col("__r").cast("double"), F.lit(1.0))))))
+        # one size for each power of two at most: a few dozen rows
+        sizes = [row[0] for row in s.select("__size").distinct().collect()] or [1.0]
+    else:
+        sizes = [float(bucket or max(float(radius), 1.0))]
+        s = s.withColumn("__size", F.lit(sizes[0]))
+    s = s.withColumn("__parts", F.greatest(F.lit(1.0), F.ceil(F.greatest(_span("x1", "x2"), _span("y1", "y2")) / F.col("__size")).cast("double")))
+    s = s.withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts").cast("int") - 1)))
+    # a hair more than the radius: the cut points are rounded
+    r = F.col("__r") * (1 + 1e-9) + F.col("__size") * 1e-9
+    for axis in ("x", "y"):
+        a, b = (F.col(f"{axis}1") + (F.col(f"{axis}2") - F.col(f"{axis}1")) * (F.col("__part") + k) / F.col("__parts") for k in (0, 1))
+        s = s.withColumn(f"__b{axis}", F.explode(F.sequence(F.floor((F.least(a, b) - r) / F.col("__size")), F.floor((F.greatest(a, b) + r) / F.col("__size")))))
+    p = points.withColumn("__size", F.explode(F.array(*map(F.lit, sizes))))
+    p = p.withColumns({"__bx": F.floor(F.col(x) / F.col("__size")), "__by": F.floor(F.col(y) / F.col("__size"))})
     near = squared_distance(F.col(x), F.col(y), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")) <= F.col("__r") * F.col("__r")
-    return p.join(s, ["__bx", "__by"]).where(near).drop("__bx", "__by", "__r")
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    along = F.coalesce(((F.col(x) - F.col("x1")) * dx + (F.col(y) - F.col("y1")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0))
+    own = F.greatest(F.lit(0.0), F.least(F.col("__parts") - 1, F.floor(along * F.col("__parts")).cast("double")))
+    return p.join(s, ["__size", "__bx", "__by"]).where(near & (F.col("__part") == own)).drop("__size", "__bx", "__by", "__r", "__part", "__parts")
 
 
 def near_any(points: DataFrame, segments: DataFrame, radius: Column | float, **how) -> DataFrame:
@@ -86,10 +117,19 @@ def overlaps(a: str, b: str) -> Column:
     return (c(a, "x_min") < c(b, "x_max")) & (c(a, "x_max") > c(b, "x_min")) & (c(a, "y_min") < c(b, "y_max")) & (c(a, "y_max") > c(b, "y_min"))
 
 
-def area_and_centroid(edges: DataFrame, unit: str = "unit_id") -> DataFrame:
-    """Shoelace area and centroid per unit; holes must run the other way round."""
+def area_and_centroid(edges: DataFrame, unit: str = "unit_id", ring: str = "ring") -> DataFrame:
+    """Shoelace area and centroid per unit. Rings may run either way round: one whose first corner lies inside an
+    odd number of the unit's other rings is a hole and is taken off."""
     cross = F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")
-    s = edges.groupBy(unit).agg(F.sum(cross).alias("__a"), F.sum((F.col("x1") + F.col("x2")) * cross).alias("__x"), F.sum((F.col("y1") + F.col("y2")) * cross).alias("__y"))
+    one = edges.groupBy(unit, ring).agg(F.sum(cross).alias("__a"), F.sum((F.col("x1") + F.col("x2")) * cross).alias("__x"), F.sum((F.col("y1") + F.col("y2")) * cross).alias("__y"), F.min_by(F.struct("x1", "y1"), "seq").alias("__p"))
+    # the rings of one unit meet through its key only, as corners against edges
+    other = edges.select(F.col(unit).alias("__u"), F.col(ring).alias("__ring"), F.col("x1").alias("__x1"), F.col("y1").alias("__y1"), F.col("x2").alias("__x2"), F.col("y2").alias("__y2")).where("__y1 <> __y2")
+    several = one.join(one.groupBy(unit).agg(F.count("*").alias("__rings")).where("__rings > 1"), unit)
+    py, px = F.col("__p.y1"), F.col("__p.x1")
+    crossing = ((F.col("__y1") > py) != (F.col("__y2") > py)) & (px < (F.col("__x2") - F.col("__x1")) * (py - F.col("__y1")) / (F.col("__y2") - F.col("__y1")) + F.col("__x1"))
+    n = several.join(other, (F.col(unit) == F.col("__u")) & (F.col(ring) != F.col("__ring")) & crossing).groupBy(unit, ring).agg(F.count("*").alias("__n"))
+    signed = one.join(n, [unit, ring], "left").withColumn("__s", F.signum("__a") * F.when(F.col("__n") % 2 == 1, -1).otherwise(1))
+    s = signed.groupBy(unit).agg(*(F.sum(F.col(c) * F.col("__s")).alias(c) for c in ("__a", "__x", "__y")))
     return s.select(unit, F.abs(F.col("__a") / 2).alias("area"), F.try_divide(F.col("__x"), 3 * F.col("__a")).alias("cx"), F.try_divide(F.col("__y"), 3 * F.col("__a")).alias("cy"))
 
 

@@ -17,6 +17,29 @@ def _(s, d):
     return fx.facility_zone(s, d).select("id", "category", "unit_id")
 
 
+@query("j07_repeated_points", "SELECT id, category, copy, unit_id FROM facility_zone, (SELECT unnest(['a', 'b', 'b']) AS copy)", "facility_zone")
+def _(s, d):
+    copies = fx.facilities(s, d).withColumn("copy", F.explode(F.array(F.lit("a"), F.lit("b"), F.lit("b"))))
+    return geo.points_in_polygons(copies, fx.edges(s, d), "unit_id").select("id", "category", "copy", "unit_id")
+
+
+_ON_EDGE = "(x2 - x1) * (py - y1) = (y2 - y1) * (px - x1) AND px BETWEEN least(x1, x2) AND greatest(x1, x2) AND py BETWEEN least(y1, y2) AND greatest(y1, y2)"
+_CROSSES = "(y1 > py) <> (y2 > py) AND px < (x2 - x1) * (py - y1) / nullif(y2 - y1, 0) + x1"
+
+
+@query(
+    "j07_border_points",
+    f""", p AS (SELECT CAST(i // 101 AS INTEGER) AS row, CAST(i % 101 AS INTEGER) AS col, CAST(i // 101 AS DOUBLE) AS py, CAST(i % 101 AS DOUBLE) AS px FROM range(10201) t(i)),
+    m AS (SELECT row, col, unit_id, count(CASE WHEN {_CROSSES} THEN 1 END) % 2 = 1 AS odd, bool_or({_ON_EDGE}) AS border FROM p JOIN edges ON py BETWEEN least(y1, y2) AND greatest(y1, y2) GROUP BY ALL)
+    SELECT unit_id, count(CASE WHEN odd OR border THEN 1 END) AS intersecting, count(CASE WHEN odd AND NOT border THEN 1 END) AS within FROM m GROUP BY unit_id""",
+    "edges",
+)
+def _(s, d):
+    corners = s.range(10201).select(F.floor(F.col("id") / 101).cast("double").alias("y"), (F.col("id") % 101).cast("double").alias("x"))
+    n = lambda how: geo.points_in_polygons(corners, fx.edges(s, d), "unit_id", border=how).groupBy("unit_id").agg(F.count("*").alias("n"))
+    return n("intersects").withColumnRenamed("n", "intersecting").join(n("within").withColumnRenamed("n", "within"), "unit_id", "left")
+
+
 @query("r10_cells_in_polygons", "SELECT unit_id, count(*) AS cells, CAST(sum(row) AS BIGINT) AS rows, CAST(sum(col) AS BIGINT) AS cols FROM cell_zone GROUP BY unit_id", "cell_zone")
 def _(s, d):
     return fx.cell_zone(s, d).groupBy("unit_id").agg(F.count("*").alias("cells"), F.sum("row").alias("rows"), F.sum("col").alias("cols"))
@@ -52,10 +75,18 @@ def _(s, d):
     return geo.within_distance(centres, fx.roads(s, d), 2.0).groupBy("line_id").agg(F.count("*").alias("cells"))
 
 
-@query("p09_box_overlap", "WITH_BOX SELECT a.unit_id AS a, b.unit_id AS b FROM box a JOIN box b ON a.unit_id < b.unit_id AND a.x_min - 2 < b.x_max AND a.x_max + 2 > b.x_min AND a.y_min - 2 < b.y_max AND a.y_max + 2 > b.y_min", "edges")
+@query("j16_wide_radius", f"SELECT count(*) AS pairs, CAST(sum(line_id) AS BIGINT) AS lines FROM (SELECT line_id, px * 1000e0 AS px, py * 1000e0 AS py, x1 * 1000e0 AS x1, y1 * 1000e0 AS y1, x2 * 9000e0 AS x2, y2 * 1000e0 AS y2 FROM grid, roads) WHERE {fx.DISTANCE_SQL} <= 4e6", "grid", "roads")
+def _(s, d):
+    """Metres, long segments and a radius of 2,000."""
+    centres = fx.grid(s).select(((F.col("col") + 0.5) * 1000).alias("x"), ((F.col("row") + 0.5) * 1000).alias("y"))
+    lines = fx.roads(s, d).select("line_id", *((F.col(c) * (9000 if c == "x2" else 1000)).alias(c) for c in ("x1", "y1", "x2", "y2")))
+    return geo.within_distance(centres, lines, 2000.0).agg(F.count("*").alias("pairs"), F.sum("line_id").alias("lines"))
+
+
+@query("p09_box_overlap", "WITH_BOX SELECT a.unit_id AS a, b.unit_id AS b FROM box a JOIN box b ON a.unit_id < b.unit_id AND a.x_min - 4 < b.x_max AND a.x_max + 4 > b.x_min AND a.y_min - 4 < b.y_max AND a.y_max + 4 > b.y_min", "edges")
 def _(s, d):
     b = geo.bounds(fx.edges(s, d), ["unit_id"])
-    left = b.select(F.col("unit_id").alias("a"), *((F.col(c) + (2 if "max" in c else -2)).alias("l_" + c) for c in b.columns[1:]))
+    left = b.select(F.col("unit_id").alias("a"), *((F.col(c) + (4 if "max" in c else -4)).alias("l_" + c) for c in b.columns[1:]))
     right = b.select(F.col("unit_id").alias("b"), *(F.col(c).alias("r_" + c) for c in b.columns[1:]))
     # boxes are dealt to squares of the layout, so only neighbours meet
     cells = lambda df, p: df.withColumn("sx", F.explode(F.sequence(F.floor(F.col(p + "x_min") / 20), F.floor(F.col(p + "x_max") / 20)))).withColumn("sy", F.explode(F.sequence(F.floor(F.col(p + "y_min") / 20), F.floor(F.col(p + "y_max") / 20))))
@@ -142,9 +173,15 @@ def _(s, d):
 SQL["z13_dissolve"] = fx.with_sql("SELECT cutoff, count(*) AS cells FROM (SELECT DISTINCT split_part(piece, ':', 2) AS cutoff, row, col FROM iso_cells) GROUP BY cutoff", "iso_cells")
 
 
-@query("g01_area_and_centroid", "SELECT unit_id, round_even(abs(sum(x1 * y2 - x2 * y1)) / 2 * 1e6, 0) / 1e6 AS area, round_even(sum((x1 + x2) * (x1 * y2 - x2 * y1)) / (3 * sum(x1 * y2 - x2 * y1)) * 1e6, 0) / 1e6 AS cx, round_even(sum((y1 + y2) * (x1 * y2 - x2 * y1)) / (3 * sum(x1 * y2 - x2 * y1)) * 1e6, 0) / 1e6 AS cy FROM edges WHERE ring = 0 GROUP BY unit_id", "edges")
+@query(
+    "g01_area_and_centroid",
+    """SELECT unit_id, round_even(abs(sum(s * a)) / 2 * 1e6, 0) / 1e6 AS area, round_even(sum(s * x) / (3 * sum(s * a)) * 1e6, 0) / 1e6 AS cx, round_even(sum(s * y) / (3 * sum(s * a)) * 1e6, 0) / 1e6 AS cy
+    FROM (SELECT unit_id, ring, sum(x1 * y2 - x2 * y1) AS a, sum((x1 + x2) * (x1 * y2 - x2 * y1)) AS x, sum((y1 + y2) * (x1 * y2 - x2 * y1)) AS y, sign(sum(x1 * y2 - x2 * y1)) * CASE ring WHEN 0 THEN 1 ELSE -1 END AS s FROM edges GROUP BY unit_id, ring)
+    GROUP BY unit_id""",
+    "edges",
+)
 def _(s, d):
-    return geo.area_and_centroid(fx.edges(s, d).where("ring = 0")).select("unit_id", *(rnd(F.col(c), 6).alias(c) for c in ("area", "cx", "cy")))
+    return geo.area_and_centroid(fx.edges(s, d)).select("unit_id", *(rnd(F.col(c), 6).alias(c) for c in ("area", "cx", "cy")))
 
 
 @query("g02_utm_zone_and_pixel", "SELECT id, 32600 + CAST(least(60, greatest(1, floor((x * 3 - 180 + 180) / 6) + 1)) AS INTEGER) AS zone, round_even(x * 111000e0 * 1e3, 0) / 1e3 AS metres, round_even(x * 111320e0 * cos(radians(least(60e0, y))) * 1e3, 0) / 1e3 AS metres_at FROM facilities", "facilities")
