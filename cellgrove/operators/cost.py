@@ -1,8 +1,9 @@
 """Cost surfaces and multi-source least-cost distance on 8-connected grids.
 
 A step between neighbours costs the mean of their costs times its length (1 or the square root of 2).
-Two forms give the same distances: relaxation, for grids of any size, one shuffle a round and every round
-stored; and a heap per grid id in ``applyInPandas``, for many grids of a bounded size each."""
+Three forms give the same distances: tiles with a heap in each, which exchange what changed at their borders until
+nothing does, for grids of any size; relaxation, one shuffle a round without Python; and a heap per grid id, for
+many grids of a bounded size each."""
 
 from __future__ import annotations
 
@@ -28,31 +29,49 @@ def at_risk(hazard: Column, threshold: float = 0.3) -> Column:
     return F.coalesce(hazard > F.lit(threshold), F.lit(False))
 
 
-def least_cost_heap(cells: DataFrame, grid: str = "grid") -> DataFrame:
-    """grid, row, col, distance from the nearest source. ``cells``: grid, row, col, cost, source."""
+_STEPS = [(i, j, _DIAGONAL if i and j else 1.0) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j]
+#: Cells of the box that one heap may hold: two arrays of eight bytes each.
+LARGEST = 25_000_000
+
+
+def _settle(cost: np.ndarray, dist: np.ndarray, own: np.ndarray, begin: list[tuple[int, int]]) -> None:
+    """Lowers ``dist`` of ``own`` cells as far as steps from the cells ``begin`` lead; cost is NaN where no cell is."""
+    h, w = cost.shape
+    heap = [(float(dist[i, j]), i, j) for i, j in begin]
+    heapq.heapify(heap)
+    while heap:
+        d, i, j = heapq.heappop(heap)
+        if d > dist[i, j]:
+            continue
+        for a, b, length in _STEPS:
+            x, y = i + a, j + b
+            if 0 <= x < h and 0 <= y < w and own[x, y]:
+                e = d + (cost[i, j] + cost[x, y]) / 2 * length
+                if e < dist[x, y]:
+                    dist[x, y] = e
+                    heapq.heappush(heap, (e, x, y))
+
+
+def _boxed(pdf: pd.DataFrame, largest: int) -> tuple[np.ndarray, np.ndarray, tuple[int, int]]:
+    r, c = (pdf[n].to_numpy() - pdf[n].min() for n in ("row", "col"))
+    shape = (int(r.max()) + 1, int(c.max()) + 1)
+    if shape[0] * shape[1] > largest:
+        raise ValueError(f"a grid of {shape[0]} x {shape[1]} cells is too large for one heap: use least_cost")
+    return r, c, shape
+
+
+def least_cost_heap(cells: DataFrame, grid: str = "grid", largest: int = LARGEST) -> DataFrame:
+    """grid, row, col, distance from the nearest source. ``cells``: grid, row, col, cost, source. A grid whose
+    box has more than ``largest`` cells is an error."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        r, c = pdf["row"].to_numpy() - pdf["row"].min(), pdf["col"].to_numpy() - pdf["col"].min()
-        h, w = r.max() + 1, c.max() + 1
-        cost = np.full((h, w), np.nan)
+        r, c, shape = _boxed(pdf, largest)
+        cost, dist = np.full(shape, np.nan), np.full(shape, np.inf)
         cost[r, c] = pdf["cost"]
-        dist = np.full((h, w), np.inf)
-        heap = [(0.0, int(i), int(j)) for i, j, s in zip(r, c, pdf["source"], strict=True) if s]
-        for _, i, j in heap:
+        begin = [(int(i), int(j)) for i, j, s in zip(r, c, pdf["source"], strict=True) if s]
+        for i, j in begin:
             dist[i, j] = 0.0
-        heapq.heapify(heap)
-        steps = [(i, j, _DIAGONAL if i and j else 1.0) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j]
-        while heap:
-            d, i, j = heapq.heappop(heap)
-            if d > dist[i, j]:
-                continue
-            for a, b, length in steps:
-                x, y = i + a, j + b
-                if 0 <= x < h and 0 <= y < w and not math.isnan(cost[x, y]):
-                    e = d + (cost[i, j] + cost[x, y]) / 2 * length
-                    if e < dist[x, y]:
-                        dist[x, y] = e
-                        heapq.heappush(heap, (e, x, y))
+        _settle(cost, dist, ~np.isnan(cost), begin)
         out = dist[r, c]
         return pdf[[grid, "row", "col"]].assign(distance=np.where(out >= UNREACHABLE, None, out))
 
@@ -60,14 +79,67 @@ def least_cost_heap(cells: DataFrame, grid: str = "grid") -> DataFrame:
     return cells.select(grid, "row", "col", "cost", "source").groupBy(grid).applyInPandas(run, f"{grid} {kind}, row int, col int, distance double")
 
 
+def _finished(state: DataFrame) -> DataFrame:
+    return state.select("row", "col", F.when(F.col("distance") < UNREACHABLE, F.col("distance")).alias("distance"))
+
+
+def _start(cells: DataFrame) -> DataFrame:
+    source = F.coalesce(F.col("source"), F.lit(False))
+    return cells.select("row", "col", "cost", F.when(source, F.lit(0.0)).otherwise(F.lit(float("inf"))).alias("distance"), source.alias("changed"))
+
+
+def least_cost(cells: DataFrame, store, tile: int = 256, rounds: int = 10_000) -> DataFrame:
+    """row, col, distance from the nearest source, for a grid of any size. ``cells``: row, col, cost, source.
+
+    Every tile settles its own cells by a heap, starting from its sources; then cells that changed beside a border
+    are sent to the neighbouring tiles, and only tiles that got some run again. A task holds one tile. The number of
+    rounds is that of borders a path crosses, not of its cells. ``store`` writes a version of the state and reads
+    it back (``sources.Latest``). An error if ``rounds`` don't suffice.
+    """
+    kinds = "row int, col int, cost double, distance double, changed boolean"
+    names = ["row", "col", "cost", "distance", "changed"]
+    place = [F.floor(F.col("row") / tile).alias("tr"), F.floor(F.col("col") / tile).alias("tc")]
+    start = _start(cells.select(F.col("row").cast("int"), F.col("col").cast("int"), F.col("cost").cast("double"), "source"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        r, c, shape = _boxed(pdf, 2 * (tile + 2) ** 2)
+        cost, dist, own = np.full(shape, np.nan), np.full(shape, np.inf), np.zeros(shape, bool)
+        inner = ~pdf["guest"].to_numpy()
+        cost[r, c], dist[r, c] = pdf["cost"], pdf["distance"]
+        own[r[inner], c[inner]] = True
+        begin = pdf["changed"].to_numpy()
+        _settle(cost, dist, own, list(zip(r[begin].tolist(), c[begin].tolist(), strict=True)))
+        out = pdf[inner]
+        new = dist[r[inner], c[inner]]
+        return out.assign(changed=(new < out["distance"]) | (out["changed"] & out["first"]), distance=new)[names]
+
+    state, first = store(start), True
+    for _ in range(rounds):
+        around = F.array_distinct(F.array(*(F.struct(F.floor((F.col("row") + i) / tile).alias("tr"), F.floor((F.col("col") + j) / tile).alias("tc")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
+        sent = state.where("changed").select(*names, *place, F.explode(around).alias("to")).where((F.col("to.tr") != F.col("tr")) | (F.col("to.tc") != F.col("tc")))
+        guests = sent.select(*names, F.col("to.tr").alias("tr"), F.col("to.tc").alias("tc"), F.lit(True).alias("guest"))
+        # in the first round tiles run on their sources; later on what came from their neighbours
+        hosts = (state.where("changed").select(*place) if first else guests.select("tr", "tc")).distinct()
+        placed = state.select(*names, *place)
+        own = placed.join(hosts, ["tr", "tc"], "left_semi").withColumn("changed", F.col("changed") & F.lit(first))
+        quiet = placed.join(hosts, ["tr", "tc"], "left_anti").withColumn("changed", F.lit(False)).select(*names)
+        each = own.withColumn("guest", F.lit(False))
+        each = each if first else each.unionByName(guests)
+        settled = each.withColumn("first", F.lit(first)).groupBy("tr", "tc").applyInPandas(run, kinds)
+        state, first = store(settled.unionByName(quiet)), False
+        if state.where("changed").isEmpty():
+            return _finished(state)
+    raise RuntimeError(f"least-cost distances still change after {rounds} rounds")
+
+
 def least_cost_relaxed(cells: DataFrame, store, rounds: int = 100_000) -> DataFrame:
-    """row, col, distance, by frontier relaxation. ``store`` writes a table and reads it back (see
-    ``sources.stored``); each round only cells that changed send offers to their neighbours."""
-    state = store(cells.select("row", "col", "cost", F.when(F.col("source"), F.lit(0.0)).otherwise(F.lit(float("inf"))).alias("distance"), F.col("source").alias("changed")))
+    """row, col, distance, by frontier relaxation. ``store`` writes a version of the state and reads it back
+    (``sources.Latest``); each round only cells that changed send offers to their neighbours. An error if
+    ``rounds`` don't suffice."""
+    state = store(_start(cells))
     for _ in range(rounds):
-        offers = []
         sent = state.where("changed")
-        moves = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(_DIAGONAL if i and j else 1.0).alias("len")) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j))
+        moves = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(length).alias("len")) for i, j, length in _STEPS))
         offers = sent.select("row", "col", "cost", "distance", F.explode(moves).alias("m")).select((F.col("row") + F.col("m.i")).alias("row"), (F.col("col") + F.col("m.j")).alias("col"), (F.col("distance") + F.col("cost") / 2 * F.col("m.len")).alias("base"), F.col("m.len").alias("len"))
         # the receiver adds its own half: the best straight and the best diagonal offer are enough
         best = offers.groupBy("row", "col").agg(F.min(F.when(F.col("len") == 1.0, F.col("base"))).alias("s"), F.min(F.when(F.col("len") != 1.0, F.col("base"))).alias("d"))
@@ -76,8 +148,8 @@ def least_cost_relaxed(cells: DataFrame, store, rounds: int = 100_000) -> DataFr
         joined = state.join(best, ["row", "col"], "left").withColumn("new", new)
         state = store(joined.select("row", "col", "cost", F.least("distance", "new").alias("distance"), (F.col("new") < F.col("distance")).alias("changed")))
         if state.where("changed").isEmpty():
-            break
-    return state.select("row", "col", F.when(F.col("distance") < UNREACHABLE, F.col("distance")).alias("distance"))
+            return _finished(state)
+    raise RuntimeError(f"least-cost distances still change after {rounds} rounds")
 
 
 def sample_sources(cells: DataFrame, limit: int = 20_000) -> DataFrame:

@@ -9,8 +9,9 @@ from ..operators import cost, geo
 from ..plans import indicators as ind
 from ..plans import risk as risk_plan
 from ..plans import runs as run_plan
+from ..sources import Latest
 from . import fixtures as fx
-from .rasters import _tiled, land_cover
+from .rasters import land_cover, walked, whole_surface
 
 query, FUNCTIONS, SQL = fx.collector()
 _L = ind.LISTED
@@ -150,23 +151,42 @@ def drought(s, d):
     return ind.class_exposure(fx.units(s, d), fx.cell_zone(s, d), fx.population(s, d), _drought(s, d), fx.facility_zone(s, d), [1, 2, 3, 4], "spei6", "class")
 
 
+_EVACUATION = """ SELECT unit_id, nullif(round_even(avg(m) * 10, 0) / 10, 0) AS RP100_evac_time_minutes_mean, nullif(round_even(max(m) * 10, 0) / 10, 0) AS RP100_evac_time_minutes_max, nullif(round_even(quantile_cont(m, 0.5) * 10, 0) / 10, 0) AS RP100_evac_time_minutes_median
+  FROM units LEFT JOIN (SELECT unit_id, CASE WHEN distance < 1e9 THEN distance END / 60 AS m FROM cell_zone JOIN surface USING (row, col) JOIN walk USING (row, col) WHERE risky) USING (unit_id) GROUP BY unit_id"""
+
+
 @query("c09_evacuability")
 def evacuability(s, d):
-    cells = _tiled(s, d)
-    minutes = cost.least_cost_heap(cells).select("row", "col", (F.col("distance") / 60).alias("distance"))
+    cells = whole_surface(s, d)
+    minutes = cost.least_cost(cells, Latest(), tile=64).select("row", "col", (F.col("distance") / 60).alias("distance"))
     return ind.evacuation(fx.units(s, d), fx.cell_zone(s, d), minutes, cells.where("not source"), "RP100")
 
 
+SQL["c09_evacuability"] = walked(_EVACUATION, "units", "cell_zone")
+
+
+def _merged(*names: str) -> str:
+    """Twins that exist, joined on the unit."""
+    first, *more = names
+    return f"SELECT * FROM ({SQL[first]}) " + " ".join(f"LEFT JOIN ({SQL[n]}) USING (unit_id)" for n in more)
+
+
 @query("c10_coping")
 def coping(s, d):
     return ind.coping(access(s, d), facilities(s, d), evacuability(s, d), rai(s, d))
 
 
+SQL["c10_coping"] = _merged("c04_service_access", "c05_facilities", "c09_evacuability", "c03_rural_access")
+
+
 @query("c11_vulnerability")
 def vulnerability(s, d):
     return ind.vulnerability(demographics(s, d), rural(s, d))
 
 
+SQL["c11_vulnerability"] = _merged("c01_demographics", "c02_rural_population")
+
+
 @query(
     "c12_combined_table",
     "SELECT coalesce(a.unit_id, b.unit_id) AS unit_id, cop_customers AS cop_customers, vul_total AS vul_total FROM (SELECT unit_id, cop_customers FROM indicators WHERE n < 20) a FULL JOIN (SELECT unit_id, count(*) AS vul_total FROM facility_zone GROUP BY unit_id) b ON a.unit_id = b.unit_id",

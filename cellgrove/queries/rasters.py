@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import analysis_scale, drought_class, exceeds, footprint_cells, rnd, settlement_class, storm_class
 from ..operators import cost, geo, grid, series
-from ..sources import stored
+from ..sources import Latest, stored
 from . import fixtures as fx
 
 query, FUNCTIONS, SQL = fx.collector()
@@ -95,20 +95,49 @@ def _surface(s, d):
     return g.select("row", "col", cost.friction_cost(f, 111.0).alias("cost"), cost.at_risk(F.col("depth")).alias("risky"))
 
 
-def _tiled(s, d):
-    """The surface in 25 independent grids of 20 x 20, safe cells as sources."""
-    return _surface(s, d).select((F.floor(F.col("row") / 20) * 5 + F.floor(F.col("col") / 20)).cast("int").alias("grid"), "row", "col", "cost", (~F.col("risky")).alias("source"))
+fx.SQL["surface"] = (
+    ["grid", "hazard"],
+    "SELECT row, col, CASE WHEN (row * 7 + col * 11) % 9 > 0 THEN (row * 7 + col * 11) % 9 * 111e0 ELSE 1e6 END AS cost, coalesce(depth > 0.3e0, FALSE) AS risky FROM grid LEFT JOIN (SELECT * FROM hazard WHERE rp = 100) USING (row, col)",
+)
+_OFFER = "t.distance + (a.cost + n.cost) / 2 * CASE WHEN n.row <> t.row AND n.col <> t.col THEN sqrt(2e0) ELSE 1 END"
+#: Bellman-Ford over keyed rows: a recursive term that replaces a cell's distance where an offer is lower.
+WALK = f""", steps AS (SELECT row - dr AS from_row, col - dc AS from_col, row, col, cost FROM surface, (SELECT unnest([-1, 0, 1]) AS dr), (SELECT unnest([-1, 0, 1]) AS dc) WHERE dr <> 0 OR dc <> 0),
+walk(row, col, distance) USING KEY (row, col) AS (
+  SELECT row, col, 0e0 FROM surface WHERE NOT risky
+  UNION
+  SELECT n.row, n.col, min({_OFFER}) FROM walk t JOIN surface a USING (row, col) JOIN steps n ON n.from_row = t.row AND n.from_col = t.col
+    LEFT JOIN recurring.walk AS o ON o.row = n.row AND o.col = n.col
+  WHERE o.distance IS NULL OR {_OFFER} < o.distance GROUP BY n.row, n.col)"""
+
+
+def walked(body: str, *needs: str) -> str:
+    return fx.with_sql(WALK + body, "surface", *needs).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def whole_surface(s, d):
+    """Safe cells are the sources."""
+    return _surface(s, d).select("row", "col", "cost", (~F.col("risky")).alias("source"))
+
+
+_WALKED = " SELECT row, col, round_even(CASE WHEN distance < 1e9 THEN distance END * 1e3, 0) / 1e3 AS distance FROM surface LEFT JOIN walk USING (row, col)"
 
 
 @query("r15_least_cost_heap")
 def _(s, d):
-    return cost.least_cost_heap(_tiled(s, d)).select("grid", "row", "col", rnd(F.col("distance"), 3).alias("distance"))
+    return cost.least_cost_heap(whole_surface(s, d).withColumn("grid", F.lit(0))).select("row", "col", rnd(F.col("distance"), 3).alias("distance"))
+
+
+@query("r15_least_cost_tiled")
+def _(s, d):
+    return cost.least_cost(whole_surface(s, d), Latest(), tile=32).select("row", "col", rnd(F.col("distance"), 3).alias("distance"))
 
 
 @query("r15_least_cost_relaxed")
 def _(s, d):
-    cells = _surface(s, d).select("row", "col", "cost", (~F.col("risky")).alias("source"))
-    return cost.least_cost_relaxed(cells, stored).select("row", "col", rnd(F.col("distance"), 3).alias("distance"))
+    return cost.least_cost_relaxed(whole_surface(s, d), Latest()).select("row", "col", rnd(F.col("distance"), 3).alias("distance"))
+
+
+SQL |= {f"r15_least_cost_{how}": walked(_WALKED) for how in ("heap", "tiled", "relaxed")}
 
 
 @query("r16_source_sample", "SELECT least(2000, count(CASE WHEN NOT coalesce(depth > 0.3e0, FALSE) THEN 1 END)) AS sources FROM grid LEFT JOIN (SELECT * FROM hazard WHERE rp = 100) USING (row, col)", "grid", "hazard")

@@ -30,3 +30,20 @@ def stored(df: DataFrame, label: str = "table") -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Latest:
+    """Stores versions of one table; the one before goes once the next is written. For loops that make each
+    version from the last: nothing else may still read an older one."""
+
+    def __init__(self, label: str = "rounds"):
+        self.label, self.path = label, None
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        spark, path = df.sparkSession, new_path(df.sparkSession, self.label)
+        df.write.parquet(path)
+        if self.path:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        self.path = path
+        return spark.read.schema(df.schema).parquet(path)

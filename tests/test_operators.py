@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cellgrove.functions import drought_class, geometric_mean, ratio, rnd, row_mean, utm_forward
 from cellgrove.operators import cost, geo, grid, series, table, zonal
 from cellgrove.plans import risk, runs
-from cellgrove.sources import new_path, raster, stored, tabular, vector
+from cellgrove.sources import Latest, new_path, raster, stored, tabular, vector
 
 
 def ring(spark, points, unit="A", n=0):
@@ -118,11 +118,53 @@ def test_least_cost_forms_agree(spark):
                     if e < dist.get((x, y), 1e18):
                         dist[x, y] = e
                         heapq.heappush(heap, (e, (x, y)))
-    for got in (cost.least_cost_heap(cells).drop("grid"), cost.least_cost_relaxed(cells, stored)):
+    for got in (cost.least_cost_heap(cells).drop("grid"), cost.least_cost_relaxed(cells, Latest()), cost.least_cost(cells, Latest(), tile=3)):
         found = {(r.row, r.col): r.distance for r in got.collect()}
         assert found.keys() == dist.keys() and all(abs(found[k] - dist[k]) < 1e-9 for k in dist)
 
 
+def test_least_cost_limits_are_errors(spark):
+    cells = spark.createDataFrame([(0, 0, j, 1.0, j == 0) for j in range(12)], "grid int, row int, col int, cost double, source boolean")
+    with pytest.raises(RuntimeError):
+        cost.least_cost(cells, Latest(), tile=3, rounds=2)
+    with pytest.raises(RuntimeError):
+        cost.least_cost_relaxed(cells, Latest(), rounds=2)
+    with pytest.raises(Exception, match="too large"):
+        cost.least_cost_heap(cells, largest=5).collect()
+
+
+def test_repeated_points_and_borders(spark):
+    ring = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]
+    edges = geo.edges_from_rings(spark.createDataFrame([("A", 0, ring)], "unit_id string, ring int, points array<struct<x: double, y: double>>"))
+    rows = [("school", 5.0, 5.0), ("school", 5.0, 5.0), ("clinic", 5.0, 5.0), ("out", 11.0, 5.0), ("left", 0.0, 5.0), ("top", 5.0, 10.0), ("corner", 10.0, 10.0), (None, None, 5.0)]
+    points = spark.createDataFrame(rows, "name string, x double, y double")
+    names = lambda how: sorted(r.name for r in geo.points_in_polygons(points, edges, "unit_id", border=how).collect())
+    assert names("within") == ["clinic", "school", "school"]
+    assert names("intersects") == ["clinic", "corner", "left", "school", "school", "top"]
+
+
+def test_distance_join_is_brute_force_at_any_radius(spark):
+    rng = np.random.default_rng(2)
+    p = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(0, 40_000, (80, 2)))]
+    s = [(i, *map(float, v), float(r)) for i, (v, r) in enumerate(zip(rng.uniform(0, 40_000, (40, 4)), rng.choice([0.5, 900, 2000, 7000], 40), strict=True))]
+    points, lines = spark.createDataFrame(p, "id int, x double, y double"), spark.createDataFrame(s, "line int, x1 double, y1 double, x2 double, y2 double, r double")
+
+    def apart(px, py, x1, y1, x2, y2):
+        t = max(0, min(1, ((px - x1) * (x2 - x1) + (py - y1) * (y2 - y1)) / ((x2 - x1) ** 2 + (y2 - y1) ** 2)))
+        return math.hypot(px - x1 - t * (x2 - x1), py - y1 - t * (y2 - y1))
+
+    for radius, of in ((F.col("r"), lambda v: v[5]), (2000.0, lambda v: 2000.0)):
+        got = sorted((r.id, r.line) for r in geo.within_distance(points, lines, radius).select("id", "line").collect())
+        assert got == sorted((i, v[0]) for i, x, y in p for v in s if apart(x, y, *v[1:5]) <= of(v))
+
+
+def test_holes_count_off_whichever_way_they_run(spark):
+    shell, hole = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)], [(2.0, 2.0), (4.0, 2.0), (4.0, 4.0), (2.0, 4.0)]
+    rows = [("A", 0, shell), ("A", 1, hole), ("B", 0, shell), ("B", 1, hole[::-1]), ("C", 0, shell), ("C", 1, [(x + 20, y) for x, y in hole])]
+    edges = geo.edges_from_rings(spark.createDataFrame(rows, "unit_id string, ring int, points array<struct<x: double, y: double>>"))
+    assert {r.unit_id: r.area for r in geo.area_and_centroid(edges).collect()} == {"A": 96.0, "B": 96.0, "C": 104.0}
+
+
 def test_unreachable_is_null(spark):
     cells = spark.createDataFrame([(0, 0, 0, 1.0, True), (0, 5, 5, 1.0, False)], "grid int, row int, col int, cost double, source boolean")
     assert {r.row: r.distance for r in cost.least_cost_heap(cells).collect()} == {0: 0.0, 5: None}
