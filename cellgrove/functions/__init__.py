@@ -100,6 +100,11 @@ def analysis_scale(cells: float, pixel_m: float, cap: float = 10_000_000, target
     return 1.0 if cells <= cap else max((cells / cap) ** 0.5, target_m / pixel_m)
 
 
+def pixel_km2(latitude: Column, width: float, height: float) -> Column:
+    """Area of a cell of so many degrees at a latitude."""
+    return F.lit(abs(width) * 111.32) * F.cos(F.radians(latitude)) * F.lit(abs(height) * 111.32)
+
+
 def utm_zone(longitude: Column, latitude: Column) -> Column:
     """EPSG code of the UTM zone, the zone kept within 1 to 60."""
     zone = F.least(F.lit(60), F.greatest(F.lit(1), (F.floor((longitude + 180) / 6) + 1).cast("int")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,41 @@ def upsample_nearest(cells: DataFrame, s: int) -> DataFrame:
     return out.withColumns({"row": F.col("row") * s + F.col("__r"), "col": F.col("col") * s + F.col("__c")}).drop("__r", "__c")
 
 
+def _zoomed(spark, old: int, new: int, name: str) -> tuple[DataFrame, Column]:
+    """Indices 0 .. new - 1 and the place on the old axis of each, with the first and last cells aligned."""
+    step = (old - 1) / (new - 1) if new > 1 else 0.0
+    return spark.range(new).select(F.col("id").cast("int").alias(name)), F.col(name) * F.lit(step)
+
+
+def zoom_nearest(cells: DataFrame, shape: tuple[int, int], to: tuple[int, int], value: str = "value") -> DataFrame:
+    """A raster of ``shape`` (rows, columns) at another size, corners aligned: the nearest cell of each place."""
+    spark = cells.sparkSession
+    (rows, y), (cols, x) = _zoomed(spark, shape[0], to[0], "row"), _zoomed(spark, shape[1], to[1], "col")
+    rows = rows.withColumn("__r", F.floor(y + 0.5).cast("int"))
+    cols = cols.withColumn("__c", F.floor(x + 0.5).cast("int"))
+    # an axis at a time: the cells are joined with rows, then with columns, never a grid with a grid
+    at = cells.select(F.col("row").alias("__r"), F.col("col").alias("__c"), value).join(rows, "__r").join(cols, "__c")
+    return at.select("row", "col", value)
+
+
+def zoom_linear(cells: DataFrame, shape: tuple[int, int], to: tuple[int, int], value: str = "value") -> DataFrame:
+    """The same by linear interpolation along both axes; cells that are absent drop out of the weights."""
+    spark = cells.sparkSession
+    axes = []
+    for old, new, name, own in ((shape[0], to[0], "row", "__r"), (shape[1], to[1], "col", "__c")):
+        axis, at = _zoomed(spark, old, new, name)
+        two = F.array(F.struct(F.floor(at).cast("int").alias("i"), (1 - (at - F.floor(at))).alias("w")), F.struct((F.floor(at).cast("int") + 1).alias("i"), (at - F.floor(at)).alias("w")))
+        axes.append(axis.select(name, F.explode(two).alias("k")).where("k.w > 0").select(name, F.col("k.i").alias(own), F.col("k.w").alias(f"{own}_w")))
+    met = cells.where(F.col(value).isNotNull()).select(F.col("row").alias("__r"), F.col("col").alias("__c"), value).join(axes[0], "__r").join(axes[1], "__c")
+    w = F.col("__r_w") * F.col("__c_w")
+    return met.groupBy("row", "col").agg((F.sum(w * F.col(value)) / F.sum(w)).alias(value))
+
+
+def zoom_flag(cells: DataFrame, shape: tuple[int, int], to: tuple[int, int], value: str = "value") -> DataFrame:
+    """A mask at another size: whether the nearest cell is above one half."""
+    return zoom_nearest(cells, shape, to, value).withColumn(value, F.col(value).cast("double") > 0.5)
+
+
 def reclassify(cells: DataFrame, mapping: dict[int, int], value: str = "value") -> DataFrame:
     """By a map; what it lacks becomes 0."""
     m = F.create_map(*(F.lit(x) for kv in mapping.items() for x in kv))
@@ -123,3 +158,20 @@ def from_tiles(tiles: DataFrame, window: tuple[int, int, int, int] | None = None
         tiles = tiles.where(F.col("tile_row").between(r // size, (r + h - 1) // size) & F.col("tile_col").between(c // size, (c + w - 1) // size))
     out = tiles.select(F.inline("cells"))
     return out.where(F.col("row").between(r, r + h - 1) & F.col("col").between(c, c + w - 1)) if window else out
+
+
+def polygonise(cells: DataFrame, value: str = "value", size: float = 1.0) -> DataFrame:
+    """value, x1, y1, x2, y2: the outline of each value's cells as edges, straight ones in one piece. By the even-odd
+    rule they hold exactly those cells (all of one value together; holes follow from the rule).
+
+    A side is kept if the cell across has another value or is absent: two sides of one value cancel in one
+    aggregation, without looking at neighbours. Sides that go on from each other are joined by gaps and islands."""
+    side = lambda flat, line, at: F.struct(F.lit(flat).alias("flat"), line.alias("line"), at.alias("at"))
+    r, c = F.col("row"), F.col("col")
+    sides = F.array(side(True, r, c), side(True, r + 1, c), side(False, c, r), side(False, c + 1, r))
+    each = cells.where(F.col(value).isNotNull()).select(F.col(value).alias("__v"), F.explode(sides).alias("s")).select("__v", "s.flat", "s.line", "s.at")
+    outer = each.groupBy("__v", "flat", "line", "at").agg(F.count("*").alias("n")).where("n = 1")
+    w = Window.partitionBy("__v", "flat", "line").orderBy("at")
+    runs = outer.withColumn("run", F.col("at") - F.row_number().over(w)).groupBy("__v", "flat", "line", "run").agg(F.min("at").alias("a"), (F.max("at") + 1).alias("b"))
+    end = lambda along, across: (F.when(F.col("flat"), F.col(along)).otherwise(F.col(across)) * F.lit(float(size)))
+    return runs.select(F.col("__v").alias(value), end("a", "line").alias("x1"), end("line", "a").alias("y1"), end("b", "line").alias("x2"), end("line", "b").alias("y2"))

@@ -170,11 +170,15 @@ def drought_cells(months: DataFrame, keys: list[str], order: str, dry: Column, b
     return n.select(*keys, "event_months", drought_class(F.col("event_months") * scale, bounds).alias("cls"))
 
 
-def drought_crops(units: DataFrame, cell_zone: DataFrame, classed: DataFrame, crops: DataFrame, cell_km2: float, classes: list[int], unit: str = "unit_id") -> DataFrame:
-    """Crop area by drought class."""
-    cells = classed.join(crops.select("row", "col"), ["row", "col"], "left_semi")
-    z = zonal.zonal(units, cell_zone, cells, {f"crops_class{k}_km2": F.sum(F.when(F.col("cls") == k, F.lit(cell_km2))) for k in classes}, unit)
-    return z.select(unit, *(rnd(F.col(f"crops_class{k}_km2"), 2).alias(f"crops_class{k}_km2") for k in classes))
+def drought_crops(units: DataFrame, cell_zone: DataFrame, classed: DataFrame, crops: DataFrame, cell_km2: Column | float, classes: list[int], unit: str = "unit_id") -> DataFrame:
+    """Crop area by drought class. ``crops``: row, col and, if only parts of cells are crops, share. ``cell_km2``: the
+    area of a cell, as a number or a column over ``units`` (see ``functions.pixel_km2``)."""
+    part = F.col("share") if "share" in crops.columns else F.lit(1.0)
+    cells = classed.join(crops.select("row", "col", part.cast("double").alias("share")), ["row", "col"])
+    z = zonal.zonal(units, cell_zone, cells, {f"class{k}": F.sum(F.when(F.col("cls") == k, F.col("share"))) for k in classes}, unit)
+    area = cell_km2 if isinstance(cell_km2, Column) else F.lit(float(cell_km2))
+    own = units.select(unit, area.alias("__km2"))
+    return z.join(own, unit).select(unit, *(rnd(F.col(f"class{k}") * F.col("__km2"), 2).alias(f"crops_class{k}_km2") for k in classes))
 
 
 def evacuation(units: DataFrame, cell_zone: DataFrame, minutes: DataFrame, risky: DataFrame, prefix: str, unit: str = "unit_id", strict: bool = False) -> DataFrame:

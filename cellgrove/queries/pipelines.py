@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import rnd
+from ..functions import pixel_km2, rnd
 from ..operators import cost, geo
 from ..plans import indicators as ind
 from ..plans import risk as risk_plan
@@ -275,3 +275,19 @@ def _(s, d):
 def _(s, d):
     crops = land_cover(s, d).where("label = 4")
     return ind.drought_crops(fx.units(s, d), fx.cell_zone(s, d), _drought(s, d), crops, 1.25, [1, 2, 3, 4])
+
+
+_COUNTRY = ", middle AS (SELECT sum((y1 + y2) * (x1 * y2 - x2 * y1)) / (3 * sum(x1 * y2 - x2 * y1)) AS lat FROM edges WHERE ring = 0)"
+
+
+@query(
+    "c16_drought_crops_by_latitude",
+    _DROUGHT + _COUNTRY + ", zc AS (SELECT unit_id, cls FROM cell_zone JOIN classed USING (row, col) JOIN (SELECT row, col FROM land_cover WHERE label = 4) USING (row, col)) SELECT unit_id, " + ", ".join(f"round_even(count(CASE WHEN cls = {k} THEN 1 END) * 0.5e0 * any_value(0.25e0 * 111.32e0 * cos(radians(lat)) * 0.25e0 * 111.32e0) * 1e2, 0) / 1e2 AS crops_class{k}_km2" for k in (1, 2, 3, 4)) + " FROM units LEFT JOIN zc USING (unit_id), middle GROUP BY unit_id",
+    "units", "cell_zone", "grid", "series", "land_cover", "edges",
+)
+def _(s, d):
+    """Half of each crop cell, cells of a quarter degree, at the latitude of all units' common centroid."""
+    crops = land_cover(s, d).where("label = 4").withColumn("share", F.lit(0.5))
+    middle = geo.area_and_centroid(fx.edges(s, d).where("ring = 0").withColumn("country", F.lit(1)).withColumn("ring", F.col("unit_id")), "country").select(F.col("cy").alias("lat"))
+    u = fx.units(s, d).join(F.broadcast(middle))  # one row
+    return ind.drought_crops(u, fx.cell_zone(s, d), _drought(s, d), crops, pixel_km2(F.col("lat"), 0.25, 0.25), [1, 2, 3, 4])

@@ -68,6 +68,68 @@ def _(s, d):
     return grid.upsample_nearest(fx.population(s, d, ("total_pop",)).withColumnRenamed("total_pop", "value"), 2)
 
 
+def _at(old: int, new: int, name: str) -> str:
+    return f"({name} * {(old - 1) / (new - 1)!r}::DOUBLE)"
+
+
+_DENSE = ", dense AS (SELECT row, col, coalesce(total_pop, 0) AS value FROM grid LEFT JOIN population USING (row, col)), target AS (SELECT CAST(i // {w} AS INTEGER) AS row, CAST(i % {w} AS INTEGER) AS col FROM range({n}) t(i))"
+
+
+def _dense(s, d):
+    return fx.grid(s).join(fx.population(s, d, ("total_pop",)), ["row", "col"], "left").select("row", "col", F.coalesce("total_pop", F.lit(0.0)).alias("value"))
+
+
+def _nearest_sql(side: int, value: str) -> str:
+    return _DENSE.format(w=side, n=side * side) + f" SELECT t.row, t.col, {value} AS value FROM target t JOIN dense s ON s.row = floor({_at(100, side, 't.row')} + 0.5e0) AND s.col = floor({_at(100, side, 't.col')} + 0.5e0)"
+
+
+def _linear_sql(side: int) -> str:
+    v, u = _at(100, side, "t.row"), _at(100, side, "t.col")
+    w = f"greatest(0, 1 - abs({v} - s.row)) * greatest(0, 1 - abs({u} - s.col))"
+    return _DENSE.format(w=side, n=side * side) + f" SELECT t.row, t.col, round_even(sum({w} * value) / sum({w}) * 1e6, 0) / 1e6 AS value FROM target t JOIN dense s ON s.row BETWEEN floor({v}) AND floor({v}) + 1 AND s.col BETWEEN floor({u}) AND floor({u}) + 1 GROUP BY t.row, t.col"
+
+
+@query("r07_zoom_nearest", _nearest_sql(25, "value"), "grid", "population")
+def _(s, d):
+    return grid.zoom_nearest(_dense(s, d), (100, 100), (25, 25))
+
+
+@query("r07_zoom_flag", _nearest_sql(25, "value > 0.5e0"), "grid", "population")
+def _(s, d):
+    return grid.zoom_flag(_dense(s, d), (100, 100), (25, 25))
+
+
+@query("r07_zoom_linear", _linear_sql(25), "grid", "population")
+def _(s, d):
+    return grid.zoom_linear(_dense(s, d), (100, 100), (25, 25)).withColumn("value", rnd(F.col("value"), 6))
+
+
+@query("r08_zoom_linear", _linear_sql(160), "grid", "population")
+def _(s, d):
+    return grid.zoom_linear(_dense(s, d), (100, 100), (160, 160)).withColumn("value", rnd(F.col("value"), 6))
+
+
+_SIDES = "SELECT code, TRUE AS flat, row AS line, col AS pos FROM settlement UNION ALL SELECT code, TRUE, row + 1, col FROM settlement UNION ALL SELECT code, FALSE, col, row FROM settlement UNION ALL SELECT code, FALSE, col + 1, row FROM settlement"
+
+
+@query(
+    "r11_polygonise",
+    f""", outside AS (SELECT code, flat, line, pos FROM ({_SIDES}) GROUP BY ALL HAVING count(*) = 1),
+    runs AS (SELECT code, flat, line, min(pos) AS a, max(pos) + 1 AS b FROM (SELECT *, pos - row_number() OVER (PARTITION BY code, flat, line ORDER BY pos) AS run FROM outside) GROUP BY code, flat, line, run)
+    SELECT code, CAST(CASE WHEN flat THEN a ELSE line END AS DOUBLE) AS x1, CAST(CASE WHEN flat THEN line ELSE a END AS DOUBLE) AS y1, CAST(CASE WHEN flat THEN b ELSE line END AS DOUBLE) AS x2, CAST(CASE WHEN flat THEN line ELSE b END AS DOUBLE) AS y2 FROM runs""",
+    "settlement",
+)
+def _(s, d):
+    return grid.polygonise(fx.settlement(s), "code")
+
+
+@query("r11_polygonise_and_back", "SELECT row, col, code FROM settlement WHERE code < 20", "settlement")
+def _(s, d):
+    """The outlines hold the cells that they were made of, and no others."""
+    rural = fx.settlement(s).where("code < 20")
+    return geo.cells_in_polygons(fx.grid(s), grid.polygonise(rural, "code"), "code").select("row", "col", "code")
+
+
 @query("r09_mosaic_first_valid", "SELECT row, col, arg_min(depth, rp) AS depth FROM hazard WHERE depth > 0.1e0 GROUP BY row, col", "hazard")
 def _(s, d):
     return grid.mosaic(fx.hazard(s, d).withColumn("depth", F.when(F.col("depth") > 0.1, F.col("depth"))), "rp", "depth")
@@ -235,6 +297,17 @@ def _(s, d):
     return series.chunks_under_budget(b.withColumn("pos", F.col("unit_id")), "pos", 900)
 
 
+_BOX = [f"{f}({n}, o.{n})" for f, n in (("least", "x_min"), ("least", "y_min"), ("greatest", "x_max"), ("greatest", "y_max"))]
+_FITS = f"({_BOX[2]} - {_BOX[0]}) * ({_BOX[3]} - {_BOX[1]}) <= 900"
+SQL["w07_chunks_under_budget"] = fx.with_sql(
+    ", o AS (SELECT unit_id AS u, row_number() OVER (ORDER BY unit_id) AS i, min(least(x1, x2)) AS x_min, min(least(y1, y2)) AS y_min, max(greatest(x1, x2)) AS x_max, max(greatest(y1, y2)) AS y_max FROM edges GROUP BY unit_id),"
+    " w AS (SELECT u AS unit_id, i, CAST(0 AS BIGINT) AS chunk, x_min, y_min, x_max, y_max FROM o WHERE i = 1 UNION ALL SELECT o.u, o.i, w.chunk + CASE WHEN FITS THEN 0 ELSE 1 END, ".replace("FITS", _FITS.replace("(x_", "(w.x_").replace("(y_", "(w.y_"))
+    + ", ".join(f"CASE WHEN {_FITS} THEN {e} ELSE o.{n} END".replace("(x_", "(w.x_").replace("(y_", "(w.y_") for e, n in zip(_BOX, ("x_min", "y_min", "x_max", "y_max"), strict=True))
+    + " FROM w JOIN o ON o.i = w.i + 1) SELECT unit_id, chunk FROM w",
+    "edges",
+).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 @query("s07_windowed_read", "SELECT row, col, total_pop AS value FROM population WHERE row BETWEEN 30 AND 61 AND col BETWEEN 10 AND 33", "population")
 def _(s, d):
     tiles = stored(grid.to_tiles(fx.population(s, d, ("total_pop",)).withColumnRenamed("total_pop", "value"), 16))

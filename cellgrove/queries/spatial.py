@@ -203,6 +203,24 @@ def _(s, d):
     return f.select("id", rnd(e, 3).alias("easting"), rnd(n, 3).alias("northing"), rnd(mx, 3).alias("mollweide_x"), rnd(my, 3).alias("mollweide_y"))
 
 
+def _projection_sql() -> str:
+    """The published series and Newton steps, written out."""
+    a, f, k0 = 6378137.0, 1 / 298.257223563, 0.9996
+    e = f * (2 - f)
+    p = e / (1 - e)
+    m = f"{a!r} * ({1 - e / 4 - 3 * e**2 / 64 - 5 * e**3 / 256!r} * phi - {3 * e / 8 + 3 * e**2 / 32 + 45 * e**3 / 1024!r} * sin(2 * phi) + {15 * e**2 / 256 + 45 * e**3 / 1024!r} * sin(4 * phi) - {35 * e**3 / 3072!r} * sin(6 * phi))"
+    x = f"{k0} * n * (g + (1 - t + c) * g ** 3 / 6 + (5 - 18 * t + t * t + 72 * c - {58 * p!r}) * g ** 5 / 120) + 500000"
+    y = f"{k0} * ({m} + n * tan(phi) * (g ** 2 / 2 + (5 - t + 9 * c + 4 * c * c) * g ** 4 / 24 + (61 - 58 * t + t * t + 600 * c - {330 * p!r}) * g ** 6 / 720))"
+    step = "q - CASE WHEN 2 + 2 * cos(2 * q) > 1e-9 THEN (2 * q + sin(2 * q) - pi() * sin(phi)) / (2 + 2 * cos(2 * q)) ELSE 0 END"
+    r = lambda v: f"round_even(({v}) * 1e3, 0) / 1e3"
+    return f""", l AS (SELECT id, radians(y / 2) AS phi, radians(30 + x / 50 - 33) AS lam, radians(30 + x / 50) AS lon FROM facilities),
+    v AS (SELECT *, {a!r} / sqrt(1 - {e!r} * sin(phi) ** 2) AS n, tan(phi) ** 2 AS t, {p!r} * cos(phi) ** 2 AS c, lam * cos(phi) AS g, list_reduce(list_concat([phi], [0e0 FOR i IN range(12)]), lambda q, z: {step}) AS theta FROM l)
+    SELECT id, {r(x)} AS easting, {r(y)} AS northing, {r(f"{a!r} * 2 * sqrt(2e0) / pi() * lon * cos(theta)")} AS mollweide_x, {r(f"{a!r} * sqrt(2e0) * sin(theta)")} AS mollweide_y FROM v"""
+
+
+SQL["g04_projections"] = fx.with_sql(_projection_sql(), "facilities")
+
+
 @query("g05_simplified_rings", "SELECT unit_id, ring, 4 AS points FROM edges GROUP BY unit_id, ring", "edges")
 def _(s, d):
     # every ring with the middle of its first edge added: simplification takes it out again
