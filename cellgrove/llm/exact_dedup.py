@@ -8,7 +8,9 @@ place is found, the filter is built anew at twice the size from the stored keys.
 slot of a live digest.
 
 A group of copies is pre-aggregated (in each map task and per salt) before it reaches its shard, so
-even a third of all rows arrives as a few partial rows.
+even a third of all rows arrives as a few partial rows. The number of shards follows the number of digests at
+every change, so shards keep their size however often the index grows. An index is opened again by its folder; a
+change counts once its version is listed there, so one that failed half-way leaves the index as it was.
 
 Defined results: null counts as empty, and all empty texts are one group; of a group the row with the
 most code points, then the smallest key (null first) stays; of rows repeated with the same key and
@@ -145,40 +147,54 @@ def digests(docs: DataFrame, *, key: str, text: str, carry: list[Column] | None
 
 
 class DedupIndex:
-    """The index as tables of the shared folder, a new version for each change."""
+    """The index as tables of the shared folder, a new version for each change; the one before stays, older ones
+    go. What insert and delete return is to be used before the next change but one."""
 
-    def __init__(self, spark: SparkSession, folder: str | None = None, shards: int | None = None):
-        self.spark, self.shards, self.version = spark, shards, 0
+    def __init__(self, spark: SparkSession, folder: str | None = None, shard_rows: int = SHARD_ROWS):
+        self.spark, self.shard_rows = spark, shard_rows
         self.folder = folder or store.new_path(spark, "dedup-index")
+        self.version, self.live = 0, 0
+        if store.exists(spark, self._listed):
+            self.version, self.live = spark.read.schema("version long, live long").parquet(self._listed).orderBy(F.desc("version")).first()
+
+    @property
+    def _listed(self) -> str:
+        return f"{self.folder}/versions"
+
+    def _at(self, version: int) -> str:
+        return f"{self.folder}/v{version}"
 
     def _schema(self, kind: str) -> str:
-        return f"shard long, digest binary, chars long, key {kind}, row long, n long, live boolean"
+        return f"shard long, digest binary, chars long, key {kind}, row long, batch long, n long, live boolean"
 
     def _stored(self, kind: str) -> DataFrame:
         if not self.version:
             return self.spark.createDataFrame([], self._schema(kind))
-        return self.spark.read.schema(self._schema(kind)).parquet(f"{self.folder}/v{self.version}").where("live")
+        return self.spark.read.schema(self._schema(kind)).parquet(self._at(self.version)).where("live").withColumn("shard", self._shard())
+
+    def _shard(self) -> Column:
+        return F.pmod(F.xxhash64("digest"), F.lit(self.shards))
 
     def _change(self, incoming: DataFrame, kind: str, remove: bool) -> DataFrame:
         """Runs each shard's filter over its stored keys and the incoming partial groups; the new
         version's rows. Rows that are not live any more are marked."""
-        names = ["shard", "digest", "chars", "key", "row", "n", "live"]
+        names = ["shard", "digest", "chars", "key", "row", "batch", "n", "live"]
         target = self.spark.createDataFrame([], self._schema(kind)).schema
 
         def better(a: tuple, b: tuple) -> tuple:
             """Most code points, then the smallest key (null first), then the first row."""
-            order = lambda x: (-x[0], x[1] is not None, x[1] if x[1] is not None else 0, x[2])
+            order = lambda x: (-x[0], x[1] is not None, x[1] if x[1] is not None else 0, x[3], x[2])
             return min(a, b, key=order)
 
         def run(stored: pa.Table, new: pa.Table) -> pa.Table:
             shard = (stored if stored.num_rows else new).column("shard")[0].as_py()
             index, best, count = CuckooIndex(buckets=1 << max(6, (stored.num_rows // 3).bit_length())), [], []
             gone: list[tuple] = []
-            for d, *x, n in zip(*(stored.column(c).to_pylist() for c in ("digest", "chars", "key", "row", "n")), strict=True):
+            for d, *x, n in zip(*(stored.column(c).to_pylist() for c in ("digest", "chars", "key", "row", "batch", "n")), strict=True):
                 index.insert(d)
                 best.append(tuple(x))
                 count.append(n)
-            for d, *x, n in zip(*(new.column(c).to_pylist() for c in ("digest", "chars", "key", "row", "n")), strict=True):
+            for d, *x, n in zip(*(new.column(c).to_pylist() for c in ("digest", "chars", "key", "row", "batch", "n")), strict=True):
                 row = index.find(d)
                 if remove:
                     if row >= 0 and index.delete(d):
@@ -190,35 +206,40 @@ class DedupIndex:
                     best.append(tuple(x))
                     count.append(n)
             rows = [(d, *best[i], count[i], True) for i, d in enumerate(index.keys) if d is not None] + gone
-            columns = list(zip(*rows, strict=True)) or [[]] * 6
+            columns = list(zip(*rows, strict=True)) or [[]] * 7
             kinds = new.schema.field("key").type
-            return pa.table([pa.array([shard] * len(rows), pa.int64()), *(pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), kinds, pa.int64(), pa.int64(), pa.bool_()), strict=True))], names=names)
+            return pa.table([pa.array([shard] * len(rows), pa.int64()), *(pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), kinds, pa.int64(), pa.int64(), pa.int64(), pa.bool_()), strict=True))], names=names)
 
         out = self._stored(kind).groupBy("shard").cogroup(incoming.groupBy("shard")).applyInArrow(run, target)
-        self.version += 1
-        path = f"{self.folder}/v{self.version}"
-        out.write.parquet(path)
-        return self.spark.read.schema(target).parquet(path)
+        version = self.version + 1
+        out.write.mode("overwrite").parquet(self._at(version))  # what a failed change may have left goes
+        changed = self.spark.read.schema(target).parquet(self._at(version))
+        self.live = changed.where("live").count()
+        self.spark.createDataFrame([(version, self.live)], "version long, live long").coalesce(1).write.mode("append").parquet(self._listed)
+        if self.version > 1:
+            store.discard(self.spark, self._at(self.version - 1))
+        self.version = version
+        return changed
 
     def _partial(self, rows: DataFrame) -> DataFrame:
         """One row per digest and salt, with its shard."""
         salt = F.pmod(F.xxhash64("key", "row"), F.lit(SALTS))
         first = F.min(F.struct((-F.col("chars")).alias("less"), "key", "row"))
         partial = rows.groupBy("digest", salt.alias("salt")).agg(first.alias("best"), F.count("*").alias("n"))
-        shard = F.pmod(F.xxhash64("digest"), F.lit(self.shards))
-        return partial.select(shard.alias("shard"), "digest", (-F.col("best.less")).alias("chars"), "best.key", "best.row", "n")
+        return partial.select(self._shard().alias("shard"), "digest", (-F.col("best.less")).alias("chars"), "best.key", "best.row", F.lit(self.version + 1).cast("long").alias("batch"), "n")
 
     def _rows(self, docs: DataFrame, key: str, text: str) -> DataFrame:
         rows = store.written(digests(docs, key=key, text=text).withColumn("row", F.monotonically_increasing_id()), "digests")
-        self.shards = self.shards or max(1, -(-rows.count() // SHARD_ROWS))
+        self.shards = max(1, -(-(self.live + rows.count()) // self.shard_rows))
         return rows
 
     def insert(self, docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-        """Add the documents; per document: key, chars, digest, row (its number here), keep_key, keep_row,
-        group_size (live copies, earlier insertions included)."""
+        """Add the documents; per document: key, chars, digest, row (its number here), keep_key, keep_row (null if
+        an earlier insertion's row stays), group_size (live copies, earlier insertions included)."""
         rows = self._rows(docs, key, text)
         groups = self._change(self._partial(rows), rows.schema["key"].dataType.simpleString(), remove=False).where("live")
-        return rows.join(groups.select("digest", F.col("key").alias("keep_key"), F.col("row").alias("keep_row"), F.col("n").alias("group_size")), "digest")
+        kept = groups.select("digest", F.col("key").alias("keep_key"), F.when(F.col("batch") == self.version, F.col("row")).alias("keep_row"), F.col("n").alias("group_size"))
+        return rows.join(kept, "digest")
 
     def delete(self, docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
         """Take the digests of these texts out of the index; the digests that were live, with their size."""
@@ -229,7 +250,7 @@ class DedupIndex:
 def report(docs: DataFrame, *, index: DedupIndex | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, keep_id, group_size, kept, text_sha256 for every row."""
     found = (index or DedupIndex(docs.sparkSession)).insert(docs, key=key, text=text)
-    return found.select(F.col("key").alias(key), F.col("keep_key").alias("keep_id"), "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    return found.select(F.col("key").alias(key), F.col("keep_key").alias("keep_id"), "group_size", F.col("row").eqNullSafe(F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:

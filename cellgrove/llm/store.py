@@ -66,6 +66,12 @@ class Scratch:
             discard(self.spark, self.paths.pop(name))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the shared store has this file or folder."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared store (best effort is not enough: errors surface)."""
     jvm = spark.sparkContext._jvm
