@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,16 +29,27 @@ def centred_run_events(series: DataFrame, keys: list[str], order: str, flag: Col
     return out.withColumn("event", event).drop("__f")
 
 
-def average_rank(df: DataFrame, value: str, name: str, partition: list[str] | None = None) -> DataFrame:
+def average_rank(df: DataFrame, value: str, name: str, partition: list[str] | None = None, store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``df`` with the descending rank of ``value``; ties share their mean rank, null has none.
 
     Ranks are taken over the distinct values (counted map-side), then joined back: the ordered window sees
-    one row per value, not per unit."""
+    one row per value, not per unit. Without ``partition`` all values are one window, in one task; for many values
+    give ``store`` (writes a table and reads it back): values are then dealt by ranges, ranked in each, and moved on
+    by the number of rows in the ranges before, one figure a range."""
     keys = partition or []
     n = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = n.withColumn(name, F.coalesce(F.sum("__n").over(w), F.lit(0)) + (F.col("__n") + 1) / 2.0).drop("__n")
-    return df.join(ranks, [*keys, value], "left")
+    order = F.col(value).desc()
+    before = lambda w: F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    if store is None or keys:
+        w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(order)
+        ranks = n.withColumn(name, before(w) + (F.col("__n") + 1) / 2.0)
+    else:
+        dealt = store(n.repartitionByRange(order).withColumn("__range", F.spark_partition_id()))
+        sums = dealt.groupBy("__range").agg(F.sum("__n").alias("__n"))
+        moved = sums.select("__range", before(Window.orderBy("__range")).alias("__before"))  # one row a range
+        inside = dealt.withColumn("__place", before(Window.partitionBy("__range").orderBy(order)) + (F.col("__n") + 1) / 2.0)
+        ranks = inside.join(F.broadcast(moved), "__range").select(value, (F.col("__before") + F.col("__place")).alias(name))
+    return df.join(ranks.select(*keys, value, name), [*keys, value], "left")
 
 
 def latest(history: DataFrame, key: str, value: str, *order: str) -> DataFrame:
@@ -55,12 +68,14 @@ def leading_failures(history: DataFrame, key: str, status: str, order: list[str]
     return last.select(key).join(n, key, "left").select(key, F.coalesce("failures", F.lit(0)).cast("long").alias("failures"))
 
 
-def chunks_under_budget(units: DataFrame, order: str, budget: int, unit: str = "unit_id") -> DataFrame:
+def chunks_under_budget(units: DataFrame, order: str, budget: int, unit: str = "unit_id", most: int = 20_000) -> DataFrame:
     """Consecutive units whose common bounding box has at most ``budget`` cells; a larger unit stands alone.
 
-    Greedy and sequential by nature, so one ordered fold over the list of units (a few thousand at most:
-    administrative units of one country), inside the plan. Columns: unit, order, x_min, y_min, x_max, y_max
+    Greedy and sequential by nature, so one ordered fold over the list of units (administrative units of one
+    country), inside the plan; more than ``most`` of them are an error. Columns: unit, order, x_min, y_min, x_max, y_max
     in whole cells. Returns unit, chunk."""
+    if units.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} units in one sequence of chunks: split them by country")
     rows = F.sort_array(F.collect_list(F.struct(order, unit, "x_min", "y_min", "x_max", "y_max")))
     start = F.struct(
         F.lit(0).cast("long").alias("chunk"),

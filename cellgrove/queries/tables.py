@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, geometric_mean, nan_to_null, ratio, rnd, row_mean, whole
 from ..operators import geo, series, table
+from ..sources import stored
 from . import fixtures as fx
 
 query, FUNCTIONS, SQL = fx.collector()
@@ -217,6 +218,12 @@ def _(s, d):
     return series.average_rank(o, "v", "ranking").select("o_orderkey", "v", "ranking")
 
 
+@query("w01_average_rank_by_ranges", "SELECT o_orderkey, o_totalprice AS v, rank() OVER (ORDER BY o_totalprice DESC) + (count(*) OVER (PARTITION BY o_totalprice) - 1) / 2e0 AS ranking FROM orders")
+def _(s, d):
+    o = t(s, d, "orders").select("o_orderkey", F.col("o_totalprice").alias("v"))
+    return series.average_rank(o, "v", "ranking", store=stored).select("o_orderkey", "v", "ranking")
+
+
 @query("w03_latest_status", "SELECT country, arg_max(status, event_id) AS status FROM runs GROUP BY country", "runs")
 def _(s, d):
     return series.latest(fx.runs(s, d), "country", "status", "created", "event_id")

@@ -13,10 +13,15 @@ WORDS_IN_NAME = ["shp", "shapefile"]
 WORDS = ["adm", "admin", "administrative", "geojson", "json", "gpkg", "gokg", "geopackage"]
 
 
-def resources(payloads: DataFrame, body: str = "body") -> DataFrame:
-    """id, name, format, url of the resources of successful payloads (one JSON text per row)."""
-    p = payloads.select(F.from_json(body, _PAYLOAD).alias("p")).where("p.success")
-    return p.select(F.col("p.result.id").alias("id"), F.inline("p.result.resources"))
+def resources(payloads: DataFrame, body: str = "body", strict: bool = True) -> DataFrame:
+    """id, name, format, url of the resources of payloads (one JSON text per row). A payload that failed or can't be
+    read stops the job with its message; ``strict=False`` leaves such payloads out."""
+    p = payloads.select(F.from_json(body, _PAYLOAD).alias("p"))
+    ok = F.coalesce(F.col("p.success"), F.lit(False))
+    if strict:
+        said = F.concat(F.lit("the catalogue gave no dataset: "), F.coalesce(F.col("p.error.message"), F.lit("unreadable answer")))
+        ok = F.when(ok, True).otherwise(F.raise_error(said).cast("boolean"))
+    return p.where(ok).select(F.col("p.result.id").alias("id"), F.inline("p.result.resources"))
 
 
 def is_boundary(name: Column, kind: Column, url: Column) -> Column:

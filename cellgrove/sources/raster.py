@@ -117,17 +117,47 @@ def _cells(band: np.ndarray, meta: dict, name: str) -> pd.DataFrame:
     return pdf.assign(**{k: meta[k] for k in ("x0", "y0", "dx", "dy")})
 
 
-def geotiff_cells(spark: SparkSession, path: str) -> DataFrame:
-    """raster (file name), row, col, value, x0, y0, dx, dy; cells without data are left out."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+_CELLS = "raster string, row int, col int, value double, x0 double, y0 double, dx double, dy double"
+
+
+def tiff_cells(files: DataFrame, name: str = "path", content: str = "content") -> DataFrame:
+    """raster (the last part of the name), row, col, value, x0, y0, dx, dy of files given as bytes; cells without data
+    are left out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for p, content in zip(pdf["path"], pdf["content"], strict=True):
-                band, meta = read_tiff(content)
+            for p, data in zip(pdf["name"], pdf["content"], strict=True):
+                band, meta = read_tiff(data)
                 yield _cells(band, meta, p.rsplit("/", 1)[-1])
 
-    return files.mapInPandas(run, "raster string, row int, col int, value double, x0 double, y0 double, dx double, dy double")
+    return files.select(F.col(name).alias("name"), F.col(content).alias("content")).mapInPandas(run, _CELLS)
+
+
+def geotiff_cells(spark: SparkSession, path: str) -> DataFrame:
+    """The same of the GeoTIFF files at ``path``."""
+    return tiff_cells(spark.read.format("binaryFile").load(path).select("path", "content"))
+
+
+#: Cells of the box that one GeoTIFF may hold (8 bytes each in one task).
+LARGEST = 100_000_000
+
+
+def geotiffs(cells: DataFrame, x0: float, y0: float, dx: float, dy: float, nodata: float = -9999.0, by: str = "raster", largest: int = LARGEST) -> DataFrame:
+    """``by``, row, col (of the first cell) and content: a float32 GeoTIFF for each raster, over the box from row and
+    column 0 of its cells (``by``, row, col, value). For a raster of more than ``largest`` cells give ``by`` a tile."""
+    kind = cells.schema[by].dataType.simpleString()
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        r, c = pdf["row"].to_numpy(), pdf["col"].to_numpy()
+        top, left = min(0, int(r.min())), min(0, int(c.min()))
+        shape = int(r.max()) - top + 1, int(c.max()) - left + 1
+        if shape[0] * shape[1] > largest:
+            raise ValueError(f"a raster of {shape[0]} x {shape[1]} cells is too large for one file")
+        band = np.full(shape, nodata, np.float32)
+        band[r - top, c - left] = pdf["value"].fillna(nodata)
+        return pd.DataFrame({by: [pdf[by].iloc[0]], "row": [top], "col": [left], "content": [write_tiff(band, x0 + left * dx, y0 - top * dy, dx, dy, nodata)]})
+
+    return cells.select(by, "row", "col", "value").groupBy(by).applyInPandas(run, f"{by} {kind}, row int, col int, content binary")
 
 
 def ascii_grid_cells(spark: SparkSession, path: str) -> DataFrame:

@@ -59,8 +59,14 @@ def _sheet(content: bytes, sheet: str) -> list[list]:
         shared = []
         if "xl/sharedStrings.xml" in z.namelist():
             shared = ["".join(t.text or "" for t in si.iter(f"{{{n['m']}}}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", n)]
-        names = [s.get("name") for s in ElementTree.fromstring(z.read("xl/workbook.xml")).find("m:sheets", n)]
-        root = ElementTree.fromstring(z.read(f"xl/worksheets/sheet{names.index(sheet) + 1}.xml"))
+        link = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+        sheets = {s.get("name"): s.get(link) for s in ElementTree.fromstring(z.read("xl/workbook.xml")).find("m:sheets", n)}
+        if sheet not in sheets:
+            raise ValueError(f"no sheet {sheet} among {list(sheets)}")
+        # the relationship file says which part a sheet is, whatever its place in the list
+        targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
+        part = targets[sheets[sheet]]
+        root = ElementTree.fromstring(z.read(part.lstrip("/") if part.startswith("/") else f"xl/{part}"))
     out = []
     for row in root.iter(f"{{{n['m']}}}row"):
         values: list = []

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cellgrove.functions import drought_class, geometric_mean, ratio, rnd, row_mean, utm_forward
 from cellgrove.operators import cost, geo, grid, series, table, zonal
 from cellgrove.plans import risk, runs
-from cellgrove.sources import Latest, new_path, raster, stored, tabular, vector
+from cellgrove.sources import Latest, catalogue, new_path, raster, stored, tabular, vector
 
 
 def ring(spark, points, unit="A", n=0):
@@ -258,7 +258,8 @@ def test_worksheet(spark, tmp_path):
 
     m = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
     with zipfile.ZipFile(tmp_path / "a.xlsx", "w") as z:
-        z.writestr("xl/workbook.xml", f'<workbook {m}><sheets><sheet name="HRP_1" sheetId="1"/></sheets></workbook>')
+        z.writestr("xl/workbook.xml", f'<workbook {m}><sheets><sheet name="Notes" sheetId="1" r:id="rId7"/><sheet name="HRP_1" sheetId="2" r:id="rId3"/></sheets></workbook>'.replace("<workbook ", '<workbook xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships" '))
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId3" Target="worksheets/sheet1.xml"/><Relationship Id="rId7" Target="/xl/worksheets/sheet9.xml"/></Relationships>')
         z.writestr("xl/sharedStrings.xml", f"<sst {m}><si><t> Year </t></si><si><t>Events</t></si></sst>")
         z.writestr("xl/worksheets/sheet1.xml", f'<worksheet {m}><sheetData><row><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c></row><row><c r="A2"><v>2020</v></c><c r="B2"><v>4</v></c></row></sheetData></worksheet>')
     got = tabular.worksheet(spark, f"file://{tmp_path}/a.xlsx", "HRP_1", ["Year"], {"Year": "year", "Events": "events"})
@@ -284,3 +285,44 @@ def test_output_partition_is_replaced(spark):
         tabular.write_indicator(spark.range(n), path, "RWA", "ADM1", "x")
     tabular.write_indicator(spark.range(5), path, "PER", "ADM1", "x")
     assert dict(spark.read.parquet(path).groupBy("country").count().collect()) == {"RWA": 2, "PER": 5}
+
+
+def test_failed_payloads_stop_the_job(spark):
+    rows = [('{"success": true, "result": {"id": "a", "resources": [{"name": "n", "format": "ZIP", "url": "u"}]}}',), ('{"success": false, "error": {"message": "Not found"}}',), ("no json",)]
+    payloads = spark.createDataFrame(rows, "body string")
+    assert [r.id for r in catalogue.resources(payloads, strict=False).collect()] == ["a"]
+    with pytest.raises(Exception, match="Not found|unreadable"):
+        catalogue.resources(payloads).collect()
+
+
+def test_chunks_are_bounded(spark):
+    u = spark.range(5).select(F.col("id").alias("unit_id"), F.col("id").alias("pos"), *(F.lit(1.0).alias(c) for c in ("x_min", "y_min", "x_max", "y_max")))
+    with pytest.raises(ValueError):
+        series.chunks_under_budget(u, "pos", 10, most=4)
+
+
+def test_windowed_counts_of_a_stream(spark, tmp_path):
+    from cellgrove import streaming
+
+    rows = [("a", 0), ("a", 30), ("b", 59), ("a", 60), ("a", 200)]
+    spark.createDataFrame(rows, "k string, s long").select("k", F.timestamp_seconds("s").alias("t")).coalesce(1).write.parquet(f"{tmp_path}/in")
+    events = spark.readStream.schema("k string, t timestamp").parquet(f"{tmp_path}/in")
+    out = streaming.windowed_counts(events, "t", "1 minute", "10 seconds", ["k"])
+    q = out.writeStream.format("memory").queryName("windowed").outputMode("complete").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = {(r.k, int(r.window.start.timestamp()) // 60): r.n for r in spark.table("windowed").collect()}
+    assert got == {("a", 0): 2, ("b", 0): 1, ("a", 1): 1, ("a", 3): 1}
+
+
+def test_scheduler_starts_what_is_next(spark, tmp_path):
+    from cellgrove import streaming
+
+    history = [("A", "SUCCESS", 1), ("B", "FAILURE", 2)]
+    spark.createDataFrame(history, "country string, status string, created long").coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("country string, status string, created long").parquet(f"{tmp_path}/in")
+    countries = spark.createDataFrame([("A", 0), ("B", 1), ("C", 2)], "country string, pos int")
+    none, started = spark.createDataFrame([], "country string"), []
+    q = streaming.scheduler(stream, countries, none, ["created"], lambda c, n: started.append(c), f"{tmp_path}/log", f"{tmp_path}/ck", every="1 second")
+    q.processAllAvailable()
+    q.stop()
+    assert started and started[0] in ("B", "C")
