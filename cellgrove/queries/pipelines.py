@@ -9,7 +9,7 @@ from ..operators import cost, geo
 from ..plans import indicators as ind
 from ..plans import risk as risk_plan
 from ..plans import runs as run_plan
-from ..sources import Latest
+from ..sources import Latest, tabular
 from . import fixtures as fx
 from .rasters import land_cover, walked, whole_surface
 
@@ -67,9 +67,11 @@ def rural(s, d):
     "units", "cell_zone", "population", "settlement", "roads", "grid",
 )
 def rai(s, d):
+    """Two providers with different columns hold the even and the odd roads, a third has none."""
     r = fx.roads(s, d)
-    other = r.where("false").select(F.lit("paved").alias("DL_road_class_2024"), "x1", "y1", "x2", "y2")
-    return ind.rural_access(fx.units(s, d), fx.cell_zone(s, d), fx.population(s, d), fx.settlement(s), [r.drop("line_id"), other], 2.0)
+    one = r.where("line_id % 2 = 0").drop("line_id")
+    other = r.where("line_id % 2 = 1").select(F.when(F.col("pred_label") == 0, "paved").otherwise("unpaved").alias("DL_road_class_2024"), "x1", "y1", "x2", "y2")
+    return ind.rural_access(fx.units(s, d), fx.cell_zone(s, d), fx.population(s, d), fx.settlement(s), [tabular.optional_union(one, None), other], 2.0)
 
 
 @query(

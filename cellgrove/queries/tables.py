@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import clean, geometric_mean, nan_to_null, ratio, rnd, row_mean, whole
-from ..operators import geo, series, table
+from ..operators import geo, series, table, zonal
 from ..sources import stored
 from . import fixtures as fx
 
@@ -189,8 +189,9 @@ def _(s, d):
 
 @query("z09_class_share", "SELECT unit_id, " + ", ".join(f"count(CASE WHEN category = '{c}' THEN 1 END) AS {c}_n, round_even(count(CASE WHEN category = '{c}' THEN 1 END) * 1e0 / count(*) * 100 * 100, 0) / 100 AS {c}_perc" for c in fx.CATEGORIES) + " FROM facility_zone GROUP BY unit_id", "facility_zone")
 def _(s, d):
-    n = lambda c: F.count(F.when(F.col("category") == c, 1))
-    return fx.facility_zone(s, d).groupBy("unit_id").agg(*(f for c in fx.CATEGORIES for f in (n(c).alias(f"{c}_n"), rnd(n(c).cast("double") / F.count("*") * 100, 2).alias(f"{c}_perc"))))
+    shares = zonal.share_of_class(fx.CATEGORIES, "category", "f")
+    each = fx.facility_zone(s, d).groupBy("unit_id").agg(*(m.alias(n) for n, m in shares.items()))
+    return each.select("unit_id", *(f for c in fx.CATEGORIES for f in (F.col(f"f_count_cat{c}").alias(f"{c}_n"), rnd(F.col(f"f_perc_cat{c}"), 2).alias(f"{c}_perc"))))
 
 
 @query("z10_row_mean", "SELECT line_id, (coalesce(r_se, 0) + coalesce(r_ne, 0) + coalesce(r_nw, 0) + coalesce(r_sw, 0)) * 1e0 / nullif(count_n, 0) AS mean FROM (SELECT *, CAST(r_se IS NOT NULL AS INT) + CAST(r_ne IS NOT NULL AS INT) + CAST(r_nw IS NOT NULL AS INT) + CAST(r_sw IS NOT NULL AS INT) AS count_n FROM tracks)", "tracks")
