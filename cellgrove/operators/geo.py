@@ -172,5 +172,48 @@ def simplify_rings(rings: DataFrame, tolerance: float, points: str = "points") -
     return rings.mapInPandas(run, rings.schema)
 
 
+def _simplify_arcs(ps: list[tuple[float, float]], junctions: list[int], tolerance: float) -> list[int]:
+    """Indices kept of an open ring: every arc between junctions for itself, seen from its smaller end."""
+    n = len(ps)
+    cuts = sorted(junctions) or [min(range(n), key=ps.__getitem__)]
+    if len(cuts) == 1:  # a ring of one arc is cut again at the point farthest from its start
+        a = ps[cuts[0]]
+        cuts = sorted({cuts[0], max(range(n), key=lambda i: ((ps[i][0] - a[0]) ** 2 + (ps[i][1] - a[1]) ** 2, ps[i]))})
+    keep = set()
+    for a, b in zip(cuts, [*cuts[1:], cuts[0] + n], strict=True):
+        at = [i % n for i in range(a, b + 1)]
+        if ps[at[-1]] < ps[at[0]] or (ps[at[-1]] == ps[at[0]] and ps[at[-2]] < ps[at[1]]):
+            at.reverse()
+        keep.update(at[i] for i in _simplify([ps[i][0] for i in at], [ps[i][1] for i in at], tolerance))
+    return sorted(keep)
+
+
+def simplify_shared(rings: DataFrame, tolerance: float, keys: tuple[str, ...] = ("unit_id", "ring"), points: str = "points") -> DataFrame:
+    """The same for rings that share borders: neighbours keep the same points of a common border, so no gaps open.
+
+    Points where more than two lines meet stay; between them a border is simplified from the same end by whoever has
+    it. ``keys`` name a ring. A ring of fewer than three remaining points keeps its own."""
+    p = F.col(points)
+    opened = rings.withColumn(points, F.when((F.size(p) > 1) & (p[0] == F.element_at(p, -1)), F.slice(p, F.lit(1), F.size(p) - 1)).otherwise(p))
+    n = F.size(points)
+    at = lambda i: F.try_element_at(F.col(points), F.pmod(i, n) + 1)
+    corners = opened.select(*keys, points, F.posexplode(points).alias("__i", "__p")).select(*keys, "__i", "__p", F.explode(F.array(at(F.col("__i") - 1), at(F.col("__i") + 1))).alias("__beside"))
+    # a handful of lines meet in a point
+    joints = corners.groupBy("__p").agg(F.count_distinct("__beside").alias("__n")).where("__n > 2").select("__p")
+    own = corners.join(joints, "__p", "left_semi").groupBy(*keys).agg(F.collect_set("__i").alias("__joints"))
+    each = opened.join(own, list(keys), "left").select(*rings.columns, "__joints")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for ps, joints in zip(pdf[points], pdf["__joints"], strict=True):
+                xy = [(q["x"], q["y"]) for q in ps]
+                kept = _simplify_arcs(xy, [] if joints is None else [int(i) for i in joints], tolerance) if len(xy) > 3 else range(len(xy))
+                out.append([dict(x=xy[i][0], y=xy[i][1]) for i in (kept if len(kept) >= 3 else range(len(xy)))])
+            yield pdf.drop(columns="__joints").assign(**{points: out})
+
+    return each.mapInPandas(run, rings.schema)
+
+
 def first_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__n = 1").drop("__n")

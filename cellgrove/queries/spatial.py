@@ -228,3 +228,18 @@ def _(s, d):
     mid = F.struct(((p[0].x + p[1].x) / 2).alias("x"), ((p[0].y + p[1].y) / 2).alias("y"))
     more = fx.rings(s, d).withColumn("points", F.concat(F.slice("points", 1, 1), F.array(mid), F.slice("points", 2, 3)))
     return geo.simplify_rings(more, 0.01).select("unit_id", "ring", F.size("points").alias("points"))
+
+
+@query("g05_shared_borders", "SELECT unit_id, 4 AS points, CAST(4 - (n % 5 = 0)::INT - (n % 5 = 4)::INT - (n < 5)::INT - (n >= 20)::INT AS BIGINT) AS shared FROM units", "units")
+def _(s, d):
+    """Touching squares with bent sides: bends go, and what is left of a common side is the same for both."""
+    n = F.col("n")
+    x0, y0 = (n % 5 * 20).cast("double"), (F.floor(n / 5) * 20).cast("double")
+    p = lambda x, y: F.struct((x0 + x).alias("x"), (y0 + y).alias("y"))
+    bent = [(0.0, 0.0), (7.0, 0.125), (20.0, 0.0), (20.125, 7.0), (20.0, 20.0), (7.0, 20.125), (0.0, 20.0), (0.125, 7.0)]
+    rings = fx.units(s, d).select("unit_id", F.lit(0).alias("ring"), F.array(*(p(x, y) for x, y in bent)).alias("points"))
+    e = geo.edges_from_rings(geo.simplify_shared(rings, 0.5))
+    a, b = (F.struct(F.col(f"x{i}").alias("x"), F.col(f"y{i}").alias("y")) for i in (1, 2))
+    e = e.withColumn("side", F.struct(F.least(a, b), F.greatest(a, b)))
+    both = e.groupBy("side").agg(F.count("*").alias("times"))
+    return e.join(both, "side").groupBy("unit_id").agg(F.count("*").cast("int").alias("points"), F.count_if(F.col("times") == 2).alias("shared"))

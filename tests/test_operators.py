@@ -326,3 +326,16 @@ def test_scheduler_starts_what_is_next(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert started and started[0] in ("B", "C")
+
+
+def test_shared_borders_stay_shared(spark):
+    r = np.random.default_rng(3)
+    border = [(10.0 + float(v), float(i)) for i, v in enumerate(r.normal(0, 0.4, 21))]
+    left = [(0.0, 0.0), *border, (0.0, 20.0)]
+    right = [(20.0, 20.0), *border[5:][::-1], border[4], *border[:4][::-1], (20.0, 0.0)]
+    alone = [(30.0 + 5 * math.cos(i / 10), 5 * math.sin(i / 10)) for i in range(62)]
+    rings = spark.createDataFrame([("L", 0, left), ("R", 0, right), ("O", 0, alone)], "unit_id string, ring int, points array<struct<x: double, y: double>>")
+    got = {x.unit_id: [(p.x, p.y) for p in x.points] for x in geo.simplify_shared(rings, 0.6).collect()}
+    common = set(border)
+    assert [p for p in got["L"] if p in common] == [p for p in got["R"] if p in common][::-1]
+    assert len(got["L"]) < len(left) and 4 <= len(got["O"]) < 20
