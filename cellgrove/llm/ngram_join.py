@@ -5,22 +5,23 @@
    count sketch over all texts; any order gives the same links, this one keeps common passages out of
    prefixes. Two sets of Jaccard ``T`` or more share a shingle among their first n - ceil(T n) + 1.
 2. Texts with equal sets are one class; classes with identical prefixes and size are one group, which is
-   listed once under each prefix shingle. Shingles of one group only are dropped.
+   listed once under each prefix shingle. Entries without another group of a similar size in their list are dropped.
 3. Links that span most components are found first: every class is verified against a few leaders, those
-   it shares most lists with.
-4. Then group pairs are filtered at the level of (shingle, component): only lists that still hold two
-   components of compatible size are expanded to their members, and pairs of members in different
-   components are counted; first against the largest component of a list, then all that are still apart.
-   Pairs within one component need no verification, and no link between components is lost.
-5. A pair is verified only if its number of shared prefix shingles leaves the threshold within reach: what
-   two sets share beyond their prefixes is at most the rest of one of them.
+   it shares most lists with, and then against some members of the largest component of each of its lists.
+4. Then all pairs of classes that still lie in different components are filtered where a list is joined with
+   itself, before they become rows: sizes must fit, and the shared shingle must stand early enough in both
+   prefixes for the overlap that these two sizes need. Of distinct pairs the Hamming distance of the sets' parity
+   bitmaps, which no symmetric difference is smaller than, must not exceed what the threshold allows. All this
+   only turns away pairs that can't link. Pairs within one component need no verification, and no link between
+   components is lost.
+5. What is left is verified on the whole sets.
 
 Verification sends the sets of pair partners to one place, computed from the texts again; leaders of
-many are salted.
+many are salted. Long lists are dealt over several tasks by salts.
 
 Defined results: null and empty texts have no shingles and are linked with nothing; a text of fewer
 words is one shingle of all of them; rows with equal keys are all returned; an empty table gives no rows;
-extra columns are ignored or kept.
+extra columns are ignored or kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,11 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import store
-from .components import components
+from .components import components, extended
 from .words import SPACED, Words, chunks, utf8
 
 SHINGLE = 5
@@ -42,14 +43,17 @@ SHINGLE = 5
 T = 80
 #: Counters of the sketch, as a power of two: a fixed size, whatever the input's.
 SKETCH_BITS, _SLICES = 22, 64
-#: Rows of (key, class) that may be sent to all executors; beyond that the texts are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
-#: Rounds in which every class is verified against so many leaders; more would only save pairs of the last step.
-LEADER_ROUNDS, LEADERS = 1, 4
+#: Shingles of so high a level, far more frequent than the sketch's noise, are taken as shared without a count, so
+#: that their lists need not meet in one task.
+HOT_LEVEL, HOT_SALTS = 11, 64
+#: Cells of a set's parity bitmap for each element, and 64-cell words that it has at least; a power of two in all.
+CELLS, LEAST_WORDS = 2, 16
+#: Leaders that every class is verified against; more would only save pairs of the last step.
+LEADERS = 4
 #: Members of a large component that other classes are first held against.
 REPRESENTATIVES = 64
-#: Partners of one leader that are verified in one place.
-SALT_ROWS = 2000
+#: Partners of one leader that are verified in one place, and entries of one list that meet in one task.
+SALT_ROWS, LIST_ROWS = 2000, 4000
 
 
 def shingles(w: Words, n_texts: int, k: int = SHINGLE) -> list[np.ndarray]:
@@ -123,7 +127,7 @@ def frequencies(docs: DataFrame, *, text: str = "text", k: int = SHINGLE) -> np.
 
     parts = docs.select(F.col(text).alias("text")).mapInArrow(count, "slice long, counts binary").repartition("slice").mapInArrow(add, "slice long, codes binary, total long")
     codes, total = np.zeros((_SLICES, width), np.uint8), 0
-    for row in parts.toLocalIterator():
+    for row in parts.collect():  # one byte a counter: a fixed size
         codes[row.slice] = np.frombuffer(row.codes, np.uint8)
         total += row.total
     # a counter holds a shingle's own count and about the mean of others: frequent is what stands out of that
@@ -133,8 +137,20 @@ def frequencies(docs: DataFrame, *, text: str = "text", k: int = SHINGLE) -> np.
     return level[codes.reshape(-1)]
 
 
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """Parities of the set's elements by cells: two bitmaps of one size differ in no more cells than their sets in
+    elements. The cell is the low end of a hash, so the halves of a bitmap, one upon the other, are one of half the
+    size."""
+    size = 64 * LEAST_WORDS
+    while size < CELLS * len(s):
+        size *= 2
+    cells = np.bincount((s >> np.uint64(40)).astype(np.int64) & (size - 1), minlength=size)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
+
+
 def signatures(docs: DataFrame, levels: np.ndarray, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, t: int = T) -> DataFrame:
-    """key, mark, n (set size), set (16 bytes), prefix (16 bytes), tokens (the prefix), in one pass."""
+    """key, mark, n (set size), set (16 bytes), prefix (16 bytes), tokens (the prefix), bits (the parity bitmap), in
+    one pass."""
     kind = docs.schema[key].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(levels)  # one byte a counter: a fixed size
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("mark"), F.col(text).alias("text"))
@@ -143,7 +159,7 @@ def signatures(docs: DataFrame, levels: np.ndarray, *, key: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = shared.value
         for batch in batches:
-            sizes, sets, prefixes, tokens = [], [], [], []
+            sizes, sets, prefixes, tokens, bits = [], [], [], [], []
             for s in _sets(batch.column("text"), k):
                 p = prefix_length(len(s), t)
                 ordered = levels[s & low].astype(np.uint64) << top | s >> six
@@ -154,30 +170,32 @@ def signatures(docs: DataFrame, levels: np.ndarray, *, key: str = "doc_id", text
                 sets.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 prefixes.append(hashlib.blake2b(ordered.tobytes(), digest_size=16).digest())
                 tokens.append(ordered.astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("mark"), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(prefixes, pa.binary()), pa.array(tokens, pa.list_(pa.int64()))], names=["key", "mark", "n", "set", "prefix", "tokens"])
+                bits.append(bitmap(s))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("mark"), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(prefixes, pa.binary()), pa.array(tokens, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], names=["key", "mark", "n", "set", "prefix", "tokens", "bits"])
 
-    return rows.mapInArrow(run, f"key {kind}, mark long, n long, set binary, prefix binary, tokens array<long>")
+    return rows.mapInArrow(run, f"key {kind}, mark long, n long, set binary, prefix binary, tokens array<long>, bits array<long>")
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, *, key: str, text: str, k: int, t: int) -> DataFrame:
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, tables: store.Scratch, *, key: str, text: str, k: int, t: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar enough. ``pairs`` is stored and distinct."""
     many = pairs.groupBy("a").agg(F.count("*").alias("partners")).select("a", F.ceil(F.col("partners") / SALT_ROWS).alias("salts"))
     salted = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"))
     # where each class's set goes: to each of its leaders, and a leader's own set to each of its salts
-    places = salted.select(F.col("b").alias("cid"), F.struct("a", "salt", F.lit(1).alias("role")).alias("to")).unionAll(many.select(F.col("a").alias("cid"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")).select("cid", F.struct(F.col("cid").alias("a"), "salt", F.lit(0).alias("role")).alias("to")))
-    wanted = store.written(places.groupBy("cid").agg(F.collect_list("to").alias("to")).join(classes, "cid").select(F.col("rep.key").alias("w_key"), F.col("rep.mark").alias("w_mark"), "cid", "to"), "wanted")
-    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    own = many.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    places = salted.select(F.col("b").alias("cid"), "a", "salt", F.lit(1).alias("role")).unionAll(own.select(F.col("a").alias("cid"), "a", "salt", F.lit(0).alias("role")))
+    ends = pairs.select(F.col("a").alias("cid")).unionAll(pairs.select("b")).distinct()
+    wanted = tables.put("wanted", ends.join(classes, "cid").select(F.col("rep.key").alias("w_key"), F.col("rep.mark").alias("w_mark"), "cid"))
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     same = F.col("key").eqNullSafe(F.col("w_key")) & (F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("w_mark"))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [s.tobytes() for s in _sets(batch.column("text"), k)]
-            yield pa.RecordBatch.from_arrays([batch.column("cid"), batch.column("to"), pa.array(sets, pa.binary())], names=["cid", "to", "items"])
+            yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.array(sets, pa.binary())], names=["cid", "items"])
 
-    schema = "cid long, to array<struct<a: long, salt: long, role: int>>, items binary"
-    found = rows.join(side, same).select("text", "cid", "to").mapInArrow(compute, schema)
-    sent = found.select("cid", "items", F.explode("to").alias("to")).select("to.a", "to.salt", "to.role", "cid", "items")
+    # rows repeated with the same key and text give their class's set more than once: harmless, links are distinct
+    sets = rows.join(wanted, same).select("text", "cid").mapInArrow(compute, "cid long, items binary")
+    sent = places.join(sets, "cid")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leader, own = None, np.zeros(0, np.uint64)
@@ -201,106 +219,140 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, *, key: str
     return sent.repartition("a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(compare, "a long, b long").distinct()
 
 
-def _within_reach(shared, twin, n_a, n_b, t: int):
+def _needed(n_a: Column, n_b: Column, t: int) -> Column:
+    """The overlap that sets of these sizes need."""
+    return F.ceil(t * (n_a + n_b) / (100.0 + t))
+
+
+def _within_reach(shared: Column, twin: Column, n_a: Column, n_b: Column, t: int) -> Column:
     """Whether ``shared`` common prefix shingles can make a link. Up to the end of the shorter-reaching prefix
     all common shingles are counted; beyond it there are at most the rest of that set. Classes of one group
     (which share a list of a negative number) have equal prefixes."""
-    least = F.ceil(t * (n_a + n_b) / (100.0 + t))
     rest = lambda n: F.ceil(t * n / 100.0) - 1
-    return (twin < 0) | (shared >= least - F.greatest(rest(n_a), rest(n_b)))
+    return (twin < 0) | (shared >= _needed(n_a, n_b, t) - F.greatest(rest(n_a), rest(n_b)))
+
+
+def _may_link(a: str, b: str, t: int) -> Column:
+    """What two entries of one list must fulfil if their sets link and no shingle before this one is common: sizes,
+    and places of the shingle in both prefixes. The first common shingle fulfils it for every link."""
+    x, y = (lambda c: F.col(f"{a}.{c}")), (lambda c: F.col(f"{b}.{c}"))
+    need = _needed(x("n"), y("n"), t)
+    sizes = (100 * x("n") >= t * y("n")) & (100 * y("n") >= t * x("n"))
+    return sizes & (x("pos") <= x("n") - need) & (y("pos") <= y("n") - need)
+
+
+def _by_bitmaps(pairs: DataFrame, classes: DataFrame, tables: store.Scratch, t: int) -> DataFrame:
+    """The stored pairs (a, b) of classes whose bitmaps don't rule a link out. Sizes that may link are less than two
+    powers of two apart: the larger bitmap is folded once where needed."""
+    # only the bitmaps of classes in pairs are moved
+    ends = pairs.select(F.col("a").alias("cid")).unionAll(pairs.select("b")).distinct()
+    some = tables.put("bitmaps", classes.select("cid", "n", "bits").join(ends, "cid", "left_semi"))
+    for c in ("a", "b"):
+        pairs = pairs.join(some.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")), c)
+    xor = lambda x, y: F.zip_with(x, y, lambda i, j: i.bitwiseXOR(j))
+    half = lambda x: F.floor(F.size(x) / 2).cast("int")
+    folded = lambda x, y: F.when(F.size(x) > F.size(y), xor(F.slice(x, F.lit(1), half(x)), F.slice(x, half(x) + 1, half(x)))).otherwise(x)
+    differ = xor(folded(F.col("bits_a"), F.col("bits_b")), folded(F.col("bits_b"), F.col("bits_a")))
+    apart = F.aggregate(differ, F.lit(0), lambda n, x: n + F.bit_count(x))
+    return pairs.where(apart <= F.col("n_a") + F.col("n_b") - 2 * _needed(F.col("n_a"), F.col("n_b"), t)).select("a", "b")
 
 
 def _labelled(entries: DataFrame, parts: DataFrame) -> DataFrame:
-    return entries.join(parts, entries["cid"] == parts["node"], "left").select("token", "cid", "n", F.coalesce("component", "cid").alias("component"))
-
-
-def _cross_pairs(now: DataFrame, t: int, largest: bool) -> DataFrame:
-    """Stored pairs (a, b) of classes in different components that share a list and enough prefix shingles;
-    ``largest``: only pairs with the component that has most members in the list."""
-    blocks = now.groupBy("token", "component").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("members"))
-    lists = blocks.groupBy("token").agg(F.count("*").alias("blocks"), F.max(F.struct("members", "component", "least", "most")).alias("top")).where("blocks > 1")
-    if largest:
-        y = lists.select("token", F.col("top.component").alias("component_2"), F.col("top.least").alias("least_2"), F.col("top.most").alias("most_2"))
-        differ = F.col("component") != F.col("component_2")
-    else:
-        y = blocks.join(lists.select("token"), "token").select("token", F.col("component").alias("component_2"), F.col("least").alias("least_2"), F.col("most").alias("most_2"))
-        differ = F.col("component") < F.col("component_2")
-    fits = differ & (100 * F.col("most") >= t * F.col("least_2")) & (100 * F.col("most_2") >= t * F.col("least"))
-    pairs = blocks.join(y, "token").where(fits).select("token", "component", "component_2")
-    pairs = pairs.join(now, ["token", "component"]).select("token", "component_2", F.col("cid").alias("a"), F.col("n").alias("n_a"))
-    other = now.select("token", F.col("component").alias("component_2"), F.col("cid").alias("b"), F.col("n").alias("n_b"))
-    if largest:
+    return entries.join(parts, entries["cid"] == parts["node"], "left").select("token", "cid", "n", "pos", F.coalesce("component", "cid").alias("component"))
+
+
+def _cross_pairs(entries: DataFrame, parts: DataFrame, classes: DataFrame, tables: store.Scratch, t: int, some: bool) -> DataFrame:
+    """Stored distinct pairs (a, b) of classes in different components that may link. ``some``: only pairs with
+    representatives of the component that has most members in the list."""
+    now = _labelled(entries, parts)
+    blocks = now.groupBy("token", "component").agg(F.count("*").alias("members"))
+    lists = blocks.groupBy("token").agg(F.count("*").alias("blocks"), F.sum("members").alias("size"), F.max(F.struct("members", "component")).alias("top")).where("blocks > 1")
+    live = tables.put("live", now.join(lists.select("token", F.ceil(F.col("size") / LIST_ROWS).alias("salts"), F.col("top.component").alias("top")), "token"))
+    # outside the largest component, against all of the list: the largest one isn't paired with itself
+    a = live.where("component <> top").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+    b = live.withColumn("salt", F.pmod(F.xxhash64("cid"), F.col("salts")))
+    if some:
         # some members of a component, by hash, stand for it here; the last step knows no such bound
-        nodes = now.select(F.col("cid").alias("b"), F.col("component").alias("component_2")).distinct()
-        sizes = nodes.groupBy("component_2").agg(F.ceil(F.count("*") / REPRESENTATIVES).alias("part"))
-        chosen = nodes.join(sizes, "component_2").where(F.pmod(F.xxhash64("b"), F.col("part")) == 0).select("b")
-        other = other.join(chosen, "b", "left_semi")
-    pairs = pairs.join(other, ["token", "component_2"]).where((100 * F.col("n_a") >= t * F.col("n_b")) & (100 * F.col("n_b") >= t * F.col("n_a")))
-    a, b = F.least("a", "b"), F.greatest("a", "b")
-    counted = pairs.groupBy(a.alias("a"), b.alias("b")).agg(F.count("*").alias("c"), F.min("token").alias("twin"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
-    return store.written(counted.where(_within_reach(F.col("c"), F.col("twin"), F.col("n_a"), F.col("n_b"), t)).select("a", "b"), "pairs")
-
-
-def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, t: int = T) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Stored tables: documents (key, n, cid, mark), verified links between classes (a, b; they span every
-    component) and components (node, component) of linked classes."""
+        nodes = live.where("component = top").select("cid", "component").distinct()
+        sizes = nodes.groupBy("component").agg(F.ceil(F.count("*") / REPRESENTATIVES).alias("part"))
+        chosen = nodes.join(sizes, "component").where(F.pmod(F.xxhash64("cid"), F.col("part")) == 0).select("cid")
+        b = b.where("component = top").join(chosen, "cid", "left_semi")
+    once = F.expr("a.component <> b.component and (b.component = b.top or a.cid < b.cid)")
+    met = a.alias("a").join(b.alias("b"), F.expr("a.token = b.token and a.salt = b.salt") & once & _may_link("a", "b", t))
+    pairs = tables.put("met", met.select(F.least("a.cid", "b.cid").alias("a"), F.greatest("a.cid", "b.cid").alias("b")).distinct())
+    return tables.put("pairs", _by_bitmaps(pairs, classes, tables, t))
+
+
+def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, t: int = T) -> tuple[DataFrame, DataFrame]:
+    """Stored tables: documents (key, n, mark, component; null without words) and verified links between classes
+    (a, b; they span every component). All other tables written on the way are deleted."""
+    with store.Scratch(docs.sparkSession) as tables:
+        return _link(docs, tables, key, text, k, t)
+
+
+def _link(docs: DataFrame, tables: store.Scratch, key: str, text: str, k: int, t: int) -> tuple[DataFrame, DataFrame]:
     names = {"key": key, "text": text, "k": k, "t": t}
-    sig = store.written(signatures(docs, frequencies(docs, text=text, k=k), **names), "signatures")
-    classes = sig.where("n > 0").groupBy("set", "n", "prefix").agg(F.min(F.struct("key", "mark")).alias("rep"))
-    classes = store.written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    groups = classes.groupBy("prefix", "n").agg(F.min(F.struct("cid", "set", "rep")).alias("first"), F.count("*").alias("size"))
+    sig = tables.put("signatures", signatures(docs, frequencies(docs, text=text, k=k), **names))
+    # one row per set, with its tokens: copies are put together before they are dealt out
+    classes = sig.where("n > 0").groupBy("set", "n", "prefix").agg(F.min(F.struct("key", "mark")).alias("rep"), F.first("bits").alias("bits"), F.first("tokens").alias("tokens"))
+    classes = tables.put("classes", classes.withColumn("cid", F.monotonically_increasing_id()))
+    groups = classes.groupBy("prefix", "n").agg(F.min("cid").alias("gid"), F.count("*").alias("size")).where("size > 1")
+    # classes of groups of several, with their group; all other classes are groups of their own
+    grouped = tables.put("grouped", classes.select("cid", "prefix", "n").join(groups.select("prefix", F.col("n").alias("g_n"), "gid"), "prefix").where("n = g_n").select("gid", "cid", "n"))
 
     # each group once in the list of each shingle of its prefix
-    heads = groups.select(F.col("first.cid").alias("gid"), "n", F.col("first.set").alias("g_set"), F.col("first.rep.key").alias("g_key"), F.col("first.rep.mark").alias("g_mark"))
-    same = (F.col("set") == F.col("g_set")) & (F.col("mark") == F.col("g_mark")) & F.col("key").eqNullSafe(F.col("g_key"))
-    listed = sig.select("set", "mark", "key", "tokens").join(heads, same).select("gid", "n", F.explode("tokens").alias("token"))
-    dealt = listed.repartition("token")
-    shared = dealt.groupBy("token").agg(F.min("gid").alias("least"), F.max("gid").alias("most")).where("least <> most").select("token")
-    kept = dealt.join(shared, "token")
+    heads = classes.join(grouped.where("gid <> cid").select("cid"), "cid", "left_anti")
+    listed = heads.select(F.col("cid").alias("gid"), "n", F.posexplode("tokens").alias("pos", "token"))
+    # rare shingles are dealt out once, and stay where another group of a similar size has them (the next smaller or
+    # the next larger one); frequent ones are spread and all stay
+    level = F.shiftright("token", 58)
+    dealt = listed.withColumn("part", F.when(level >= HOT_LEVEL, F.pmod(F.xxhash64("gid"), F.lit(HOT_SALTS))).otherwise(-1)).repartition("token", "part")
+    by_size = Window.partitionBy("token", "part").orderBy("n")
+    beside = dealt.select("gid", "n", "pos", "token", "part", F.lag("n").over(by_size).alias("smaller"), F.lead("n").over(by_size).alias("larger"))
+    kept = beside.where((F.col("part") >= 0) | (100 * F.col("smaller") >= t * F.col("n")) | (t * F.col("larger") <= 100 * F.col("n")))
+    kept = kept.select("token", F.col("gid").alias("cid"), "n", "pos")
     # expanded to classes; the classes of one group also share a list of their own
-    of = classes.join(groups.select("prefix", F.col("n").alias("g_n"), F.col("first.cid").alias("gid"), "size"), ["prefix"]).where("n = g_n").select("gid", "cid", "size")
-    entries = kept.join(of.select("gid", "cid"), "gid").select("token", "cid", "n")
-    twins = of.where("size > 1").join(classes.select("cid", "n"), "cid").select((-F.col("gid") - 1).alias("token"), "cid", "n")
-    entries = store.written(entries.unionAll(twins).distinct(), "entries")
-
-    # leaders for each class: those of other components it shares most lists with, of a similar size
-    size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / t)))
-    links = parts = None
-    for number in range(LEADER_ROUNDS):
-        now = (entries.withColumn("component", F.col("cid")) if parts is None else _labelled(entries, parts)).withColumn("size", size)
-        # leaders by several orders: of copies that vary around the threshold each leader catches a part
-        some = [F.min(F.struct(F.xxhash64("cid", F.lit(LEADERS * number + i)), "component", "cid", "n")) for i in range(LEADERS)]
-        lists = now.groupBy("token", "size").agg(F.array_distinct(F.transform(F.array(*some), lambda x: x.dropFields("col1"))).alias("chosen"), F.min("component").alias("low"), F.max("component").alias("high"))
-        leaders = lists.where("low <> high").select("token", "size", F.explode("chosen").alias("first"))
-        leaders = leaders.select("token", "size", F.col("first.cid").alias("leader"), F.col("first.component").alias("its"), F.col("first.n").alias("n_leader"))
-        votes = now.join(leaders, ["token", "size"]).where("component <> its").groupBy("cid", "leader").agg(F.count("*").alias("votes"), F.min("token").alias("twin"), F.first("n").alias("n_a"), F.first("n_leader").alias("n_b"))
-        # lists with another leader aren't counted here, so half the votes will do
-        votes = votes.where(_within_reach(2 * F.col("votes"), F.col("twin"), F.col("n_a"), F.col("n_b"), t))
-        w = Window.partitionBy("cid").orderBy(F.desc("votes"), "leader")
-        best = votes.withColumn("place", F.row_number().over(w)).where(F.col("place") <= LEADERS)
-        pairs = store.written(best.select(F.col("leader").alias("a"), F.col("cid").alias("b")), "pairs")
-        found = _verified(docs, classes, pairs, **names)
-        links = store.written(found if links is None else links.unionAll(found), "verified")
-        parts = store.written(components(links), "components")
-
-    # lists that still hold several components: first against the largest of each list, which joins most of
-    # what is left without pairing the rest among itself; then all that are still apart
-    for largest in (True, False):
-        rest = _cross_pairs(_labelled(entries, parts), t, largest)
+    whole = grouped.select(F.col("gid").alias("its"), F.col("cid").alias("member"))
+    expanded = kept.join(whole, F.col("cid") == F.col("its"), "left").select("token", F.coalesce("member", "cid").alias("cid"), "n", "pos")
+    twins = grouped.select((-F.col("gid") - 1).alias("token"), "cid", "n", F.lit(0).alias("pos"))
+    entries = tables.put("entries", expanded.unionAll(twins))
+    members = tables.put("members", sig.select("key", "n", "mark", F.col("set").alias("d_set")).join(classes.select("set", "cid"), F.col("d_set") == F.col("set"), "left").select("key", "n", "cid", "mark"))
+    tables.drop("signatures")
+
+    # leaders for each class: those it shares most lists with, of a similar size; by several orders, as of copies
+    # that vary around the threshold each leader catches a part
+    now = entries.withColumn("size", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / t))))
+    several = [F.min(F.struct(F.xxhash64("cid", F.lit(i)), "cid", "n")) for i in range(LEADERS)]
+    lists = now.groupBy("token", "size").agg(F.array_distinct(F.transform(F.array(*several), lambda x: x.dropFields("col1"))).alias("chosen"), F.min("cid").alias("low"), F.max("cid").alias("high"))
+    leaders = lists.where("low <> high").select("token", "size", F.explode("chosen").alias("first"))
+    leaders = leaders.select("token", "size", F.col("first.cid").alias("leader"), F.col("first.n").alias("n_leader"))
+    votes = now.join(leaders, ["token", "size"]).where("cid <> leader").groupBy("cid", "leader").agg(F.count("*").alias("votes"), F.min("token").alias("twin"), F.first("n").alias("n_a"), F.first("n_leader").alias("n_b"))
+    # lists with another leader aren't counted here, so half the votes will do
+    votes = votes.where(_within_reach(2 * F.col("votes"), F.col("twin"), F.col("n_a"), F.col("n_b"), t))
+    w = Window.partitionBy("cid").orderBy(F.desc("votes"), "leader")
+    best = votes.withColumn("place", F.row_number().over(w)).where(F.col("place") <= LEADERS)
+    pairs = tables.put("pairs", best.select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct())
+    keep = lambda df, name: tables.put(name, df)
+    links = tables.put("verified", _verified(docs, classes, pairs, tables, **names))
+    parts = components(links, keep)
+
+    # lists that still hold several components: first against some of the largest of each list, which joins most
+    # of what is left without pairing the rest among itself; then all that are still apart
+    for some in (True, False):
+        rest = _cross_pairs(entries, parts, classes, tables, t, some)
         if rest.isEmpty():
             continue
-        links = store.written(links.unionAll(_verified(docs, classes, rest, **names)), "verified")
-        parts = store.written(components(links), "components")
-    documents = sig.select("key", "n", "mark", F.col("set").alias("d_set")).join(classes.select("set", "cid"), F.col("d_set") == F.col("set"), "left").select("key", "n", "cid", "mark")
-    return documents, links, parts
+        found = tables.put("found", _verified(docs, classes, rest, tables, **names))
+        parts = extended(parts, found, keep)
+        links = tables.put("verified", links.unionAll(found))
+    documents = members.join(parts, members["cid"] == parts["node"], "left").select("key", "n", "mark", F.coalesce("component", "cid").alias("component"))
+    return store.written(documents, "placed"), store.written(links, "links")
 
 
 def report(docs: DataFrame, **names) -> DataFrame:
     """key, n_shingles, component_id (smallest key reachable by links) for every row."""
     key = names.get("key", "doc_id")
-    documents, _, parts = link(docs, **names)
-    placed = documents.join(parts, documents["cid"] == parts["node"], "left").select("key", "n", F.coalesce("component", "cid").alias("component"))
-    placed = store.written(placed, "placed")
+    placed, _ = link(docs, **names)
     least = placed.where("component is not null").groupBy("component").agg(F.min("key").alias("component_id"))
     out = placed.join(least, "component", "left")
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("component").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"))
@@ -310,11 +362,9 @@ def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **n
     """``docs`` with the row of the smallest key (null last) and, among texts of that key, of the smallest mark
     of each component; all columns stay. Rows without words are all kept, and so are rows repeated with the
     same key and text."""
-    documents, _, parts = link(docs, key=key, text=text, **names)
-    placed = documents.join(parts, documents["cid"] == parts["node"], "left").select("key", "mark", F.coalesce("component", "cid").alias("component"))
-    placed = store.written(placed, "placed")
+    placed, _ = link(docs, key=key, text=text, **names)
     first = placed.where("component is not null").groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark")).alias("first"))
     kept = first.select("first.key", "first.mark").unionAll(placed.where("component is null").select("key", "mark"))
-    kept = kept.select(F.col("key").alias("__key"), F.col("mark").alias("__mark")).distinct()
-    same = F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__mark"))
+    kept = kept.distinct()
+    same = docs[key].eqNullSafe(kept["key"]) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == kept["mark"])
     return docs.join(kept, same, "left_semi")

@@ -68,11 +68,11 @@ def test_ngram_join(spark):
 
 
 def test_ngram_join_without_leaders(spark, monkeypatch):
-    """The last step alone finds every link too, and by shuffle as by broadcast."""
+    """The last step finds what leaders miss, over salted lists and leaders too."""
     monkeypatch.setattr(ngram_join, "LEADERS", 1)
-    monkeypatch.setattr(ngram_join, "LEADER_ROUNDS", 1)
-    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(ngram_join, "REPRESENTATIVES", 1)
     monkeypatch.setattr(ngram_join, "SALT_ROWS", 3)
+    monkeypatch.setattr(ngram_join, "LIST_ROWS", 5)
     rows = near_copies()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.report(docs).collect()}
@@ -86,6 +86,37 @@ def test_near_copies_of_one_key_or_none(spark):
     assert sorted(got, key=str) == sorted([(1, rows[0][1][:40]), (2, rows[2][1][:40]), (None, rows[3][1][:40]), (None, "")], key=str)
 
 
+def test_bitmaps_bound_the_symmetric_difference():
+    r = random.Random(5)
+    for n, change in ((3, 1), (500, 40), (900, 300), (1100, 150), (5000, 900)):
+        base = [r.getrandbits(64) for _ in range(n)]
+        other = base[: n - change] + [r.getrandbits(64) for _ in range(r.randrange(change + 200))]
+        x, y = (ngram_join.bitmap(ngram_join.np.array(sorted(set(s)), ngram_join.np.uint64)).tolist() for s in (base, other))
+        while len(x) != len(y):
+            long, short = (x, y) if len(x) > len(y) else (y, x)
+            half = len(long) // 2
+            x, y = [i ^ j for i, j in zip(long[:half], long[half:], strict=True)], short
+        assert sum(((i ^ j) & (2**64 - 1)).bit_count() for i, j in zip(x, y, strict=True)) <= len(set(base) ^ set(other))
+
+
+def test_one_large_group_of_near_misses(spark, monkeypatch):
+    """Many variants of one text around the threshold, and long texts that differ in size."""
+    monkeypatch.setattr(ngram_join, "LEADERS", 2)
+    monkeypatch.setattr(ngram_join, "REPRESENTATIVES", 3)
+    monkeypatch.setattr(ngram_join, "LIST_ROWS", 40)
+    base, rows = words_of(80, 7), []
+    for i in range(150):
+        w, r = list(base), random.Random(i)
+        for _ in range(r.choice((0, 1, 1, 2, 2, 3, 4))):
+            w[r.randrange(80)] = f"edit{i}x{r.randrange(9)}"
+        rows.append((i, " ".join(w[: 80 - r.choice((0, 0, 5))])))
+    long = words_of(2500, 8)
+    rows += [(500, " ".join(long)), (501, " ".join(long[:2100])), (502, " ".join(long[:1900])), (503, " ".join(long[:1200] + words_of(1300, 9)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.report(docs).collect()}
+    assert got == brute_components(rows) and len({c for _, c in got.values()}) > 5
+
+
 def test_ngram_join_empty(spark):
     assert ngram_join.report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
@@ -157,8 +188,12 @@ def test_dedup_index_insert_and_delete(spark):
     later = {r.key: (r.keep_key, r.group_size) for r in index.insert(spark.createDataFrame([(4, "x"), (5, "z")], docs.schema)).collect()}
     assert later == {4: (3, 3), 5: (5, 1)}
     assert index.delete(spark.createDataFrame([(9, " x"), (9, "never")], docs.schema)).count() == 1
-    again = {r.key: (r.keep_key, r.group_size) for r in index.insert(spark.createDataFrame([(6, "x"), (7, "y")], docs.schema)).collect()}
-    assert again == {6: (6, 1), 7: (2, 2)}
+    opened = exact_dedup.DedupIndex(spark, index.folder, shard_rows=1)  # by its folder, and into other shards
+    assert (opened.version, opened.live) == (3, 2)
+    again = {r.key: (r.keep_key, r.group_size) for r in opened.insert(spark.createDataFrame([(6, "x"), (7, "y")], docs.schema)).collect()}
+    assert again == {6: (6, 1), 7: (2, 2)} and opened.shards == 4
+    kept = {r.doc_id: (r.keep_id, r.kept) for r in exact_dedup.report(docs, index=exact_dedup.DedupIndex(spark, index.folder)).collect()}
+    assert kept == {1: (3, False), 2: (2, False), 3: (3, True)}
 
 
 def brute_hits(text, items):
@@ -179,13 +214,15 @@ def test_decontamination(spark, monkeypatch):
     items = [(1, " ".join(words_of(30, 5))), (2, "Tiny item"), (3, None), (4, "!!"), (10, " ".join(words_of(30, 5)[5:20])), (5, "tiny ITEM")]
     p = words_of(30, 5)
     docs = [(1, "start " + ", ".join(p) + " end"), (2, " ".join(p[3:12])), (3, " ".join(p[3:13])), (4, None), (5, ""), (6, "a TINY-item b tiny item"), (7, " ".join(p[:12] + ["no"] + p[8:25])), (8, LONG), (8, LONG)]
-    d = spark.createDataFrame([(*r, "x") for r in docs], "doc_id long, text string, item_id string")
+    d = spark.createDataFrame([(*r, "x", 7) for r in docs], "doc_id long, text string, runs string, Removed_Words int")
     b = spark.createDataFrame(items, "item_id long, text string")
     want = sorted((i, *brute_hits(t, items)) for i, t in docs)
     assert sorted(map(tuple, decontaminate.report(d, b).collect())) == want
     assert sorted(r.doc_id for r in decontaminate.remove_documents(d, b).collect()) == [i for i, *x in want if not x[-1]]
     assert sorted(map(tuple, decontaminate.report(d, b.limit(0)).collect())) == sorted((i, x[0], 0, 0, hashlib.sha256(b"").hexdigest(), False) for i, *x in want)
-    cut = {r.doc_id: r.text for r in decontaminate.remove_spans(d, b).collect()}
+    spans = decontaminate.remove_spans(d, b)
+    assert spans.columns == [*d.columns, "removed_words_1"]
+    cut = {r.doc_id: r.text for r in spans.collect()}
     assert cut[1] == "start end" and cut[6] == "a b " and cut[2] == docs[1][1] and cut[4] is None
     monkeypatch.setattr(decontaminate, "PART_BYTES", 40)  # several parts, the same report
     assert sorted(map(tuple, decontaminate.report(d, b).collect())) == want
@@ -213,20 +250,71 @@ def test_decontamination_without_item_id(spark, monkeypatch):
     assert sorted(con.execute(queries._OP8_SQL).fetchall()) == want
 
 
-def test_line_dedup(spark):
-    long = "this line has more than five words in it"
-    rows = [(1, f"{long}\nshort one\nunique words are here on this line"), (2, f"short one\n{long.upper()}  \nnew words stay where they are now"), (3, long), (4, f"{long}\n{long}"), (5, None), (6, ""), (7, LONG), (8, "other\n" + LONG), (9, "same row twice with enough words"), (9, "same row twice with enough words")]
-    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, unit int")
-    got = defaultdict(list)
-    for r in lines.deduplicate(docs).collect():
-        got[r.doc_id].append((r.text, [(s.start, s.end) for s in r.removed_spans or []]))
-    assert got[1] == [(rows[0][1], [])]
-    assert got[2] == [("short one\nnew words stay where they are now", [(10, 52)])]
-    assert got[3] == [("", [(0, 40)])] and got[4] == [("", [(0, 40), (41, 81)])]
-    assert got[5] == [(None, [])] and got[6] == [("", [])] and got[8][0][0] == "other\n" and len(got[9]) == 2
-    assert lines.report(docs.limit(0)).count() == 0
-    paragraphs = lines.deduplicate(spark.createDataFrame([(1, f"{long}\nx y z\n\nz"), (2, f"{long}\nx y z\n \nother")], "doc_id long, text string"), unit="paragraph")
-    assert {r.doc_id: len(r.removed_spans or []) for r in paragraphs.collect()} == {1: 0, 2: 1}
+UNIT_ENDS = {"line": r"[^\n]*?(?:\n|\Z)", "sentence": r"[^\n]*?(?:[.!?] |\n|\Z)", "paragraph": r"(?s).*?(?:\n[ \t\r\v\f]*\n|\Z)"}
+
+
+def brute_units(text, unit):
+    out = []
+    for m in re.finditer(UNIT_ENDS[unit], text):
+        if m.group():
+            out.append((m.start(), m.end(), tuple(re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda x: x.group().lower(), m.group())))))
+    return out
+
+
+def brute_removed(rows, unit, least):
+    """Spans to remove of each row, character by character over units."""
+    cut = [(k, brute_units(t or "", unit)) for k, t in rows]
+    first = {}
+    for k, us in cut:
+        for _, _, w in us:
+            if k is not None and w:
+                first[w] = min(first.get(w, k), k)
+    out = []
+    for k, us in cut:
+        spans, now = [], []
+        for a, b, w in [*us, (0, 0, ("",))]:
+            if w and k is not None and w in first and first[w] != k:
+                now.append((a, b, len(w)))
+            elif w:
+                if sum(n for *_, n in now) >= least:
+                    spans.append((now[0][0], now[-1][1], sum(n for *_, n in now)))
+                now = []
+        out.append((k, spans))
+    return out
+
+
+def line_rows():
+    r = random.Random(3)
+    stock = ["one two three. ", "Four FIVE six seven eight!\n", "nine.\n\n", "é ten eleven? ", "a b c d e f g h i j k l.\n", "no end", "\n \n", "x", "... ", "u v w. "]
+    rows = [(i // 2 if i % 7 == 0 else i, "".join(r.choice(stock) for _ in range(r.randrange(12)))) for i in range(60)]
+    return [*rows, (None, "one two three. Four five six seven eight!"), (None, None), (200, None), (201, ""), (202, LONG), (203, "other\n" + LONG), (9, "Same row twice. "), (9, "Same row twice. ")]
+
+
+@pytest.mark.parametrize("unit", ["line", "sentence", "paragraph"])
+@pytest.mark.parametrize("least", [1, 9])
+def test_line_dedup(spark, unit, least):
+    rows = line_rows()
+    docs = spark.createDataFrame([(*r, 1, "kept") for r in rows], "doc_id long, text string, unit int, Removed_Spans string")
+    out = lines.deduplicate(docs, unit=unit, run_words=least)
+    assert out.columns == ["doc_id", "text", "unit", "Removed_Spans", "removed_spans_1"]
+    got = [(r.doc_id, r.text, [tuple(s)[:3] for s in r.removed_spans_1]) for r in out.collect()]
+    want = []
+    for (k, spans), (_, t) in zip(brute_removed(rows, unit, least), rows, strict=True):
+        clean, at = [], 0
+        for a, b, _ in spans:
+            clean.append(t[at:a])
+            at = b
+        want.append((k, t if t is None else "".join([*clean, t[at:]]), spans))
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert any(spans for *_, spans in got) and lines.report(docs.limit(0), unit=unit).count() == 0
+
+
+def test_line_dedup_keeps_the_first_and_stock_lines(spark):
+    passage = "the first sentence of a passage. " * 3 + "then another one that is rather long and goes on. " + "it ends here after some more words that make it long. "
+    rows = [(1, "own text. " + passage), (2, "license line.\nstart " + passage + "end. more"), (3, "license line.\nother"), (4, passage.replace("another", "ANOTHER"))]
+    got = {r.doc_id: (r.n_removed, r.clean_chars, r.first_docs) for r in lines.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == (0, len(rows[0][1]), "") and got[3] == (0, len(rows[2][1]), "")
+    assert got[2][0] == 1 and got[2][2] == "1" and got[4] == (1, 0, "1")
 
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
