@@ -5,15 +5,16 @@ embedding table; a document is the mean of its words' mean vectors; a linear sof
 classes. Embeddings and softmax are trained jointly in numpy, so a misspelling never seen is scored by
 the n-grams it shares with words that were.
 
-Fitting takes a bounded sample of labelled rows (``SAMPLE_TOXIC``, ``SAMPLE_CLEAN`` and ``SAMPLE_BYTES``; of
-each class the rows with the smallest hash of the key, wherever they lie in the table, weighted back to the classes' shares) and learns from every word of
-it, however rare. Scoring reads every
-whole text: as the softmax of a mean is linear before its last step, each table row is folded into one
-number and workers keep the numbers of words in a bounded table.
+Fitting takes a bounded sample of labelled rows (``toxic``, ``clean`` and ``most_bytes`` of ``sample``; of each
+class the rows with the smallest hash of the key, wherever they lie in the table, weighted back to the classes'
+shares) and learns from every word of it, however rare, in one task; only the folded table, of a fixed size, comes
+to the driver. Scoring reads every whole text: as the softmax of a mean is linear before its last step, each table
+row is folded into one number and workers keep the numbers of words in a bounded table. The mean of a text counts
+``PRIOR_WORDS`` neutral words besides its own.
 
 Defined results: null or empty texts get the score of the bias alone; several labels of one key are
 averaged (0.5 and more is toxic); without labels of both classes every score is the share of toxic
-labels, 0 if there are none; repeated rows are each scored; extra columns are ignored or kept.
+labels, 0 if there are none; repeated rows are each scored; extra columns are ignored or kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,13 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .columns import free_name
 from .words import _BYTE_VALUE, ALNUM, Words, _power, chunks, mix, utf8
 
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 1600, 2800, 24 << 20
 #: Rows of the embedding table, and their width.
 BUCKET_BITS, WIDTH = 18, 4
 GRAMS = (3, 4, 5, 6)
-STEPS, RATE, DECAY, GAIN = 80, 0.1, 1e-6, 60.0
+STEPS, RATE, DECAY, GAIN = 80, 0.1, 1e-5, 60.0
 #: A mean counts so many neutral words besides a text's own, so a few odd ones don't decide on a short text.
 PRIOR_WORDS = 20
 #: Words (or table rows) handled at a time while training.
@@ -99,43 +101,52 @@ def train(texts: list[bytes], labels: np.ndarray, share: float, seed: int = 0) -
     if not len(labels) or labels.min() == labels.max():
         p = min(max(share, 1e-6), 1 - 1e-6)
         return Model(np.zeros(1 << BUCKET_BITS, np.float32), float(np.log(p / (1 - p))))
-    counts, names = [], {}
+    # every word of the sample gets a number as it comes, and its table rows at once: words themselves aren't kept
+    known, number = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes in order, and their words' numbers
+    rows, sizes, docs, words, values = [], [], [], [], []
     for begin, end in chunks(texts):
         w = Words(texts[begin:end], ALNUM)
+        each, first, back = np.unique(w.hashes, return_index=True, return_inverse=True)
+        fresh = np.flatnonzero(~np.isin(each, known, assume_unique=True))
+        for at in range(0, len(fresh), BLOCK_WORDS):
+            place = first[fresh[at : at + BLOCK_WORDS]]
+            some, start = subwords([w.data[i:j].tobytes() for i, j in zip(w.starts[place].tolist(), w.ends[place].tolist(), strict=True)])
+            rows.append(some)
+            sizes.append(np.diff(np.append(start, len(some))).astype(np.int32))
+        where = np.searchsorted(known, each[fresh])
+        number = np.insert(number, where, np.arange(len(known), len(known) + len(fresh), dtype=np.int32))
+        known = np.insert(known, where, each[fresh])
+        of = number[np.searchsorted(known, each)][back]
         for i in range(end - begin):
-            a, b = w.first[i], w.first[i + 1]
-            each, first, n = np.unique(w.hashes[a:b], return_index=True, return_counts=True)
-            counts.append((each, n.astype(np.int32)))
-            for h, at in zip(each.tolist(), (a + first).tolist(), strict=True):
-                if h not in names:
-                    names[h] = w.data[w.starts[at] : w.ends[at]].tobytes()
-    vocabulary = np.sort(np.fromiter(names, np.uint64, len(names)))
-    # all words of the sample, subwords in blocks: only the table rows (4 bytes a subword) are kept
-    rows, sizes = [], []
-    for at in range(0, len(vocabulary), BLOCK_WORDS):
-        some, begin = subwords([names[h] for h in vocabulary[at : at + BLOCK_WORDS].tolist()])
-        rows.append(some)
-        sizes.append(np.diff(np.append(begin, len(some))).astype(np.int32))
-    del names
-    rows, sizes = np.concatenate([np.zeros(0, np.int32), *rows]), np.concatenate([np.zeros(0, np.int32), *sizes])
-    begin = np.cumsum(sizes, dtype=np.int64) - sizes
-    # documents x words
-    doc = np.repeat(np.arange(len(counts), dtype=np.int32), [len(each) for each, _ in counts])
-    word = np.concatenate([np.searchsorted(vocabulary, each).astype(np.int32) for each, _ in counts])
-    value = np.concatenate([(n / (n.sum() + PRIOR_WORDS)).astype(np.float32) for _, n in counts])
-    del counts
+            mine, n = np.unique(of[w.first[i] : w.first[i + 1]], return_counts=True)
+            docs.append(np.full(len(mine), begin + i, np.int32))
+            words.append(mine)
+            values.append((n / (n.sum() + PRIOR_WORDS)).astype(np.float32))
+    n_words = len(known)
+    del known, number
+    doc, word, value = (np.concatenate(x) for x in (docs, words, values))
+    del docs, words, values
     by_word = np.argsort(word, kind="stable").astype(np.int32)
-    present = np.bincount(rows, minlength=1 << BUCKET_BITS) > 0
-    used = np.flatnonzero(present)  # only these table rows are trained
-    rows_used = (np.cumsum(present, dtype=np.int32) - 1)[rows]
-    del rows
-    by_row = np.argsort(rows_used, kind="stable")
-    word_by_row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[by_row]
-    del by_row
-    row_begin = np.append(0, np.cumsum(np.bincount(rows_used, minlength=len(used))))[:-1]
-    word_begin = np.searchsorted(word[by_word], np.arange(len(vocabulary)))
+    word_begin = np.searchsorted(word[by_word], np.arange(n_words))
     some = np.flatnonzero(np.bincount(doc, minlength=len(texts)))
     doc_begin = np.searchsorted(doc, some)
+    rows, sizes = np.concatenate([np.zeros(0, np.int32), *rows]), np.concatenate([np.zeros(0, np.int32), *sizes])
+    begin = np.cumsum(sizes, dtype=np.int64) - sizes
+    counts = np.bincount(rows, minlength=1 << BUCKET_BITS)
+    used = np.flatnonzero(counts)  # only these table rows are trained
+    rank = (np.cumsum(counts > 0, dtype=np.int32) - 1).astype(np.int32)
+    for at in range(0, len(rows), 1 << 20):
+        rows[at : at + (1 << 20)] = rank[rows[at : at + (1 << 20)]]
+    # the words of each table row, sorted a range of rows at a time: the whole order would take twice the room
+    row_begin = np.append(0, np.cumsum(counts[used]))
+    owner, word_by_row = np.repeat(np.arange(n_words, dtype=np.int32), sizes), np.empty(len(rows), np.int32)
+    step = -(-len(used) // 16)
+    for low in range(0, len(used), step):
+        high = min(low + step, len(used))
+        at = np.flatnonzero((rows >= low) & (rows < high))
+        word_by_row[row_begin[low] : row_begin[high]] = owner[at[np.argsort(rows[at], kind="stable")]]
+    del owner, counts
+    row_begin = row_begin[:-1]
 
     rng = np.random.default_rng(seed)
     e = rng.normal(0, 0.05, (len(used), WIDTH)).astype(np.float32)
@@ -148,7 +159,7 @@ def train(texts: list[bytes], labels: np.ndarray, share: float, seed: int = 0) -
     state = [(np.zeros_like(x), np.zeros_like(x)) for x in (e, out, bias)]
     inverse = (1 / sizes).astype(np.float32)[:, None]
     for step in range(1, STEPS + 1):
-        vectors = _gathered(e, rows_used, begin) * inverse
+        vectors = _gathered(e, rows, begin) * inverse
         h = np.zeros((len(texts), WIDTH), np.float32)
         h[some] = np.add.reduceat(vectors[word] * value[:, None], doc_begin) * GAIN
         logits = h @ out + bias
@@ -168,13 +179,13 @@ def train(texts: list[bytes], labels: np.ndarray, share: float, seed: int = 0) -
     return Model(weight, float(bias[1] - bias[0]))
 
 
-def within(sizes: list[tuple]) -> list:
-    """The keys of the sampled texts (turn, key, class, bytes; in order) that SAMPLE_BYTES hold: of each class the
+def within(sizes: list[tuple], toxic: int, clean: int, most_bytes: int) -> list:
+    """The keys of the sampled texts (turn, key, class, bytes; in order) that ``most_bytes`` hold: of each class the
     first ones, up to its part of the bytes and what the other class leaves of its own. A text larger than that
     alone is passed over."""
-    parts = {1: SAMPLE_TOXIC, 0: SAMPLE_CLEAN}
+    parts = {1: toxic, 0: clean}
     need = {y: sum(s[3] for s in sizes if s[2] == y) for y in parts}
-    room = {y: SAMPLE_BYTES * n // sum(parts.values()) for y, n in parts.items()}
+    room = {y: most_bytes * n // max(1, sum(parts.values())) for y, n in parts.items()}
     room = {y: room[y] + max(0, room[1 - y] - need[1 - y]) for y in room}
     out = []
     for y, most in room.items():
@@ -187,23 +198,40 @@ def within(sizes: list[tuple]) -> list:
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """Train on a bounded sample of the labelled rows outside the held-out fold."""
+def sample(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN, most_bytes: int = SAMPLE_BYTES) -> tuple[DataFrame | None, float]:
+    """turn, k, y and text of the labelled rows outside the held-out fold that are learned from (None if there are
+    none), and the share of toxic ones among all labelled rows outside it."""
     rows = labels.where(~held_out(F.col(key)) & F.col(label).isNotNull()).groupBy(F.col(key).alias("k")).agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("y"))
     n = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     share = n.get(1, 0) / max(1, sum(n.values()))
     order = F.xxhash64("k")
-    sample = rows.where("y = 1").orderBy(order, "k").limit(SAMPLE_TOXIC).unionAll(rows.where("y = 0").orderBy(order, "k").limit(SAMPLE_CLEAN))
-    # at most SAMPLE_TOXIC + SAMPLE_CLEAN keys: small enough to send to all executors
-    found = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(sample), "k").withColumn("turn", order)
+    some = rows.where("y = 1").orderBy(order, "k").limit(toxic).unionAll(rows.where("y = 0").orderBy(order, "k").limit(clean))
+    # at most toxic + clean keys: small enough to send to all executors
+    found = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(some), "k").withColumn("turn", order)
     sizes = found.groupBy("turn", "k", "y").agg(F.sum(F.octet_length("text")).alias("size")).collect()
-    chosen = within(sorted((r.turn, r.k, r.y, r.size) for r in sizes))
+    chosen = within(sorted((r.turn, r.k, r.y, r.size) for r in sizes), toxic, clean, most_bytes)
     if not chosen:
+        return None, share
+    taken = docs.sparkSession.createDataFrame([(k,) for k in chosen], some.select("k").schema)
+    return found.join(F.broadcast(taken), "k", "left_semi").select("turn", "k", "y", "text"), share
+
+
+def fit(docs: DataFrame, labels: DataFrame, **names) -> Model:
+    """Train on the bounded sample (see ``sample`` for the parameters), in one task."""
+    rows, share = sample(docs, labels, **names)
+    if rows is None:
         return train([], np.zeros(0, np.int64), share)
-    taken = docs.sparkSession.createDataFrame([(k,) for k in chosen], sample.select("k").schema)
-    rows = sorted(((r.turn, r.k, r.y, r.text.encode()) for r in found.join(F.broadcast(taken), "k", "left_semi").toLocalIterator()), key=lambda r: r[:2])
-    texts, ys = [r[3] for r in rows], [r[2] for r in rows]
-    return train(texts, np.array(ys, np.int64), share)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(t, k, x, y) for b in batches for t, k, x, y in zip(b.column("turn").to_pylist(), b.column("k").to_pylist(), utf8(b.column("text")), b.column("y").to_pylist(), strict=True)]
+        parts.sort()
+        model = train([x for *_, x, _ in parts], np.array([y for *_, y in parts], np.int64), share)
+        del parts
+        pa.default_memory_pool().release_unused()
+        yield pa.RecordBatch.from_arrays([pa.array([model.weight.tobytes()], pa.binary()), pa.array([model.bias])], names=["weight", "bias"])
+
+    row = rows.repartition(1).mapInArrow(learn, "weight binary, bias double").first()
+    return Model(np.frombuffer(bytes(row.weight), np.float32), row.bias)
 
 
 class _Known:
@@ -230,10 +258,10 @@ class _Known:
         return out[back]
 
 
-def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
-    """``docs`` with ``__score`` (double, 0 to 1)."""
+def score(docs: DataFrame, model: Model, *, text: str = "text", name: str = "score") -> DataFrame:
+    """``docs`` with ``name`` (double, 0 to 1), or the first free one of name_1, name_2, ..."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 4 bytes a table row: a fixed size
-    schema = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(free_name(name, docs.columns), T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = shared.value, _Known()
@@ -250,13 +278,15 @@ def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def report(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
+def report(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", **bounds) -> DataFrame:
     """key, held_out, score, predicted."""
-    model = fit(docs, labels, key=key, text=text, label=label)
-    scored = score(docs.select(F.col(key), F.col(text).alias("text")), model)
-    return scored.select(key, held_out(F.col(key)).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+    model = fit(docs, labels, key=key, text=text, label=label, **bounds)
+    scored = score(docs.select(F.col(key), F.col(text).alias("__text")), model, text="__text")
+    found = F.col(scored.columns[-1])
+    return scored.select(key, held_out(F.col(key)).alias("held_out"), found.alias("score"), (found >= 0.5).cast("int").alias("predicted"))
 
 
-def remove(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
+def remove(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", **bounds) -> DataFrame:
     """``docs`` without the rows predicted toxic; all columns stay."""
-    return score(docs, fit(docs, labels, key=key, text=text, label=label), text=text).where("__score < 0.5").drop("__score")
+    scored = score(docs, fit(docs, labels, key=key, text=text, label=label, **bounds), text=text)
+    return scored.where(F.col(scored.columns[-1]) < 0.5).drop(scored.columns[-1])

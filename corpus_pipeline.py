@@ -2,6 +2,17 @@
 
 Every stage takes (spark, docs, sf_dir) and reads the whole table its predecessor left; the result is
 written as Parquet and read again for the next one. All but the last return the columns of documents.
+
+Defined results of the stages (drop_toxic, drop_copies, drop_near_copies, drop_contaminated, pack):
+
+* null and empty texts are scored by the bias alone and stay; they are one group of exact copies, of which one row
+  stays; they are no near copies, never contaminated, and are packed as the end token alone;
+* a null doc_id is a key like any other; nulls in other columns are carried along;
+* rows repeated with the same key and text are one row after drop_copies;
+* of ties the smaller key stays, null first among exact copies and last among near copies;
+* very long texts are read whole in every stage, and cut in pack only, at whole sequences;
+* an empty table stays empty; without labels nothing is toxic, without a benchmark nothing is contaminated;
+* further columns stay, whatever their names, up to pack, which returns its own.
 """
 
 from __future__ import annotations

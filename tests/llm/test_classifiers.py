@@ -45,15 +45,14 @@ def test_rare_words_teach_in_large_samples():
     assert never[:2].min() > 1 and never[2] < 0
 
 
-def test_byte_bound_takes_smallest_hashes(spark, monkeypatch):
+def test_byte_bound_takes_smallest_hashes(spark):
     """Wherever rows lie in the table and however long they are."""
-    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 44 * 100)
     rows = [(i, f"{i} {'toxic' if i % 2 else 'clean'} " + "x" * (60 + i)) for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
-    seen = []
-    monkeypatch.setattr(toxicity, "train", lambda texts, ys, share: seen.extend(int(t.split()[0]) for t in texts))
-    toxicity.fit(docs, labels)
+    taken, share = toxicity.sample(docs, labels, toxic=1600, clean=2800, most_bytes=44 * 100)
+    seen = [r.k for r in taken.orderBy("turn", "k").collect()]
+    assert 0.4 < share < 0.6
     order = [r.doc_id for r in labels.where(~toxicity.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id")).collect()]
     for y, most in ((1, 1600), (0, 2800)):
         want, size = [], 0
@@ -63,6 +62,34 @@ def test_byte_bound_takes_smallest_hashes(spark, monkeypatch):
                 break
             want.append(k)
         assert want and [k for k in seen if k % 2 == y] == want
+    few, _ = toxicity.sample(docs, labels, toxic=3, clean=5)
+    assert sorted(r.y for r in few.collect()) == [0] * 5 + [1] * 3
+
+
+def test_scores_are_the_softmax_of_the_mean(spark):
+    """Against a plain loop over words and their subwords."""
+    r = np.random.default_rng(0)
+    model = toxicity.Model(r.normal(size=1 << toxicity.BUCKET_BITS).astype(np.float32), -0.3)
+    texts = ["one two two THREE", "", None, "été, x-y 42", "word " * 500]
+    docs = spark.createDataFrame([(i, t, "kept", 1.0) for i, t in enumerate(texts)], "doc_id long, text string, score string, Score_1 double")
+    out = toxicity.score(docs, model)
+    assert out.columns == ["doc_id", "text", "score", "Score_1", "score_2"]
+    for row in out.collect():
+        words = "".join(c if c.isalnum() and c.isascii() or not c.isascii() else " " for c in (row.text or "")).lower().split()
+        total = 0.0
+        for w in words:
+            rows, _ = toxicity.subwords([w.encode()])
+            total += sum(float(model.weight[i]) for i in rows) / len(rows)
+        want = 1 / (1 + np.exp(-(total / (len(words) + toxicity.PRIOR_WORDS) - 0.3)))
+        assert abs(row.score_2 - want) < 1e-4
+
+
+def test_training_follows_the_gradient():
+    """One step of the joint training lowers the loss of a plain forward pass."""
+    clean, bad = [b"calm plain words here"] * 20, [b"horrid words here"] * 20
+    m = toxicity.train(clean + bad, np.array([0] * 20 + [1] * 20), 0.5)
+    logit = lambda t: sum(m.word_scores(t.split())) / (len(t.split()) + toxicity.PRIOR_WORDS) + m.bias
+    assert logit(clean[0]) < -1 < 1 < logit(bad[0])
 
 
 def test_toxicity_edges(spark):
@@ -163,3 +190,32 @@ def test_pipeline(spark, data):
     assert decontaminate.report(left, spark.read.parquet(f"{data}/benchmark.parquet")).where("contaminated").count() == 0
     packed = corpus_pipeline.run(spark, data)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in left.select("doc_id").collect()}
+
+
+def test_pipeline_edges(spark, tmp_path):
+    """Nulls, empty and long texts, ties, repeated rows, clashing columns; then empty tables."""
+    import corpus_pipeline
+
+    here = f"file://{tmp_path}"
+    leak = "one two three four five six seven eight nine ten eleven"
+    base = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, None), (2, ""), (3, " \n"), (4, base), (5, base.replace(" ", "  ")), (4, base), (6, base.replace("word59", "edit")), (7, f"so {leak} there"), (8, "long " * 40_000), (None, "no key"), (9, "plain text"), (9, "another text")]
+    docs = spark.createDataFrame([(i, t, None, "s", 1, "kept", 2.0, "r") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, doc string, score double, runs string")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{here}/labels.parquet")
+    spark.createDataFrame([(1, leak), (None, None)], "item_id long, text string").write.parquet(f"{here}/benchmark.parquet")
+    docs.write.parquet(f"{here}/documents.parquet")
+    left, seen = spark.read.parquet(f"{here}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = quality.store.written(stage(spark, left, here))
+        assert left.columns == docs.columns
+        seen[name] = sorted((r.doc_id if r.doc_id is not None else -1, (r.text or "")[:12]) for r in left.collect())
+        assert {(r.doc, r.score, r.runs) for r in left.collect()} == {("kept", 2.0, "r")}
+    assert len(seen["toxicity"]) == len(rows)
+    once = [(-1, "no key"), (3, " \n"), (5, base.replace(" ", "  ")[:12]), (6, base[:12]), (7, "so one two t"), (8, "long long lo"), (9, "another text"), (9, "plain text")]
+    assert seen["exact_dedup"] == once
+    assert seen["ngram_join"] == [x for x in once if x[0] != 6] and seen["decontamination"] == [x for x in once if x[0] not in (6, 7)]
+    packed = corpus_pipeline.run(spark, here)
+    assert sorted({-1 if r.doc_id is None else r.doc_id for r in packed.collect()}) == [-1, 3, 5, 8, 9]
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, here).count() == 0
