@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, lines, ngram_join, packing, quality, secrets, token_counts, toxicity
+from . import chat, decontaminate, exact_dedup, filter_audit, lines, ngram_join, packing, pieces, quality, secrets, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(_table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.report(_table(spark, sf_dir, "documents"))
+
+
 _OP1_SQL = r"""
 WITH turns AS (
   SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -137,6 +145,32 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+_OP11_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+first AS (SELECT text, min(doc_id) AS least FROM d GROUP BY text),
+lab AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+w AS (SELECT d.doc_id, part, least, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+      FROM d JOIN first USING (text) LEFT JOIN lab ON d.doc_id = lab.doc_id),
+f AS (SELECT part, good, toxic, CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+      + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 4 ELSE 0 END
+      + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN coalesce(doc_id > least, FALSE) THEN 16 ELSE 0 END AS fails FROM w),
+g AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) t(letter, bit)),
+grow(filter_order, step, bit, before) AS (
+  SELECT letter, 1, bit, 0 FROM letters
+  UNION ALL SELECT filter_order || l.letter, step + 1, l.bit, before + grow.bit FROM grow, letters l WHERE ((before + grow.bit) & l.bit) = 0),
+orders AS (SELECT filter_order FROM grow WHERE step = 5),
+steps AS (SELECT o.filter_order, g.step, g.bit, g.before FROM orders o JOIN grow g ON starts_with(o.filter_order, g.filter_order)),
+parts AS (SELECT DISTINCT part FROM g),
+r AS (SELECT p.part, s.filter_order, s.step, s.bit,
+        sum(CASE WHEN (fails & (before + s.bit)) = 0 THEN n ELSE 0 END) AS kept, sum(CASE WHEN (fails & before) = 0 AND (fails & s.bit) > 0 THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN (fails & before) > 0 AND (fails & s.bit) > 0 THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fails = s.bit THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN (fails & before) = 0 AND (fails & s.bit) > 0 THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN (fails & before) = 0 AND (fails & s.bit) > 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM parts p JOIN g USING (part), steps s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM r
+"""
+
 
 def queries() -> dict:
     return {
@@ -150,8 +184,10 @@ def queries() -> dict:
         "op8_decontamination": op8_decontamination,
         "op9_quality": op9_quality,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_filter_audit": op11_filter_audit,
+        "op13_sentencepiece": op13_sentencepiece,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_formatting": _OP1_SQL, "op3_ngram_join": _OP3_SQL, "op6_exact_dedup": _OP6_SQL, "op8_decontamination": _OP8_SQL, "op10_substring_dedup": _OP10_SQL}
+    return {"op1_chat_formatting": _OP1_SQL, "op3_ngram_join": _OP3_SQL, "op6_exact_dedup": _OP6_SQL, "op8_decontamination": _OP8_SQL, "op10_substring_dedup": _OP10_SQL, "op11_filter_audit": _OP11_SQL}

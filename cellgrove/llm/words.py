@@ -52,6 +52,14 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges, from one running sum over all bytes."""
+    up, down = _power(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE_VALUE[data] * up[: len(data)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 class Words:
     """The words of several texts: ``hashes``, byte ``starts`` and ``ends`` in ``data`` and, for each
     text, the index of its first word (``first``, one longer than the texts)."""
