@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, filter_audit, lines, ngram_join, packing, pieces, quality, secrets, token_counts, toxicity
+from . import chat, decontaminate, exact_dedup, filter_audit, lines, ngram_join, packing, pieces, prefix_trie, quality, secrets, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,16 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = prefix_trie.turn_rows(_table(spark, sf_dir, "conversations"))
+    heads = own.where("conv_id % 20 = 0").select(F.col("conv_id").alias("base"), F.slice("turns", 1, 3).alias("head"))
+    h = (F.crc32(F.col("conv_id").cast("string")) % 4).cast("int")
+    met = own.join(heads, F.col("conv_id") - F.col("conv_id") % 20 == F.col("base"), "left").withColumn("h", h)
+    head = F.slice(F.coalesce("head", F.slice("turns", 1, 0)), F.lit(1), F.col("h"))
+    rest = F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns") - F.col("h"), F.lit(0)))
+    return prefix_trie.trie(prefix_trie.sequences(met.select("conv_id", F.concat(head, rest).alias("turns"))))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.report(_table(spark, sf_dir, "documents"))
 
@@ -171,6 +181,24 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
        CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM r
 """
 
+_OP12_SQL = r"""
+WITH RECURSIVE bits(byte, v, k) AS (SELECT n, n, 0 FROM range(256) t(n) UNION ALL SELECT byte, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8),
+o AS (SELECT conv_id, list({'m': sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 'w': len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))}
+        ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS t FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+crc(conv_id, s, i, c) AS (SELECT conv_id, CAST(conv_id AS VARCHAR), 1, CAST(4294967295 AS BIGINT) FROM o UNION ALL
+  SELECT conv_id, s, i + 1, xor(c >> 8, v) FROM crc JOIN (SELECT byte, v FROM bits WHERE k = 8) ON byte = xor(c & 255, ascii(s[i])) WHERE i <= length(s)),
+h AS (SELECT conv_id, CAST(xor(c, 4294967295) % 4 AS INTEGER) AS h FROM crc WHERE i > length(s)),
+r AS (SELECT o.conv_id, list_concat(coalesce(b.t, [])[1:h], o.t[h + 1:]) AS t FROM o JOIN h USING (conv_id) LEFT JOIN o b ON b.conv_id = o.conv_id - o.conv_id % 20),
+p AS (SELECT conv_id, len(t) AS len, d AS depth, sha256(array_to_string([x.m FOR x IN t[1:d]], ',')) AS node, CASE WHEN d > 0 THEN sha256(array_to_string([x.m FOR x IN t[1:d - 1]], ',')) END AS up,
+             CASE WHEN d > 0 THEN t[d].w ELSE 0 END AS w FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM r)),
+n AS (SELECT node, depth, min(up) AS up, min(w) AS w, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(CASE WHEN len = depth THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256 FROM p GROUP BY node, depth),
+k AS (SELECT up AS node, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY up, depth),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (node, depth)),
+b AS (SELECT p.node, p.depth, sum(CASE WHEN f.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((f.n_convs - 1) * f.w) AS saved_tokens FROM f JOIN p ON p.conv_id = f.conv_id AND p.depth <= f.depth GROUP BY p.node, p.depth)
+SELECT f.conv_id, f.depth, u.conv_id AS parent_conv_id, f.n_convs, f.n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM f JOIN b USING (node, depth) LEFT JOIN f u ON u.node = f.up AND u.depth = f.depth - 1
+"""
+
 
 def queries() -> dict:
     return {
@@ -185,9 +213,10 @@ def queries() -> dict:
         "op9_quality": op9_quality,
         "op10_substring_dedup": op10_substring_dedup,
         "op11_filter_audit": op11_filter_audit,
+        "op12_prefix_trie": op12_prefix_trie,
         "op13_sentencepiece": op13_sentencepiece,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_formatting": _OP1_SQL, "op3_ngram_join": _OP3_SQL, "op6_exact_dedup": _OP6_SQL, "op8_decontamination": _OP8_SQL, "op10_substring_dedup": _OP10_SQL, "op11_filter_audit": _OP11_SQL}
+    return {"op1_chat_formatting": _OP1_SQL, "op3_ngram_join": _OP3_SQL, "op6_exact_dedup": _OP6_SQL, "op8_decontamination": _OP8_SQL, "op10_substring_dedup": _OP10_SQL, "op11_filter_audit": _OP11_SQL, "op12_prefix_trie": _OP12_SQL}
