@@ -63,7 +63,8 @@ def flags(docs: DataFrame, labels: DataFrame, tables: store.Scratch, *, key: str
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), F.col(text).alias("text"))
     own = tables.put("own", rows.mapInArrow(run, f"key {kind}, part string, fails int, mark binary"))
     # only texts held by several keys can fail E: one row for each of them, whatever its copies
-    held = own.groupBy("mark").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most").select("mark", "least")
+    # (written, so that the join has a shuffle of its own on either side and a hot text can be split)
+    held = tables.put("held", own.groupBy("mark").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most").select("mark", "least"))
     seen = labels.groupBy(F.col(key).alias("key")).agg(F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     both = own.join(held, "mark", "left").join(seen, "key", "left")
     again = F.coalesce((F.col("key") > F.col("least")).cast("int"), F.lit(0))
