@@ -1,0 +1,17 @@
+"""Names of helper columns that no given column has."""
+
+from __future__ import annotations
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, or the first of name_1, name_2, ... that no column in ``taken`` has (case aside)."""
+    used, out, n = {c.lower() for c in taken}, name, 0
+    while out.lower() in used:
+        n += 1
+        out = f"{name}_{n}"
+    return out
+
+
+def free_names(names: list[str], taken: list[str]) -> dict[str, str]:
+    """The same of several names."""
+    return {n: free_name(n, taken) for n in names}

@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def registry():
-    from . import pipelines, rasters, sinks, spatial, tables
+    from . import overlays, pipelines, rasters, sinks, spatial, tables
 
-    return [tables, spatial, rasters, pipelines, sinks]
+    return [tables, spatial, overlays, rasters, pipelines, sinks]

@@ -32,6 +32,34 @@ def stored(df: DataFrame, label: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Workspace:
+    """Tables of one computation, in a folder that goes at the end of the ``with`` block. A table put under a used name
+    takes the place of the earlier one, which goes once the new one is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, new_path(spark, "work")
+        self.paths: dict[str, str] = {}
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        discard(self.spark, self.folder)
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        if name in self.paths:
+            discard(self.spark, self.paths[name])
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 class Latest:
     """Stores versions of one table; the one before goes once the next is written. For loops that make each
     version from the last: nothing else may still read an older one."""
@@ -43,7 +71,6 @@ class Latest:
         spark, path = df.sparkSession, new_path(df.sparkSession, self.label)
         df.write.parquet(path)
         if self.path:
-            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            discard(spark, self.path)
         self.path = path
         return spark.read.schema(df.schema).parquet(path)
