@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import pixel_km2, rnd
+from ..functions import analysis_scale, pixel_km2, rnd
 from ..operators import cost, geo
 from ..plans import indicators as ind
 from ..plans import risk as risk_plan
 from ..plans import runs as run_plan
-from ..sources import Latest, tabular
+from ..sources import Latest, new_path, tabular, tiff
 from . import fixtures as fx
-from .rasters import land_cover, walked, whole_surface
+from .rasters import land_cover, surface_of, walked
 
 query, FUNCTIONS, SQL = fx.collector()
 _L = ind.LISTED
@@ -159,9 +159,19 @@ _EVACUATION = """ SELECT unit_id, nullif(round_even(avg(m) * 10, 0) / 10, 0) AS
 
 @query("c09_evacuability")
 def evacuability(s, d):
-    cells = whole_surface(s, d)
-    minutes = cost.least_cost(cells, Latest(), tile=64).select("row", "col", (F.col("distance") / 60).alias("distance"))
-    return ind.evacuation(fx.units(s, d), fx.cell_zone(s, d), minutes, cells.where("not source"), "RP100")
+    """Hazard from a GeoTIFF, read at the size that the analysis scale asks for; cost surface, sources, distances."""
+    depth = fx.hazard(s, d).where("rp = 100").select(F.lit("RP100_depth.tif").alias("raster"), "row", "col", F.col("depth").alias("value"))
+    folder = new_path(s, "hazard")
+    tiff.landed(tiff.geotiffs(depth, (100, 100), 0.0, 0.0, 1.0, 1.0, rows=32, dtype="f8"), folder)
+    scale = analysis_scale(100 * 100, 111.0)
+    shape = round(100 / scale), round(100 / scale)
+    hazard = tiff.reduced(tiff.blocks(s, folder), shape).select("row", "col", F.col("value").alias("depth"))
+    cells = surface_of(s, hazard)
+    sources = cost.sample_sources(cells).select("row", "col", F.lit(True).alias("chosen"))
+    cells = cells.join(sources, ["row", "col"], "left").select("row", "col", "cost", "source", F.coalesce("chosen", F.lit(False)).alias("chosen"))
+    starts = cells.select("row", "col", "cost", F.col("chosen").alias("source"))
+    minutes = cost.least_cost(starts, Latest(), tile=64).select("row", "col", (F.col("distance") / 60).alias("distance"))
+    return ind.evacuation(fx.units(s, d), fx.cell_zone(s, d), minutes, cells.where("not source"), "RP100", strict=True)
 
 
 SQL["c09_evacuability"] = walked(_EVACUATION, "units", "cell_zone")

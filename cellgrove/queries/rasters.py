@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import analysis_scale, drought_class, exceeds, footprint_cells, rnd, settlement_class, storm_class
 from ..operators import cost, geo, grid, series
-from ..sources import Latest, stored
+from ..sources import Latest, new_path, stored, tiff
 from . import fixtures as fx
 
 query, FUNCTIONS, SQL = fx.collector()
@@ -151,10 +151,15 @@ def _(s, d):
 
 
 def _surface(s, d):
-    h = fx.hazard(s, d).where("rp = 100").select("row", "col", "depth")
+    return surface_of(s, fx.hazard(s, d).where("rp = 100").select("row", "col", "depth")).drop("source")
+
+
+def surface_of(s, hazard):
+    """row, col, cost, risky, source (safe cells) over the grid, of a hazard's depth."""
     f = (F.col("row") * 7 + F.col("col") * 11) % 9
-    g = fx.grid(s).join(h, ["row", "col"], "left")
-    return g.select("row", "col", cost.friction_cost(f, 111.0).alias("cost"), cost.at_risk(F.col("depth")).alias("risky"))
+    g = fx.grid(s).join(hazard, ["row", "col"], "left")
+    risky = cost.at_risk(F.col("depth"))
+    return g.select("row", "col", cost.friction_cost(f, 111.0).alias("cost"), risky.alias("risky"), (~risky).alias("source"))
 
 
 fx.SQL["surface"] = (
@@ -312,3 +317,32 @@ SQL["w07_chunks_under_budget"] = fx.with_sql(
 def _(s, d):
     tiles = stored(grid.to_tiles(fx.population(s, d, ("total_pop",)).withColumnRenamed("total_pop", "value"), 16))
     return grid.from_tiles(tiles, (30, 10, 32, 24), 16)
+
+
+def _landed(s, d) -> str:
+    """The folder of one GeoTIFF of the population, by strips of 16 rows."""
+    folder = new_path(s, "geotiff")
+    cells = fx.population(s, d, ("total_pop",)).select(F.lit("population.tif").alias("raster"), "row", "col", F.col("total_pop").alias("value"))
+    tiff.landed(tiff.geotiffs(cells, (100, 100), 0.0, 0.0, 1.0, 1.0, rows=16, dtype="f8"), folder)
+    return folder
+
+
+@query("s07_geotiff_window", "SELECT 'population.tif' AS raster, row, col, CAST(total_pop AS DOUBLE) AS value FROM population WHERE row BETWEEN 30 AND 61 AND col BETWEEN 10 AND 33", "population")
+def _(s, d):
+    window = (30, 10, 32, 24)
+    return tiff.cells(tiff.blocks(s, _landed(s, d), window), window).select("raster", "row", "col", "value")
+
+
+def _triangle(row: str, old: int, new: int, cell: str) -> str:
+    return f"greatest(0e0, 1 - abs({cell} - (({row} + 0.5e0) * {old / new!r}e0 - 0.5e0)) / {max(1.0, old / new)!r}e0)"
+
+
+_SHAPE = (30, 160)
+_REDUCED = f"""SELECT CAST(t.i // {_SHAPE[1]} AS INTEGER) AS row, CAST(t.i % {_SHAPE[1]} AS INTEGER) AS col, {_triangle(f"(t.i // {_SHAPE[1]})", 100, _SHAPE[0], "p.row")} * {_triangle(f"(t.i % {_SHAPE[1]})", 100, _SHAPE[1], "p.col")} AS w, total_pop AS v
+  FROM range({_SHAPE[0] * _SHAPE[1]}) t(i) JOIN population p ON p.row BETWEEN (t.i // {_SHAPE[1]} + 0.5e0) * {100 / _SHAPE[0]!r}e0 - 5 AND (t.i // {_SHAPE[1]} + 0.5e0) * {100 / _SHAPE[0]!r}e0 + 5 AND p.col BETWEEN (t.i % {_SHAPE[1]}) * 0.625e0 - 3 AND (t.i % {_SHAPE[1]}) * 0.625e0 + 3"""
+
+
+@query("s08_geotiff_reduced", f"SELECT row, col, round_even(sum(w * v) / sum(w) * 1e6, 0) / 1e6 AS value FROM ({_REDUCED}) WHERE w > 0 GROUP BY row, col", "population")
+def _(s, d):
+    """Rows fewer, columns more than the raster has."""
+    return tiff.reduced(tiff.blocks(s, _landed(s, d)), _SHAPE).select("row", "col", rnd(F.col("value"), 6).alias("value"))
