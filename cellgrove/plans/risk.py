@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometric_mean, row_mean
 from ..operators import series, table
+from ..sources import stored
 
 PREFIXES = {"coping": "cop_", "vulnerability": "vul_", "flood": "exp_flo_", "cyclone": "exp_cyc_", "drought": "exp_dro_"}
 HAZARDS = {"flood": "exp_flo_", "cyclone": "exp_cyc_", "drought": "exp_dro_"}
@@ -25,13 +26,18 @@ def fallback(levels: dict[int, DataFrame | None], required: bool = True) -> tupl
     return found[0] if found else None
 
 
-def risk(df: DataFrame, unit: str = "unit_id", partition: list[str] | None = None) -> DataFrame:
+#: Units from which on ranks are taken by ranges.
+MANY = 50_000
+
+
+def risk(df: DataFrame, unit: str = "unit_id", partition: list[str] | None = None, many: int = MANY) -> DataFrame:
     """Coping, vulnerability, and per hazard exposure, susceptibility, risk and rank, beside the raw columns.
 
     Indicators are min-max normalised (constant ones stay as they are), missing coping becomes 0, missing
     vulnerability 1, missing exposure stays; cop = mean(1 - coping), vul = mean(vulnerability), sus =
     sqrt(vul * cop), exp = mean(exposure), risk = sqrt(exp * sus); ranks descend, ties share their mean. A
-    root of a negative product is null. ``partition``: normalise and rank within these columns."""
+    root of a negative product is null. ``partition``: normalise and rank within these columns. ``many`` units or more
+    are written once and ranked by ranges, in many tasks."""
     cop = [c for c in df.columns if c.startswith("cop_")]
     vul = [c for c in df.columns if c.startswith("vul_")]
     exposures = {h: [c for c in df.columns if c.startswith(p)] for h, p in HAZARDS.items()}
@@ -45,8 +51,12 @@ def risk(df: DataFrame, unit: str = "unit_id", partition: list[str] | None = Non
     for h, cs in exposures.items():
         out = out.withColumn(f"exp_{h}", row_mean(*(F.col(f"n_{c}") for c in cs))).withColumn(f"sus_{h}", F.col("sus")).withColumn(f"risk_{h}", geometric_mean(F.col(f"exp_{h}"), F.col("sus")))
     out = out.drop("sus", *(f"n_{c}" for c in every))
+    if exposures and not partition and df.limit(many).count() >= many:
+        out, store = stored(out, "risk"), stored
+    else:
+        store = None
     for h in exposures:
-        out = series.average_rank(out, f"risk_{h}", f"ranking_{h}", partition)
+        out = series.average_rank(out, f"risk_{h}", f"ranking_{h}", partition, store)
     last = [f"{n}_{h}" for h in exposures for n in ("exp", "sus", "risk", "ranking")]
     return out.select(*(partition or []), unit, *every, "cop", "vul", *last)
 

@@ -33,26 +33,44 @@ def windowed_counts(events: DataFrame, time: str, width: str, late: str, keys: l
     return events.withWatermark(time, late).groupBy(F.window(time, width), *keys).agg(F.count("*").alias("n"))
 
 
-_STATE = "last_step long, flags array<boolean>"
+_STATE = "run long, open array<bigint>, last bigint"
 
 
-def run_events(series: DataFrame, key: str, step: str, value: str, threshold: float) -> DataFrame:
-    """Steps in runs of at least three values below the threshold, with five steps of state per key.
+def run_events(series: DataFrame, key: str, step: str, value: str, threshold: float, length: int = 3, time: str | None = None, idle_ms: int = 0) -> DataFrame:
+    """key, step, event: whether each step lies in a run of at least ``length`` values below the threshold, as
+    ``series.run_events`` has it of a whole table. A step that is absent breaks no run; a null value does.
 
-    Steps of a key must arrive in order. A step is decided once the two after it have come."""
+    A key's state is the length of its present run and the steps of it that are not decided yet (``length`` - 1 at
+    most): they are once the run is long enough or broken. With ``time`` (an event-time column with a watermark) a run
+    also ends when no row of the key has come for ``idle_ms`` of event time; without it the last open steps of a key
+    wait. Steps of a key must arrive in order; one that isn't later than the last one is left out."""
     kind = series.schema[key].dataType.simpleString()
 
     def advance(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, flags = state.get if state.exists else (-1, [])
-        flags, out = list(flags), []
-        for pdf in batches:
-            for s, v in sorted(zip(pdf[step], pdf[value], strict=True)):
-                flags = [*flags[-4:], bool(v is not None and v < threshold)]
-                last = int(s)
-                if len(flags) >= 3:
-                    f = [*([False] * (5 - len(flags))), *flags]  # two before, the step, two after
-                    out.append((k[0], last - 2, f[2] and ((f[0] and f[1]) or (f[1] and f[3]) or (f[3] and f[4]))))
-        state.update((last, flags))
-        yield pd.DataFrame(out, columns=["key", "step", "event"])
-
-    return series.groupBy(key).applyInPandasWithState(advance, f"key {kind}, step long, event boolean", _STATE, "append", GroupStateTimeout.NoTimeout)
+        run, waiting, last = state.get if state.exists else (0, [], None)
+        waiting, out, latest = list(waiting), [], None
+        if state.hasTimedOut:
+            out = [(s, False) for s in waiting]
+            state.remove()
+        else:
+            for pdf in batches:
+                for s, v in sorted(zip(pdf[step].tolist(), pdf[value].tolist(), strict=True), key=lambda x: x[0]):
+                    if last is not None and s <= last:
+                        continue
+                    last = s
+                    if v is not None and v < threshold:  # a NaN is no value
+                        run, waiting = run + 1, [*waiting, s]
+                        if run >= length:
+                            out, waiting = [*out, *((x, True) for x in waiting)], []
+                    else:
+                        out, waiting, run = [*out, *((x, False) for x in waiting), (s, False)], [], 0
+                if time:
+                    seen = pdf[time].max()
+                    latest = seen if latest is None else max(latest, seen)
+            state.update((run, waiting, last))
+            if latest is not None:
+                state.setTimeoutTimestamp(max(int(latest.timestamp() * 1000) + idle_ms, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"key": [k[0]] * len(out), "step": [int(s) for s, _ in out], "event": [e for _, e in out]}) if out else pd.DataFrame(columns=["key", "step", "event"])
+
+    timer = GroupStateTimeout.EventTimeTimeout if time else GroupStateTimeout.NoTimeout
+    return series.groupBy(key).applyInPandasWithState(advance, f"key {kind}, step long, event boolean", _STATE, "append", timer)

@@ -271,12 +271,19 @@ def test_worksheet(spark, tmp_path):
 def test_streamed_run_events(spark, tmp_path):
     from cellgrove.streaming import run_events
 
-    spark.createDataFrame([(1, i, v) for i, v in enumerate([1.0, 1.0, 1.0, 9.0, 1.0, 1.0, 9.0, 9.0])], "c int, s long, v double").coalesce(1).write.parquet(f"{tmp_path}/in")
-    s = spark.readStream.schema("c int, s long, v double").parquet(f"{tmp_path}/in")
-    q = run_events(s, "c", "s", "v", 5.0).writeStream.format("memory").queryName("run_events_out").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
-    assert q.awaitTermination(60)
-    got = {r.step: r.event for r in spark.table("run_events_out").collect()}
-    assert got == {0: True, 1: True, 2: True, 3: False, 4: False, 5: False}
+    # steps with gaps, runs over several batches, open ends; the last rows move the watermark on
+    rows = [(1, s, 1.0) for s in (1, 2, 5, 6, 9)] + [(2, s, v) for s, v in enumerate([1.0, 1.0, 9.0, 1.0, 1.0, None, 1.0, 1.0, 1.0, 9.0, 1.0, 1.0])] + [(3, s, 1.0) for s in (4, 7)]
+    table = spark.createDataFrame(rows, "c int, s long, v double").withColumn("t", F.timestamp_seconds(F.col("s") + 1000))
+    for k in range(4):
+        table.where(f"s div 3 = {k}").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    spark.createDataFrame([(4, 5000, 9.0)], "c int, s long, v double").withColumn("t", F.timestamp_seconds(F.col("s") + 1000)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    s = spark.readStream.schema("c int, s long, v double, t timestamp").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in").withWatermark("t", "0 seconds")
+    q = run_events(s, "c", "s", "v", 5.0, time="t", idle_ms=60_000).writeStream.format("memory").queryName("run_events_out").option("checkpointLocation", f"{tmp_path}/cp").start()
+    q.processAllAvailable()
+    q.stop()
+    got = {(r.key, r.step): r.event for r in spark.table("run_events_out").collect()}
+    want = {(r.c, r.s): r.event for r in series.run_events(table, ["c"], "s", F.col("v") < 5.0).collect()} | {(4, 5000): False}
+    assert got == want and want[1, 9] and not want[2, 11]
 
 
 def test_output_partition_is_replaced(spark):
@@ -339,3 +346,28 @@ def test_shared_borders_stay_shared(spark):
     common = set(border)
     assert [p for p in got["L"] if p in common] == [p for p in got["R"] if p in common][::-1]
     assert len(got["L"]) < len(left) and 4 <= len(got["O"]) < 20
+
+
+def test_exact_median_is_percentile(spark, monkeypatch):
+    from cellgrove.operators import zonal
+
+    monkeypatch.setattr(zonal, "RANGES", 4)
+    rng = np.random.default_rng(8)
+    rows = [(u, float(v)) for u, n in enumerate((1, 2, 7, 8, 301)) for v in rng.choice([0.0, 1.0, 1.0, 2.5, -1e300, 1e300, 3e-300, 7.0], n)]
+    rows += [(9, float(v)) for v in rng.normal(0, 1, 200)] + [(9, None), (9, float("nan")), (10, None), (11, 5.0), (11, 5.0)]
+    df = spark.createDataFrame(rows, "band int, v double")
+    got = {r.band: r.median for r in zonal.exact_median(df, "v", "band").collect()}
+    want = {u: float(np.median([v for k, v in rows if k == u and v is not None and v == v])) for u in (0, 1, 2, 3, 4, 9, 11)}
+    assert set(got) == set(want) and all(np.isclose(got[u], want[u]) for u in want)
+    assert zonal.exact_median(df.limit(0), "v", "band").count() == 0
+
+
+def test_risk_ranks_many_units_by_ranges(spark):
+    from cellgrove.plans import risk
+
+    df = spark.range(400).select(F.col("id").alias("unit_id"), (F.col("id") % 7).alias("cop_a"), (F.col("id") % 5).alias("vul_b"), (F.col("id") % 40).alias("exp_flo_c"))
+    few, many = risk.risk(df), risk.risk(df, many=10)
+    assert "SinglePartition" in few._jdf.queryExecution().toString()
+    key = lambda d: sorted(map(tuple, d.collect()))
+    assert key(few) == key(many)
+    assert "__place" in many._jdf.queryExecution().toString()
