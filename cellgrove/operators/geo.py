@@ -172,27 +172,30 @@ def simplify_rings(rings: DataFrame, tolerance: float, points: str = "points") -
     return rings.mapInPandas(run, rings.schema)
 
 
-def _simplify_arcs(ps: list[tuple[float, float]], junctions: list[int], tolerance: float) -> list[int]:
-    """Indices kept of an open ring: every arc between junctions for itself, seen from its smaller end."""
+def _arcs(ps: list[tuple[float, float]], junctions: list[int]) -> Iterator[list[int]]:
+    """Indices of the arcs of an open ring between junctions, each from its smaller end."""
     n = len(ps)
     cuts = sorted(junctions) or [min(range(n), key=ps.__getitem__)]
     if len(cuts) == 1:  # a ring of one arc is cut again at the point farthest from its start
         a = ps[cuts[0]]
         cuts = sorted({cuts[0], max(range(n), key=lambda i: ((ps[i][0] - a[0]) ** 2 + (ps[i][1] - a[1]) ** 2, ps[i]))})
-    keep = set()
     for a, b in zip(cuts, [*cuts[1:], cuts[0] + n], strict=True):
         at = [i % n for i in range(a, b + 1)]
         if ps[at[-1]] < ps[at[0]] or (ps[at[-1]] == ps[at[0]] and ps[at[-2]] < ps[at[1]]):
             at.reverse()
+        yield at
+
+
+def _simplify_arcs(ps: list[tuple[float, float]], junctions: list[int], tolerance: float) -> list[int]:
+    """Indices kept of an open ring: every arc between junctions for itself, seen from its smaller end."""
+    keep = set()
+    for at in _arcs(ps, junctions):
         keep.update(at[i] for i in _simplify([ps[i][0] for i in at], [ps[i][1] for i in at], tolerance))
     return sorted(keep)
 
 
-def simplify_shared(rings: DataFrame, tolerance: float, keys: tuple[str, ...] = ("unit_id", "ring"), points: str = "points") -> DataFrame:
-    """The same for rings that share borders: neighbours keep the same points of a common border, so no gaps open.
-
-    Points where more than two lines meet stay; between them a border is simplified from the same end by whoever has
-    it. ``keys`` name a ring. A ring of fewer than three remaining points keeps its own."""
+def _with_joints(rings: DataFrame, keys: tuple[str, ...], points: str) -> DataFrame:
+    """Rings without a closing point, and the places (__joints) of points where more than two lines meet."""
     p = F.col(points)
     opened = rings.withColumn(points, F.when((F.size(p) > 1) & (p[0] == F.element_at(p, -1)), F.slice(p, F.lit(1), F.size(p) - 1)).otherwise(p))
     n = F.size(points)
@@ -201,7 +204,15 @@ def simplify_shared(rings: DataFrame, tolerance: float, keys: tuple[str, ...] =
     # a handful of lines meet in a point
     joints = corners.groupBy("__p").agg(F.count_distinct("__beside").alias("__n")).where("__n > 2").select("__p")
     own = corners.join(joints, "__p", "left_semi").groupBy(*keys).agg(F.collect_set("__i").alias("__joints"))
-    each = opened.join(own, list(keys), "left").select(*rings.columns, "__joints")
+    return opened.join(own, list(keys), "left").select(*rings.columns, "__joints")
+
+
+def simplify_shared(rings: DataFrame, tolerance: float, keys: tuple[str, ...] = ("unit_id", "ring"), points: str = "points") -> DataFrame:
+    """The same for rings that share borders: neighbours keep the same points of a common border, so no gaps open.
+
+    Points where more than two lines meet stay; between them a border is simplified from the same end by whoever has
+    it. ``keys`` name a ring. A ring of fewer than three remaining points keeps its own."""
+    each = _with_joints(rings, keys, points)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -215,5 +226,88 @@ def simplify_shared(rings: DataFrame, tolerance: float, keys: tuple[str, ...] =
     return each.mapInPandas(run, rings.schema)
 
 
+def _importance(x: list[float], y: list[float]) -> list[float]:
+    """For each point of a line the tolerance from which on Douglas-Peucker leaves it out; the ends never go. A point
+    goes with those that it was found between at the latest, so what a greater tolerance keeps a smaller one keeps too."""
+    out, stack = [float("inf")] * len(x), [(0, len(x) - 1, float("inf"))]
+    while stack:
+        a, b, most = stack.pop()
+        dx, dy = x[b] - x[a], y[b] - y[a]
+        norm = (dx * dx + dy * dy) ** 0.5
+        best, at = -1.0, -1
+        for i in range(a + 1, b):
+            d = abs(dx * (y[i] - y[a]) - dy * (x[i] - x[a])) / norm if norm else ((x[i] - x[a]) ** 2 + (y[i] - y[a]) ** 2) ** 0.5
+            if d > best:
+                best, at = d, i
+        if at >= 0:
+            out[at] = most = min(best, most)
+            stack += [(a, at, most), (at, b, most)]
+    return out
+
+
+def vertex_tolerances(rings: DataFrame, keys: tuple[str, ...] = ("unit_id", "ring"), points: str = "points") -> DataFrame:
+    """keys, place, x, y, goes: the tolerance from which on ``simplify_shared`` leaves a vertex out. Computed once, it gives
+    every simplification: a vertex stays where ``goes`` is greater. Neighbours agree on the vertices of a shared border.
+    The three of a ring that go last never go."""
+    each = _with_joints(rings, keys, points)
+    kinds = ", ".join(f"`{k}` {rings.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.to_dict("records"):
+                ps = [(q["x"], q["y"]) for q in r[points]]
+                joints = [] if r["__joints"] is None else [int(i) for i in r["__joints"]]
+                goes = [float("inf")] * len(ps)
+                if len(ps) > 3:
+                    for at in _arcs(ps, joints):
+                        for i, t in zip(at, _importance([ps[i][0] for i in at], [ps[i][1] for i in at]), strict=True):
+                            goes[i] = t
+                    for i in sorted(range(len(ps)), key=lambda i: (-goes[i], i))[:3]:
+                        goes[i] = float("inf")
+                yield pd.DataFrame({**{k: [r[k]] * len(ps) for k in keys}, "place": range(len(ps)), "x": [p[0] for p in ps], "y": [p[1] for p in ps], "goes": goes})
+
+    return each.mapInPandas(run, f"{kinds}, place int, x double, y double, goes double")
+
+
+def _layer_cut(sized: DataFrame, budget: int, ranges: int = 1024) -> float:
+    """The greatest tolerance whose vertices are the first too many, from above; 0 if all fit. Bytes are summed in ranges
+    of tolerances, a fixed number of rows, and again within the range that the budget ends in."""
+    fixed = F.sum(F.when(F.col("goes") == float("inf"), F.col("__bytes")))
+    low, high, above = sized.agg(F.min(F.when(F.col("goes") < float("inf"), F.col("goes"))), F.max(F.when(F.col("goes") < float("inf"), F.col("goes"))), fixed).first()
+    above = above or 0
+    while low is not None:
+        place = F.lit(0) if low == high else F.least(F.floor((F.col("goes") - low) / (high - low) * ranges), F.lit(ranges - 1))
+        found = sized.where(F.col("goes").between(low, high)).groupBy(place.alias("range")).agg(F.sum("__bytes").alias("n"), F.min("goes").alias("low"), F.max("goes").alias("high")).collect()
+        low = None
+        for r in sorted(found, key=lambda r: -r.range):
+            if above + r.n > budget:
+                if r.low == r.high:
+                    return r.low
+                low, high = r.low, r.high
+                break
+            above += r.n
+    return 0.0
+
+
+def simplify_to_budget(vertices: DataFrame, budget: int, of: list[str], keys: tuple[str, ...] = ("unit_id", "ring"), digits: int = 6) -> DataFrame:
+    """keys, tolerance, points: rings of ``vertex_tolerances`` at the smallest tolerance at which all coordinates of one
+    value of ``of`` take at most ``budget`` bytes as text (``[x,y],`` with so many digits after the point). With an empty
+    ``of`` the whole layer has one tolerance, and shared borders stay shared. Vertices that never go stay beyond a budget
+    too."""
+    size = F.length(F.format_string(f"[%.{digits}f,%.{digits}f],", "x", "y"))
+    sized = vertices.withColumn("__bytes", size)
+    if of:
+        # a feature's tolerances in order, from above: what goes later weighs on all smaller ones
+        upto = F.sum("__bytes").over(Window.partitionBy(*of).orderBy(F.col("goes").desc()))
+        over = sized.groupBy(*of, "goes").agg(F.sum("__bytes").alias("__bytes")).withColumn("__over", (upto > budget) & (F.col("goes") < float("inf")))
+        cut = over.groupBy(*of).agg(F.coalesce(F.max(F.when(F.col("__over"), F.col("goes"))), F.lit(0.0)).alias("tolerance"))
+        kept = vertices.join(cut, of)
+    else:
+        kept = vertices.withColumn("tolerance", F.lit(_layer_cut(sized, budget)))
+    p = F.sort_array(F.collect_list(F.struct("place", "x", "y")))
+    rings = kept.where("goes > tolerance").groupBy(*keys, "tolerance").agg(F.transform(p, lambda q: F.struct(q.x.alias("x"), q.y.alias("y"))).alias("points"))
+    return rings.select(*keys, "tolerance", "points")
+
+
 def first_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__n = 1").drop("__n")

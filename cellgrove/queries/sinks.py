@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..sources import catalogue, new_path, raster, stored, tabular, vector
+from ..sources import catalogue, netcdf, new_path, raster, stored, tabular, tiff, vector
 from . import fixtures as fx
 
 query, FUNCTIONS, SQL = fx.collector()
@@ -138,3 +138,93 @@ def _(s, d):
     cells = fx.hazard(s, d).select(F.concat(F.lit("RP"), F.col("rp").cast("string")).alias("raster"), "row", "col", F.col("depth").alias("value"))
     files = stored(raster.geotiffs(cells, x0=10.0, y0=20.0, dx=0.5, dy=0.5))
     return raster.tiff_cells(files, "raster").select("raster", "row", "col", "value")
+
+
+@query(
+    "s10_netcdf_months",
+    "SELECT CAST((year(o_orderdate) - 1991) * 12 + month(o_orderdate) - 1 AS INTEGER) AS month, CAST(o_orderkey % 20 AS INTEGER) AS row, CAST(o_custkey % 30 AS INTEGER) AS col, CAST(count(*) AS DOUBLE) AS value FROM orders GROUP BY ALL",
+)
+def _(s, d):
+    """A file a year with twelve bands, read by slabs as one series of months."""
+    import numpy as np
+    import pandas as pd
+
+    o = fx.table(s, d, "orders")
+    cells = o.groupBy(F.year("o_orderdate").alias("year"), (F.month("o_orderdate") - 1).alias("step"), (F.col("o_orderkey") % 20).cast("int").alias("row"), (F.col("o_custkey") % 30).cast("int").alias("col")).agg(F.count("*").alias("n"))
+
+    def file(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        bands = np.full((12, 20, 30), -1, "i4")
+        bands[pdf["step"], pdf["row"], pdf["col"]] = pdf["n"]
+        return pd.DataFrame({"name": [f"orders_{key[0]}.nc"], "content": [netcdf.written({"orders": bands}, {"orders": {"_FillValue": -1}})]})
+
+    folder = new_path(s, "netcdf")
+    tiff.landed(cells.groupBy("year").applyInPandas(file, "name string, content binary"), folder, "name")
+    got = netcdf.cells(netcdf.slabs(s, folder, "orders")).withColumn("year", F.regexp_extract("file", r"(\d{4})", 1).cast("int"))
+    return raster.month_index(got.withColumn("band", F.col("step") + 1)).select("month", "row", "col", "value")
+
+
+def bumpy_rings(s, d):
+    """The units' rings with a small bump on every edge: what simplification takes away."""
+    e = fx.edges(s, d)
+    bump = F.lit(0.001) * (1 + F.col("seq"))
+    two = F.array(F.struct("seq", F.lit(0).alias("k"), F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct("seq", F.lit(1).alias("k"), ((F.col("x1") + F.col("x2")) / 2 + bump).alias("x"), ((F.col("y1") + F.col("y2")) / 2 + bump).alias("y")))
+    p = F.sort_array(F.flatten(F.collect_list(two)))
+    return e.groupBy("unit_id", "ring").agg(F.transform(p, lambda q: F.struct(q.x.alias("x"), q.y.alias("y"))).alias("points"))
+
+
+def _zipped(pdf):
+    """name, content: a zipped shapefile of rings (unit_id, ring, points), a record for each."""
+    import io
+    import struct
+    import zipfile
+
+    import pandas as pd
+
+    shapes, rows = b"", b""
+    for n, r in enumerate(pdf.sort_values(["unit_id", "ring"]).itertuples(), 1):
+        p = [(q["x"], q["y"]) for q in r.points] + [(r.points[0]["x"], r.points[0]["y"])]
+        xs, ys = zip(*p, strict=True)
+        body = struct.pack("<I4d2II", 5, min(xs), min(ys), max(xs), max(ys), 1, len(p), 0) + b"".join(struct.pack("<2d", *q) for q in p)
+        shapes += struct.pack(">2I", n, len(body) // 2) + body
+        rows += b" " + f"{r.unit_id}:{r.ring}".ljust(20).encode()
+    head = struct.pack(">7I", 9994, 0, 0, 0, 0, 0, 50 + len(shapes) // 2) + struct.pack("<2I", 1000, 5) + b"\0" * 64
+    field = b"name".ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([20, 0]) + b"\0" * 14
+    table = struct.pack("<4BIHH", 3, 24, 1, 1, len(pdf), 32 + 32 + 1, 21) + b"\0" * 20 + field + b"\r" + rows + b"\x1a"
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("x_adm1_units.shp", head + shapes)
+        z.writestr("x_adm1_units.dbf", table)
+    return pd.DataFrame({"name": [f"{pdf['part'].iloc[0]}.zip"], "content": [out.getvalue()]})
+
+
+@query(
+    "s03_shapefile_to_geojson",
+    "SELECT unit_id, ring, 1 AS level, 4 AS edges, min(least(x1, x2)) AS x_min, max(greatest(y1, y2)) AS y_max FROM edges GROUP BY unit_id, ring",
+    "edges",
+)
+def _(s, d):
+    """Zipped shapefiles, read, simplified with shared borders, written as GeoJSON and read again."""
+    from ..operators import geo
+
+    folder, out = new_path(s, "shapefiles"), new_path(s, "geojson")
+    parts = bumpy_rings(s, d).withColumn("part", F.concat(F.lit("p"), (F.crc32(F.col("unit_id")) % 3).cast("string")))
+    tiff.landed(parts.groupBy("part").applyInPandas(_zipped, "name string, content binary"), folder, "name")
+    read = vector.zipped_shapefiles(s, folder).select("level", F.split(F.col("properties")["name"], ":").alias("n"), "points")
+    own = read.select("level", F.col("n")[0].alias("unit_id"), F.col("n")[1].cast("int").alias("ring"), "points")
+    simple = geo.simplify_shared(own, 0.1)
+    named = simple.select(F.concat_ws(":", "unit_id", "ring", "level").alias("name"), F.lit(0).alias("ring"), "points")
+    tabular.geojson_lines(named, "name", []).write.text(out)
+    e = geo.edges_from_rings(vector.geojson_rings(s, out, "name", lines=True), "name").withColumn("n", F.split("name", ":"))
+    keys = [F.col("n")[0].alias("unit_id"), F.col("n")[1].cast("int").alias("ring"), F.col("n")[2].cast("int").alias("level")]
+    return e.groupBy(*keys).agg(F.count("*").cast("int").alias("edges"), F.min(F.least("x1", "x2")).alias("x_min"), F.max(F.greatest("y1", "y2")).alias("y_max"))
+
+
+@query("g05_byte_budget", "SELECT unit_id, count(*) FILTER (WHERE seq = 0) AS rings, count(*) AS points, sum(x1) AS xs, sum(y1) AS ys FROM edges GROUP BY unit_id", "edges")
+def _(s, d):
+    """The layer at the smallest tolerance at which its coordinates fit the bytes of its corners: all bumps go, no corner."""
+    from ..operators import geo
+
+    budget = fx.edges(s, d).agg(F.sum(F.length(F.format_string("[%.6f,%.6f],", "x1", "y1")))).first()[0]
+    whole = geo.simplify_to_budget(geo.vertex_tolerances(bumpy_rings(s, d)), budget, [])
+    p = whole.select("unit_id", "ring", F.posexplode("points").alias("k", "p"))
+    return p.groupBy("unit_id").agg(F.count(F.when(F.col("k") == 0, 1)).alias("rings"), F.count("*").alias("points"), F.sum("p.x").alias("xs"), F.sum("p.y").alias("ys"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import io
 import os
 import sqlite3
 import struct
-import tempfile
 import zipfile
 from collections.abc import Iterator
 
@@ -17,9 +17,14 @@ from pyspark.sql import functions as F
 _POINTS = "array<struct<x: double, y: double>>"
 
 
-def geojson_rings(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """key, ring, points of the polygons and multi-polygons of GeoJSON files. Fails if a file lacks the key."""
-    features = spark.read.option("multiLine", True).json(path, schema=f"features array<struct<properties: map<string, string>, geometry: struct<type: string, coordinates: string>>>").select(F.explode("features").alias("f"))
+def geojson_rings(spark: SparkSession, path: str, key: str, lines: bool = False) -> DataFrame:
+    """key, ring, points of the polygons and multi-polygons of GeoJSON files: feature collections, or with ``lines`` files
+    of a feature a line, which are read in parts. Fails if a file lacks the key."""
+    feature = "properties: map<string, string>, geometry: struct<type: string, coordinates: string>"
+    if lines:
+        features = spark.read.json(path, schema=feature.replace("properties:", "properties").replace("geometry:", "geometry")).select(F.struct("properties", "geometry").alias("f"))
+    else:
+        features = spark.read.option("multiLine", True).json(path, schema=f"features array<struct<{feature}>>").select(F.explode("features").alias("f"))
     g = features.select(F.col("f.properties").getItem(key).alias(key), F.col("f.geometry.type").alias("type"), F.col("f.geometry.coordinates").alias("c"))
     one = F.from_json("c", "array<array<array<double>>>")
     many = F.from_json("c", "array<array<array<array<double>>>>")
@@ -86,20 +91,16 @@ def wkb_parts(df: DataFrame, geometry: str = "geometry") -> DataFrame:
 
 def geopackage(spark: SparkSession, path: str, layer: str, columns: str, geometry: str = "geom") -> DataFrame:
     """``columns`` (a DDL list) and ``geometry`` (WKB) of a layer, one task per file. A file is small enough
-    to hold: SQLite needs it on the executor's disk while it is read."""
+    to hold."""
     names = [c.split()[0].strip("`") for c in columns.split(",")]
     files = spark.read.format("binaryFile").load(path).select("content")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for content in pdf["content"]:
-                with tempfile.NamedTemporaryFile(suffix=".gpkg", delete=False) as f:
-                    f.write(content)
-                try:
-                    with sqlite3.connect(f.name) as db:
-                        rows = db.execute(f"SELECT {', '.join(f'"{n}"' for n in names)}, \"{geometry}\" FROM \"{layer}\"").fetchall()  # noqa: S608
-                finally:
-                    os.unlink(f.name)
+                with contextlib.closing(sqlite3.connect(":memory:")) as db:
+                    db.deserialize(content)
+                    rows = db.execute(f"SELECT {', '.join(f'"{n}"' for n in names)}, \"{geometry}\" FROM \"{layer}\"").fetchall()  # noqa: S608
                 out = pd.DataFrame(rows, columns=[*names, "geometry"])
                 # the header before the WKB: 8 bytes and an envelope by its flags
                 out["geometry"] = [None if g is None else g[8 + 8 * [0, 4, 6, 6, 8][g[3] >> 1 & 7] :] for g in out["geometry"]]

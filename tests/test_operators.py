@@ -371,3 +371,28 @@ def test_risk_ranks_many_units_by_ranges(spark):
     key = lambda d: sorted(map(tuple, d.collect()))
     assert key(few) == key(many)
     assert "__place" in many._jdf.queryExecution().toString()
+
+
+def test_budgets_are_monotone_and_keep_borders(spark):
+    rng = np.random.default_rng(5)
+    line = [(5.0, 0.0), *((5 + float(rng.normal(0, 0.2)), y) for y in np.linspace(0.5, 9.5, 30).tolist()), (5.0, 10.0)]
+    left, right = [(0.0, 0.0), *line, (0.0, 10.0)], [(10.0, 10.0), *line[::-1], (10.0, 0.0)]
+    rows = [(u, 0, [dict(x=x, y=y) for x, y in p]) for u, p in (("a", left), ("b", right))]
+    rings = spark.createDataFrame(rows, "unit_id string, ring int, points array<struct<x: double, y: double>>")
+    v = geo.vertex_tolerances(rings)
+    assert v.count() == len(left) + len(right)
+    before = None
+    for budget in (10_000, 900, 700, 400, 0):
+        for of in ([], ["unit_id"]):
+            got = {r.unit_id: r for r in geo.simplify_to_budget(v, budget, of).collect()}
+            kept = {u: {(p.x, p.y) for p in r.points} for u, r in got.items()}
+            size = {u: sum(len("[%.6f,%.6f]," % p) for p in ps) for u, ps in kept.items()}
+            if budget >= 700:
+                assert (sum(size.values()) if not of else max(size.values())) <= budget
+            if not of:
+                assert kept["a"] & set(line) == kept["b"] & set(line)
+                assert before is None or all(kept[u] <= before[u] for u in kept)
+                before = kept
+                t = got["a"].tolerance
+                same = {r.unit_id: {(p.x, p.y) for p in r.points} for r in geo.simplify_shared(rings, t).collect()}
+                assert all(kept[u] >= same[u] for u in kept) and (budget == 0 or kept == same)
