@@ -331,7 +331,8 @@ def _link(docs: DataFrame, tables: store.Scratch, key: str, text: str, k: int, t
     votes = votes.where(_within_reach(2 * F.col("votes"), F.col("twin"), F.col("n_a"), F.col("n_b"), t))
     w = Window.partitionBy("cid").orderBy(F.desc("votes"), "leader")
     best = votes.withColumn("place", F.row_number().over(w)).where(F.col("place") <= LEADERS)
-    pairs = tables.put("pairs", best.select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct())
+    led = tables.put("led", best.select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct())
+    pairs = tables.put("pairs", _by_bitmaps(led, classes, tables, t))  # bitmaps are a small part of the sets that go on
     keep = lambda df, name: tables.put(name, df)
     links = tables.put("verified", _verified(docs, classes, pairs, tables, **names))
     parts = components(links, keep)
