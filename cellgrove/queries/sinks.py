@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..sources import catalogue, netcdf, new_path, raster, stored, tabular, tiff, vector
+from ..sources import catalogue, geoparquet, netcdf, new_path, raster, stored, tabular, tiff, vector
 from . import fixtures as fx
 
 query, FUNCTIONS, SQL = fx.collector()
@@ -228,3 +228,18 @@ def _(s, d):
     whole = geo.simplify_to_budget(geo.vertex_tolerances(bumpy_rings(s, d)), budget, [])
     p = whole.select("unit_id", "ring", F.posexplode("points").alias("k", "p"))
     return p.groupBy("unit_id").agg(F.count(F.when(F.col("k") == 0, 1)).alias("rings"), F.count("*").alias("points"), F.sum("p.x").alias("xs"), F.sum("p.y").alias("ys"))
+
+
+@query(
+    "s15_geoparquet_box",
+    """SELECT unit_id, ring, count(*) AS points, min(least(x1, x2)) AS x_min, max(greatest(y1, y2)) AS y_max FROM edges
+    WHERE unit_id IN (SELECT unit_id FROM edges GROUP BY unit_id HAVING min(x1) <= 55 AND max(x1) >= 25 AND min(y1) <= 41 AND max(y1) >= 5) GROUP BY unit_id, ring""",
+    "edges",
+)
+def _(s, d):
+    """Units whose boxes meet a box, from GeoParquet files."""
+    folder = new_path(s, "geoparquet")
+    geoparquet.write(geoparquet.features(fx.rings(s, d)), folder, size=20.0, rows=4, files=2)
+    parts = vector.wkb_parts(geoparquet.read(s, folder, (25.0, 5.0, 55.0, 41.0)).select("unit_id", "geometry"))
+    x, y = F.transform("points", lambda p: p.x), F.transform("points", lambda p: p.y)
+    return parts.select("unit_id", F.col("part").alias("ring"), (F.size("points") - 1).cast("long").alias("points"), F.array_min(x).alias("x_min"), F.array_max(y).alias("y_max"))
