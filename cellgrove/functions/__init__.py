@@ -100,6 +100,11 @@ def analysis_scale(cells: float, pixel_m: float, cap: float = 10_000_000, target
     return 1.0 if cells <= cap else max((cells / cap) ** 0.5, target_m / pixel_m)
 
 
+def analysis_scale_of(cells: Column, pixel_m: float, cap: float = 10_000_000, target_m: float = 500.0) -> Column:
+    """The same of a column."""
+    return F.when(cells <= cap, F.lit(1.0)).otherwise(F.greatest(F.sqrt(cells / F.lit(cap)), F.lit(target_m / pixel_m)))
+
+
 def pixel_km2(latitude: Column, width: float, height: float) -> Column:
     """Area of a cell of so many degrees at a latitude."""
     return F.lit(abs(width) * 111.32) * F.cos(F.radians(latitude)) * F.lit(abs(height) * 111.32)

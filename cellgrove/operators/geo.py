@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .names import free_names
+
 
 def edges_from_rings(rings: DataFrame, unit: str = "unit_id", ring: str = "ring", points: str = "points") -> DataFrame:
     """unit, ring, seq, x1, y1, x2, y2 of rings given as arrays of (x, y), open or closed. Rings of fewer
@@ -33,20 +35,22 @@ def points_in_polygons(points: DataFrame, edges: DataFrame, unit: str, x: str =
     ``border``: what of places exactly on an edge: "even-odd" leaves them to the rule, "intersects" takes all of
     them in, "within" none.
     """
+    n = free_names(["unit", "px", "py", "band", "in"], [unit, *points.columns])
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
     flat = edges if border != "even-odd" else edges.where("y1 <> y2")
-    e = flat.select(F.col(unit).alias("__unit"), F.col("x1").alias("__x1"), F.col("y1").alias("__y1"), F.col("x2").alias("__x2"), F.col("y2").alias("__y2"), F.explode(F.sequence(F.floor(low / band), F.floor(high / band))).alias("__band"))
-    places = points.select(F.col(x).alias("__x"), F.col(y).alias("__y")).where("__x is not null and __y is not null").distinct()
-    rise = F.nullif(F.col("__y2") - F.col("__y1"), F.lit(0.0))
-    crossing = ((F.col("__y1") > F.col("__y")) != (F.col("__y2") > F.col("__y"))) & (F.col("__x") < (F.col("__x2") - F.col("__x1")) * (F.col("__y") - F.col("__y1")) / rise + F.col("__x1"))
-    turn = (F.col("__x2") - F.col("__x1")) * (F.col("__y") - F.col("__y1")) - (F.col("__y2") - F.col("__y1")) * (F.col("__x") - F.col("__x1"))
-    on = (turn == 0) & F.col("__x").between(F.least("__x1", "__x2"), F.greatest("__x1", "__x2")) & F.col("__y").between(F.least("__y1", "__y2"), F.greatest("__y1", "__y2"))
-    met = places.withColumn("__band", F.floor(F.col("__y") / band)).join(e, "__band")
+    # edges and places have columns of this function alone until the points come back
+    e = flat.select(F.col(unit).alias("unit"), *(F.col(c).alias(f"e{c}") for c in ("x1", "y1", "x2", "y2")), F.explode(F.sequence(F.floor(low / band), F.floor(high / band))).alias("band"))
+    places = points.select(F.col(x).alias("px"), F.col(y).alias("py")).where("px is not null and py is not null").distinct()
+    x1, y1, x2, y2, px, py = map(F.col, ("ex1", "ey1", "ex2", "ey2", "px", "py"))
+    crossing = ((y1 > py) != (y2 > py)) & (px < (x2 - x1) * (py - y1) / F.nullif(y2 - y1, F.lit(0.0)) + x1)
+    turn = (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)
+    on = (turn == 0) & px.between(F.least(x1, x2), F.greatest(x1, x2)) & py.between(F.least(y1, y2), F.greatest(y1, y2))
+    met = places.withColumn("band", F.floor(py / band)).join(e, "band")
     met = met.where(crossing) if border == "even-odd" else met.where(F.coalesce(crossing, F.lit(False)) | on)
     odd = F.count_if(F.coalesce(crossing, F.lit(False))) % 2 == 1
     inside = {"even-odd": odd, "intersects": odd | F.max(on), "within": odd & ~F.max(on)}[border]
-    found = met.groupBy("__x", "__y", "__unit").agg(inside.alias("__in")).where("__in")
-    return points.join(found, (points[x] == F.col("__x")) & (points[y] == F.col("__y"))).select(*(points[c] for c in points.columns), F.col("__unit").alias(unit))
+    found = met.groupBy("px", "py", "unit").agg(inside.alias("in")).where("in").select(*(F.col(c).alias(n[c]) for c in ("px", "py", "unit")))
+    return points.join(found, (points[x] == F.col(n["px"])) & (points[y] == F.col(n["py"]))).select(*(points[c] for c in points.columns), F.col(n["unit"]).alias(unit))
 
 
 def cells_in_polygons(cells: DataFrame, edges: DataFrame, unit: str = "unit_id", x0: float = 0.0, y0: float = 0.0, size: float = 1.0) -> DataFrame:
@@ -77,28 +81,29 @@ def within_distance(points: DataFrame, segments: DataFrame, radius: Column | flo
     (1, a cell, at least) unless given, and where radii differ the power of two above each: a part touches nine
     buckets or so whatever the radius.
     """
-    s = segments.withColumn("__r", radius if isinstance(radius, Column) else F.lit(float(radius))).where("__r is not null")
+    n = free_names(["r", "size", "parts", "part", "bx", "by"], [*points.columns, *segments.columns])
+    s = segments.withColumn(n["r"], radius if isinstance(radius, Column) else F.lit(float(radius))).where(F.col(n["r"]).isNotNull())
     if bucket is None and isinstance(radius, Column):
-        s = s.withColumn("__size", F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col("__r").cast("double"), F.lit(1.0))))))
+        s = s.withColumn(n["size"], F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col(n["r"]).cast("double"), F.lit(1.0))))))
         # one size for each power of two at most: a few dozen rows
-        sizes = [row[0] for row in s.select("__size").distinct().collect()] or [1.0]
+        sizes = [row[0] for row in s.select(n["size"]).distinct().collect()] or [1.0]
     else:
         sizes = [float(bucket or max(float(radius), 1.0))]
-        s = s.withColumn("__size", F.lit(sizes[0]))
-    s = s.withColumn("__parts", F.greatest(F.lit(1.0), F.ceil(F.greatest(_span("x1", "x2"), _span("y1", "y2")) / F.col("__size")).cast("double")))
-    s = s.withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts").cast("int") - 1)))
+        s = s.withColumn(n["size"], F.lit(sizes[0]))
+    s = s.withColumn(n["parts"], F.greatest(F.lit(1.0), F.ceil(F.greatest(_span("x1", "x2"), _span("y1", "y2")) / F.col(n["size"])).cast("double")))
+    s = s.withColumn(n["part"], F.explode(F.sequence(F.lit(0), F.col(n["parts"]).cast("int") - 1)))
     # a hair more than the radius: the cut points are rounded
-    r = F.col("__r") * (1 + 1e-9) + F.col("__size") * 1e-9
+    r = F.col(n["r"]) * (1 + 1e-9) + F.col(n["size"]) * 1e-9
     for axis in ("x", "y"):
-        a, b = (F.col(f"{axis}1") + (F.col(f"{axis}2") - F.col(f"{axis}1")) * (F.col("__part") + k) / F.col("__parts") for k in (0, 1))
-        s = s.withColumn(f"__b{axis}", F.explode(F.sequence(F.floor((F.least(a, b) - r) / F.col("__size")), F.floor((F.greatest(a, b) + r) / F.col("__size")))))
-    p = points.withColumn("__size", F.explode(F.array(*map(F.lit, sizes))))
-    p = p.withColumns({"__bx": F.floor(F.col(x) / F.col("__size")), "__by": F.floor(F.col(y) / F.col("__size"))})
-    near = squared_distance(F.col(x), F.col(y), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")) <= F.col("__r") * F.col("__r")
+        a, b = (F.col(f"{axis}1") + (F.col(f"{axis}2") - F.col(f"{axis}1")) * (F.col(n["part"]) + k) / F.col(n["parts"]) for k in (0, 1))
+        s = s.withColumn(n[f"b{axis}"], F.explode(F.sequence(F.floor((F.least(a, b) - r) / F.col(n["size"])), F.floor((F.greatest(a, b) + r) / F.col(n["size"])))))
+    p = points.withColumn(n["size"], F.explode(F.array(*map(F.lit, sizes))))
+    p = p.withColumns({n["bx"]: F.floor(F.col(x) / F.col(n["size"])), n["by"]: F.floor(F.col(y) / F.col(n["size"]))})
+    near = squared_distance(F.col(x), F.col(y), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")) <= F.col(n["r"]) * F.col(n["r"])
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     along = F.coalesce(((F.col(x) - F.col("x1")) * dx + (F.col(y) - F.col("y1")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0))
-    own = F.greatest(F.lit(0.0), F.least(F.col("__parts") - 1, F.floor(along * F.col("__parts")).cast("double")))
-    return p.join(s, ["__size", "__bx", "__by"]).where(near & (F.col("__part") == own)).drop("__size", "__bx", "__by", "__r", "__part", "__parts")
+    own = F.greatest(F.lit(0.0), F.least(F.col(n["parts"]) - 1, F.floor(along * F.col(n["parts"])).cast("double")))
+    return p.join(s, [n["size"], n["bx"], n["by"]]).where(near & (F.col(n["part"]) == own)).drop(n["size"], n["bx"], n["by"], n["r"], n["part"], n["parts"])
 
 
 def near_any(points: DataFrame, segments: DataFrame, radius: Column | float, **how) -> DataFrame:

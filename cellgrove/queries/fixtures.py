@@ -141,11 +141,17 @@ def population(spark: SparkSession, d: str, names=tuple(INDICATORS)) -> DataFram
 SQL["population"] = (["pop_bins"], "SELECT row, col, " + ", ".join(f"sum(CASE WHEN {case_sql(n)} THEN value ELSE 0 END) AS {n}" for n in INDICATORS) + " FROM pop_bins GROUP BY row, col")
 
 
-def settlement(spark: SparkSession) -> DataFrame:
-    return grid(spark).withColumn("code", F.array(*map(F.lit, SETTLEMENT))[((F.col("row") * 3 + F.col("col") * 5) % 8).cast("int")])
+def settlement(spark: SparkSession, d: str) -> DataFrame:
+    """A class a cell, the next one for every item there."""
+    n = table(spark, d, "lineitem").groupBy((F.col("l_partkey") % 100).cast("int").alias("row"), (F.col("l_orderkey") % 100).cast("int").alias("col")).agg(F.count("*").alias("n"))
+    k = (F.floor(F.col("row") / 9) + F.floor(F.col("col") / 7) + F.coalesce("n", F.lit(0))) % 8
+    return grid(spark).join(n, ["row", "col"], "left").select("row", "col", F.array(*map(F.lit, SETTLEMENT))[k.cast("int")].alias("code"))
 
 
-SQL["settlement"] = (["grid"], f"SELECT row, col, {SETTLEMENT}[(row * 3 + col * 5) % 8 + 1] AS code FROM grid")
+SQL["settlement"] = (
+    ["grid"],
+    f"SELECT row, col, {SETTLEMENT}[CAST((row // 9 + col // 7 + coalesce(n, 0)) % 8 + 1 AS INTEGER)] AS code FROM grid LEFT JOIN (SELECT l_partkey % 100 AS row, l_orderkey % 100 AS col, count(*) AS n FROM lineitem GROUP BY ALL) USING (row, col)",
+)
 
 
 def hazard(spark: SparkSession, d: str) -> DataFrame:

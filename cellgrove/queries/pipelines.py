@@ -54,7 +54,7 @@ def _(s, d):
     "units", "cell_zone", "population", "settlement",
 )
 def rural(s, d):
-    return ind.rural_population(fx.units(s, d), fx.cell_zone(s, d), fx.population(s, d), fx.settlement(s))
+    return ind.rural_population(fx.units(s, d), fx.cell_zone(s, d), fx.population(s, d), fx.settlement(s, d))
 
 
 @query(
@@ -71,7 +71,7 @@ def rai(s, d):
     r = fx.roads(s, d)
     one = r.where("line_id % 2 = 0").drop("line_id")
     other = r.where("line_id % 2 = 1").select(F.when(F.col("pred_label") == 0, "paved").otherwise("unpaved").alias("DL_road_class_2024"), "x1", "y1", "x2", "y2")
-    return ind.rural_access(fx.units(s, d), fx.cell_zone(s, d), fx.population(s, d), fx.settlement(s), [tabular.optional_union(one, None), other], 2.0)
+    return ind.rural_access(fx.units(s, d), fx.cell_zone(s, d), fx.population(s, d), fx.settlement(s, d), [tabular.optional_union(one, None), other], 2.0)
 
 
 @query(

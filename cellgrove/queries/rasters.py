@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import analysis_scale, drought_class, exceeds, footprint_cells, rnd, settlement_class, storm_class
+from ..functions import analysis_scale_of, drought_class, exceeds, footprint_cells, rnd, settlement_class, storm_class
 from ..operators import cost, geo, grid, series
 from ..sources import Latest, new_path, stored, tiff
 from . import fixtures as fx
@@ -14,7 +14,7 @@ query, FUNCTIONS, SQL = fx.collector()
 
 @query("r01_reclassify", "SELECT row, col, CASE WHEN code IN (11, 12, 13) THEN 1 WHEN code IN (21, 22, 23, 30) THEN 2 ELSE 0 END AS code FROM settlement", "settlement")
 def _(s, d):
-    return grid.reclassify(fx.settlement(s), {11: 1, 12: 1, 13: 1, 21: 2, 22: 2, 23: 2, 30: 2}, "code")
+    return grid.reclassify(fx.settlement(s, d), {11: 1, 12: 1, 13: 1, 21: 2, 22: 2, 23: 2, 30: 2}, "code")
 
 
 @query("r02_threshold", "SELECT rp, row, col, CASE WHEN depth > 0.3e0 THEN 1 ELSE 0 END AS wet FROM hazard", "hazard")
@@ -24,7 +24,7 @@ def _(s, d):
 
 @query("r03_mask_multiply", "SELECT row, col, total_pop * (CASE WHEN code IN (11, 12, 13) THEN 1 ELSE 0 END) AS value FROM population JOIN settlement USING (row, col)", "population", "settlement")
 def _(s, d):
-    mask = fx.settlement(s).select("row", "col", (settlement_class(F.col("code")) == 1).cast("int").alias("value"))
+    mask = fx.settlement(s, d).select("row", "col", (settlement_class(F.col("code")) == 1).cast("int").alias("value"))
     return grid.multiply(fx.population(s, d, ("total_pop",)).withColumnRenamed("total_pop", "value"), mask)
 
 
@@ -120,13 +120,13 @@ _SIDES = "SELECT code, TRUE AS flat, row AS line, col AS pos FROM settlement UNI
     "settlement",
 )
 def _(s, d):
-    return grid.polygonise(fx.settlement(s), "code")
+    return grid.polygonise(fx.settlement(s, d), "code")
 
 
 @query("r11_polygonise_and_back", "SELECT row, col, code FROM settlement WHERE code < 20", "settlement")
 def _(s, d):
     """The outlines hold the cells that they were made of, and no others."""
-    rural = fx.settlement(s).where("code < 20")
+    rural = fx.settlement(s, d).where("code < 20")
     return geo.cells_in_polygons(fx.grid(s), grid.polygonise(rural, "code"), "code").select("row", "col", "code")
 
 
@@ -140,9 +140,11 @@ def _(s, d):
     return fx.tracks(s, d).select("line_id", storm_class(F.col("sshs")).alias("cls"))
 
 
-@query("r13_drought_class", "SELECT CAST(i AS BIGINT) AS months, CASE WHEN i = 0 THEN 0 WHEN i <= 18 THEN 1 WHEN i <= 36 THEN 2 WHEN i <= 54 THEN 3 ELSE 4 END AS cls FROM range(80) t(i)")
+@query("r13_drought_class", "SELECT o_custkey, count(*) AS months, CASE WHEN count(*) <= 18 THEN 1 WHEN count(*) <= 36 THEN 2 WHEN count(*) <= 54 THEN 3 ELSE 4 END AS cls FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_custkey")
 def _(s, d):
-    return s.range(80).select(F.col("id").alias("months"), drought_class(F.col("id")).alias("cls"))
+    """A class for each customer's number of items, as for a cell's event months."""
+    items = fx.table(s, d, "orders").join(fx.table(s, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    return items.groupBy("o_custkey").agg(F.count("*").alias("months")).select("o_custkey", "months", drought_class(F.col("months")).alias("cls"))
 
 
 @query("r14_cost_surface", "SELECT row, col, CASE WHEN (row * 7 + col * 11) % 9 > 0 THEN (row * 7 + col * 11) % 9 * 111e0 ELSE 1e6 END AS cost, coalesce(depth > 0.3e0, FALSE) AS risky FROM grid LEFT JOIN (SELECT * FROM hazard WHERE rp = 100) USING (row, col)", "grid", "hazard")
@@ -212,9 +214,12 @@ def _(s, d):
     return cost.sample_sources(_surface(s, d).withColumn("source", ~F.col("risky")), 2000).agg(F.count("*").alias("sources"))
 
 
-@query("r18_analysis_scale", "SELECT * FROM (VALUES (5000000, 1e0), (40000000, 5e0), (4000000000, 20e0)) t(cells, scale)")
+@query("r18_analysis_scale", "SELECT *, CASE WHEN cells <= 10000000 THEN 1e0 ELSE greatest(sqrt(cells / 1e7), 5e0) END AS scale FROM (SELECT unit_id, CAST((max(x1) - min(x1)) * (max(y1) - min(y1)) * (1 + ascii(unit_id[3])) * 1000 AS BIGINT) AS cells FROM edges GROUP BY unit_id)", "edges")
 def _(s, d):
-    return s.createDataFrame([(n, analysis_scale(n, 100.0)) for n in (5_000_000, 40_000_000, 4_000_000_000)], "cells long, scale double")
+    """The scale of each unit's box at some resolution."""
+    b = geo.bounds(fx.edges(s, d), ["unit_id"])
+    cells = ((F.col("x_max") - F.col("x_min")) * (F.col("y_max") - F.col("y_min")) * (1 + F.ascii(F.substring("unit_id", 3, 1))) * 1000).cast("long")
+    return b.select("unit_id", cells.alias("cells"), analysis_scale_of(cells, 100.0).alias("scale"))
 
 
 @query("r19_footprint", "SELECT unit_id, CAST(ceil((max(greatest(x1, x2)) - min(least(x1, x2))) / 0.3e0) * ceil((max(greatest(y1, y2)) - min(least(y1, y2))) / 0.3e0) AS BIGINT) AS cells FROM edges GROUP BY unit_id", "edges")
@@ -254,7 +259,7 @@ def _(s, d):
 
 @query("z17_histogram", "SELECT code, count(*) AS n FROM settlement GROUP BY code", "settlement")
 def _(s, d):
-    return grid.histogram(fx.settlement(s), "code")
+    return grid.histogram(fx.settlement(s, d), "code")
 
 
 _MODE = "SELECT row, col, label FROM (SELECT row, col, label, row_number() OVER (PARTITION BY row, col ORDER BY count(*) DESC, label) AS k FROM (SELECT CAST(l_partkey % 100 AS INTEGER) AS row, CAST(l_suppkey % 100 AS INTEGER) AS col, CAST(l_orderkey % 6 AS INTEGER) AS label FROM lineitem) GROUP BY row, col, label) WHERE k = 1"

@@ -27,10 +27,12 @@ def _(s, d):
     return fx.table(s, d, "nation").select("n_nationkey", catalogue.is_boundary(name, kind, url).alias("boundary"))
 
 
-@query("s03_level_of_file_name", "SELECT * FROM (VALUES ('rwa_adm2_2020.shp', 2), ('x_admbndp1.shp', 1), ('admin0.shp', 0), ('adm3.shp', NULL), ('roads.shp', NULL)) t(file, level)")
+@query("s03_level_of_file_name", "SELECT p_partkey, CASE WHEN p_partkey % 4 = 3 OR p_size % 7 > 2 THEN NULL ELSE CAST(p_size % 7 AS INTEGER) END AS level FROM part")
 def _(s, d):
-    files = s.createDataFrame([(f,) for f in ("rwa_adm2_2020.shp", "x_admbndp1.shp", "admin0.shp", "adm3.shp", "roads.shp")], "file string")
-    return files.select("file", catalogue.admin_level(F.col("file")).alias("level"))
+    k = F.col("p_partkey") % 4
+    n = (F.col("p_size") % 7).cast("string")
+    name = F.when(k == 0, F.concat(F.lit("rwa_adm"), n, F.lit("_2020.shp"))).when(k == 1, F.concat(F.lit("x_admbndp"), n, F.lit(".shp"))).when(k == 2, F.concat(F.lit("admin"), n, F.lit(".shp"))).otherwise(F.concat(F.lit("roads"), n, F.lit(".shp")))
+    return fx.table(s, d, "part").select("p_partkey", catalogue.admin_level(name).alias("level"))
 
 
 @query("k03_s04_geojson_round_trip", "SELECT unit_id, ring, count(*) AS edges, min(x1) AS x_min, max(y1) AS y_max FROM edges GROUP BY unit_id, ring", "edges")
@@ -79,10 +81,15 @@ def _(s, d):
     return fx.pop_bins(s, d).where(fx.is_in("dep_dependents")).select("sex", "age").distinct()
 
 
-@query("s24_country_dimension", "SELECT * FROM (VALUES ('RWA', 'Africa', 'rwanda'), ('PER', 'Americas', 'peru')) t(iso3, region, hdx_country)")
+@query("s24_country_dimension", "SELECT 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS iso3, r_name AS region, lower(n_name) AS hdx_country FROM nation JOIN region ON n_regionkey = r_regionkey")
 def _(s, d):
-    text = ["RWA:", "  region: Africa", "  hdx_country: rwanda", "PER:", "  region: 'Americas'", "  hdx_country: peru"]
-    return catalogue.country_dimension(s, s.createDataFrame(list(enumerate(text)), "n int, value string"))
+    """The country file: three lines a country, every other value in quotes."""
+    n = fx.table(s, d, "nation").join(fx.table(s, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    quote = F.when(F.col("n_nationkey") % 2 == 0, "'").otherwise("")
+    code = F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
+    lines = F.array(F.concat(code, F.lit(":")), F.concat(F.lit("  region: "), quote, F.col("r_name"), quote), F.concat(F.lit("  hdx_country: "), F.lower("n_name")))
+    text = n.select(F.posexplode(lines).alias("k", "value"), "n_nationkey").select((F.col("n_nationkey") * 3 + F.col("k")).alias("n"), "value")
+    return catalogue.country_dimension(s, text)
 
 
 @query("k01_k02_partitioned_output", "SELECT unit_id, n, country AS region, 'ADM1' AS level, 'coping' AS dataset, 'RWA' AS country FROM units", "units")

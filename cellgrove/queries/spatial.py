@@ -96,12 +96,17 @@ def _(s, d):
 SQL["p09_box_overlap"] = SQL["p09_box_overlap"].replace("WITH_BOX SELECT", ", box AS (SELECT unit_id, min(least(x1, x2)) AS x_min, min(least(y1, y2)) AS y_min, max(greatest(x1, x2)) AS x_max, max(greatest(y1, y2)) AS y_max FROM edges GROUP BY unit_id) SELECT")
 
 
-@query("p10_tile_bounds", "SELECT * FROM (VALUES ('N20_E030_RP10_depth.tif', 30, 10, 40, 20), ('S05_W070_RP100_depth.tif', -70, -15, -60, -5), ('N00_E000_RP50_depth.tif', 0, -10, 10, 0)) t(name, west, south, east, north)")
+@query(
+    "p10_tile_bounds",
+    """SELECT s_suppkey, CAST(lon AS INTEGER) AS west, CAST(lat - 10 AS INTEGER) AS south, CAST(lon + 10 AS INTEGER) AS east, CAST(lat AS INTEGER) AS north
+    FROM (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 1 ELSE -1 END * (s_suppkey % 9 * 10) AS lat, CASE WHEN s_suppkey % 3 = 0 THEN -1 ELSE 1 END * (s_suppkey % 17 * 10) AS lon FROM supplier)""",
+)
 def _(s, d):
     from ..operators.table import tile_bounds
 
-    names = s.createDataFrame([("N20_E030_RP10_depth.tif",), ("S05_W070_RP100_depth.tif",), ("N00_E000_RP50_depth.tif",)], "name string")
-    return names.select("name", *(c.alias(n) for n, c in tile_bounds(F.col("name")).items()))
+    k = F.col("s_suppkey")
+    name = F.format_string("%s%02d_%s%03d_RP10_depth.tif", F.when(k % 2 == 0, "N").otherwise("S"), k % 9 * 10, F.when(k % 3 == 0, "W").otherwise("E"), k % 17 * 10)
+    return fx.table(s, d, "supplier").select("s_suppkey", *(c.alias(n) for n, c in tile_bounds(name).items()))
 
 
 @query("p15_degenerate_rings_dropped", "SELECT unit_id, ring, count(*) AS edges FROM edges GROUP BY unit_id, ring", "edges")

@@ -57,11 +57,11 @@ def _(s, d):
     return t(s, d, "part").select("p_partkey", table.tag_is(F.col("p_type"), "ECONOMY", "STANDARD").alias("any_of"), table.tag_is_not(tag, "ECONOMY").alias("not_economy"), table.tag_matches(F.col("p_name"), "ring|widget").alias("like_it"))
 
 
-@query("p11_isochrone_value_field", "SELECT o_orderkey, o_totalprice AS cutoff FROM orders WHERE o_orderkey % 3 = 0 AND o_totalprice > 100000")
+@query("p11_isochrone_value_field", "SELECT o_orderkey, o_totalprice AS cutoff FROM orders WHERE o_totalprice > 100000")
 def _(s, d):
     o = t(s, d, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("Distance"))
     v = table.value_column(o)
-    return o.where((F.col("o_orderkey") % 3 == 0) & (F.col(v) > 100000)).select("o_orderkey", F.col(v).alias("cutoff"))
+    return o.where(F.col(v) > 100000).select("o_orderkey", F.col(v).alias("cutoff"))
 
 
 @query("p12_clean_numbers", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 IN (0, 1, 2, 3) THEN 0e0 ELSE o_totalprice END AS v FROM orders")
@@ -164,11 +164,20 @@ def _(s, d):
     return table.update_join(base, c.where("n < 10").withColumnRenamed("customers", "v"), "n", ["v"])
 
 
-@query("j15_pair_files_by_level", "SELECT * FROM (VALUES (1, 'access_ADM1.csv', 'rai_ADM1.csv'), (2, 'access_ADM2.csv', 'rai_ADM2.csv')) t(level, a, b)")
+_NAMED = "SELECT DISTINCT 'ADM' || CAST(n_nationkey % 4 AS VARCHAR) AS adm, n_regionkey, n_nationkey % 4 AS level FROM nation"
+
+
+@query(
+    "j15_pair_files_by_level",
+    f"SELECT CAST(x.level AS INTEGER) AS level, 'access_' || x.adm || '.csv' AS a, 'rai_' || y.adm || '.csv' AS b FROM (SELECT DISTINCT adm, level FROM ({_NAMED}) WHERE n_regionkey < 3) x JOIN (SELECT DISTINCT adm, level FROM ({_NAMED}) WHERE n_regionkey > 1 AND level < 3) y USING (level)",
+)
 def _(s, d):
+    """Files of two kinds, named after levels, meet by the level in their names."""
     level = F.regexp_extract("path", r"ADM(\d)", 1).cast("int")
-    a = s.createDataFrame([("access_ADM2.csv",), ("access_ADM1.csv",)], "path string").select(level.alias("level"), F.col("path").alias("a"))
-    b = s.createDataFrame([("rai_ADM1.csv",), ("rai_ADM2.csv",), ("rai_ADM0.csv",)], "path string").select(level.alias("level"), F.col("path").alias("b"))
+    n = t(s, d, "nation")
+    name = lambda kind: F.concat(F.lit(f"{kind}_ADM"), (F.col("n_nationkey") % 4).cast("string"), F.lit(".csv")).alias("path")
+    a = n.where("n_regionkey < 3").select(name("access")).distinct().select(level.alias("level"), F.col("path").alias("a"))
+    b = n.where("n_regionkey > 1 AND n_nationkey % 4 < 3").select(name("rai")).distinct().select(level.alias("level"), F.col("path").alias("b"))
     return a.join(b, "level")
 
 

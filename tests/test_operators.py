@@ -396,3 +396,12 @@ def test_budgets_are_monotone_and_keep_borders(spark):
                 t = got["a"].tolerance
                 same = {r.unit_id: {(p.x, p.y) for p in r.points} for r in geo.simplify_shared(rings, t).collect()}
                 assert all(kept[u] >= same[u] for u in kept) and (budget == 0 or kept == same)
+
+
+def test_helper_names_do_not_clash(spark):
+    square = spark.createDataFrame([("a", 0, [dict(x=x, y=y) for x, y in ((0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0))])], "unit_id string, ring int, points array<struct<x: double, y: double>>")
+    edges = geo.edges_from_rings(square)
+    points = spark.createDataFrame([(1.0, 1.0, "k", 5), (9.0, 1.0, "l", 6)], "x double, y double, __x string, band int").withColumns({c: F.lit(7) for c in ("px", "py", "unit", "in", "__unit", "__r", "size", "part", "bx")})
+    assert [(r["__x"], r.band, r.unit_id) for r in geo.points_in_polygons(points, edges, "unit_id").collect()] == [("k", 5, "a")]
+    near = geo.within_distance(points, edges.select("x1", "y1", "x2", "y2").withColumn("r", F.lit(2)), 1.0)
+    assert {r["__x"] for r in near.collect()} == {"k"} and "size" in near.columns and "r" in near.columns
