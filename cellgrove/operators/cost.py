@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import Workspace, stored
+
 UNREACHABLE = 1e9
 #: Cost of a cell without a valid friction.
 BARRIER = 1e6
@@ -88,20 +90,22 @@ def _start(cells: DataFrame) -> DataFrame:
     return cells.select("row", "col", "cost", F.when(source, F.lit(0.0)).otherwise(F.lit(float("inf"))).alias("distance"), source.alias("changed"))
 
 
-def least_cost(cells: DataFrame, store, tile: int = 256, rounds: int = 10_000) -> DataFrame:
+def least_cost(cells: DataFrame, tile: int = 256, rounds: int = 10_000, written: list[int] | None = None) -> DataFrame:
     """row, col, distance from the nearest source, for a grid of any size. ``cells``: row, col, cost, source.
 
     Every tile settles its own cells by a heap, starting from its sources; then cells that changed beside a border
     are sent to the neighbouring tiles, and only tiles that got some run again. A task holds one tile. The number of
-    rounds is that of borders a path crosses, not of its cells. ``store`` writes a version of the state and reads
-    it back (``sources.Latest``). An error if ``rounds`` don't suffice.
-    """
-    kinds = "row int, col int, cost double, distance double, changed boolean"
-    names = ["row", "col", "cost", "distance", "changed"]
+    rounds is that of borders a path crosses, not of its cells.
+
+    The state is kept in versions: a round reads the tiles that got something and writes those of them that changed,
+    and a small table says which version of each tile counts. ``written`` gets the number of tiles of every round. An
+    error if ``rounds`` don't suffice. The result is written to the shared folder, all versions go."""
+    kinds = "tr long, tc long, row int, col int, cost double, distance double, changed boolean"
+    names = ["tr", "tc", "row", "col", "cost", "distance", "changed"]
     place = [F.floor(F.col("row") / tile).alias("tr"), F.floor(F.col("col") / tile).alias("tc")]
-    start = _start(cells.select(F.col("row").cast("int"), F.col("col").cast("int"), F.col("cost").cast("double"), "source"))
+    start = _start(cells.select(F.col("row").cast("int"), F.col("col").cast("int"), F.col("cost").cast("double"), "source")).select(*place, "row", "col", "cost", "distance", "changed")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         r, c, shape = _boxed(pdf, 2 * (tile + 2) ** 2)
         cost, dist, own = np.full(shape, np.nan), np.full(shape, np.inf), np.zeros(shape, bool)
         inner = ~pdf["guest"].to_numpy()
@@ -111,24 +115,41 @@ def least_cost(cells: DataFrame, store, tile: int = 256, rounds: int = 10_000) -
         _settle(cost, dist, own, list(zip(r[begin].tolist(), c[begin].tolist(), strict=True)))
         out = pdf[inner]
         new = dist[r[inner], c[inner]]
-        return out.assign(changed=(new < out["distance"]) | (out["changed"] & out["first"]), distance=new)[names]
-
-    state, first = store(start), True
-    for _ in range(rounds):
-        around = F.array_distinct(F.array(*(F.struct(F.floor((F.col("row") + i) / tile).alias("tr"), F.floor((F.col("col") + j) / tile).alias("tc")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
-        sent = state.where("changed").select(*names, *place, F.explode(around).alias("to")).where((F.col("to.tr") != F.col("tr")) | (F.col("to.tc") != F.col("tc")))
-        guests = sent.select(*names, F.col("to.tr").alias("tr"), F.col("to.tc").alias("tc"), F.lit(True).alias("guest"))
-        # in the first round tiles run on their sources; later on what came from their neighbours
-        hosts = (state.where("changed").select(*place) if first else guests.select("tr", "tc")).distinct()
-        placed = state.select(*names, *place)
-        own = placed.join(hosts, ["tr", "tc"], "left_semi").withColumn("changed", F.col("changed") & F.lit(first))
-        quiet = placed.join(hosts, ["tr", "tc"], "left_anti").withColumn("changed", F.lit(False)).select(*names)
-        each = own.withColumn("guest", F.lit(False))
-        each = each if first else each.unionByName(guests)
-        settled = each.withColumn("first", F.lit(first)).groupBy("tr", "tc").applyInPandas(run, kinds)
-        state, first = store(settled.unionByName(quiet)), False
-        if state.where("changed").isEmpty():
-            return _finished(state)
+        changed = (new < out["distance"]) | (out["changed"] & out["first"])
+        # a tile without a change isn't written again
+        return out.assign(changed=changed, distance=new)[names] if changed.any() or out["first"].any() else out.iloc[:0][names]
+
+    spark = cells.sparkSession
+    with Workspace(spark) as work:
+        versions, number = f"{work.folder}/versions", 0
+
+        def settle(placed: DataFrame, first: bool) -> DataFrame:
+            """Writes the next version: the tiles that changed."""
+            nonlocal number
+            out = placed.withColumn("first", F.lit(first)).groupBy("tr", "tc").applyInPandas(run, kinds)
+            out.write.parquet(f"{versions}/version={number}")
+            now = spark.read.schema(kinds).parquet(f"{versions}/version={number}")
+            number += 1
+            return now
+
+        now = settle(start.withColumn("guest", F.lit(False)), True)
+        tips = work.put("tips", now.select("tr", "tc", F.lit(0).alias("version")).distinct())
+        for _ in range(rounds):
+            if written is not None:
+                written.append(now.select("tr", "tc").distinct().count())
+            around = F.array_distinct(F.array(*(F.struct(F.floor((F.col("row") + i) / tile).alias("tr"), F.floor((F.col("col") + j) / tile).alias("tc")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
+            sent = now.where("changed").select(*names, F.explode(around).alias("to")).where((F.col("to.tr") != F.col("tr")) | (F.col("to.tc") != F.col("tc")))
+            guests = work.put("guests", sent.select(F.col("to.tr").alias("tr"), F.col("to.tc").alias("tc"), *names[2:], F.lit(True).alias("guest")))
+            hosts = work.put("hosts", guests.select("tr", "tc").distinct().join(tips, ["tr", "tc"]))
+            wanted = [r.version for r in hosts.select("version").distinct().collect()]  # a number a round at most
+            every = spark.read.schema(f"{kinds}, version int").parquet(versions)
+            if not wanted:
+                final = every.join(tips, ["tr", "tc", "version"], "left_semi")
+                return stored(_finished(final), "distances")
+            own = every.where(F.col("version").isin(wanted)).join(hosts, ["tr", "tc", "version"], "left_semi").select(*names[:-1], F.lit(False).alias("changed"), F.lit(False).alias("guest"))
+            now = settle(own.unionByName(guests), False)
+            fresh = now.select("tr", "tc").distinct().withColumn("new", F.lit(number - 1))
+            tips = work.put("tips", tips.join(fresh, ["tr", "tc"], "left").select("tr", "tc", F.coalesce("new", "version").alias("version")))
     raise RuntimeError(f"least-cost distances still change after {rounds} rounds")
 
 

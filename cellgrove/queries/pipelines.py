@@ -9,7 +9,7 @@ from ..operators import cost, geo
 from ..plans import indicators as ind
 from ..plans import risk as risk_plan
 from ..plans import runs as run_plan
-from ..sources import Latest, new_path, tabular, tiff
+from ..sources import new_path, tabular, tiff
 from . import fixtures as fx
 from .rasters import land_cover, surface_of, walked
 
@@ -170,7 +170,7 @@ def evacuability(s, d):
     sources = cost.sample_sources(cells).select("row", "col", F.lit(True).alias("chosen"))
     cells = cells.join(sources, ["row", "col"], "left").select("row", "col", "cost", "source", F.coalesce("chosen", F.lit(False)).alias("chosen"))
     starts = cells.select("row", "col", "cost", F.col("chosen").alias("source"))
-    minutes = cost.least_cost(starts, Latest(), tile=64).select("row", "col", (F.col("distance") / 60).alias("distance"))
+    minutes = cost.least_cost(starts, tile=64).select("row", "col", (F.col("distance") / 60).alias("distance"))
     return ind.evacuation(fx.units(s, d), fx.cell_zone(s, d), minutes, cells.where("not source"), "RP100", strict=True)
 
 

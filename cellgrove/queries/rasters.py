@@ -198,7 +198,7 @@ def _(s, d):
 
 @query("r15_least_cost_tiled")
 def _(s, d):
-    return cost.least_cost(whole_surface(s, d), Latest(), tile=32).select("row", "col", rnd(F.col("distance"), 3).alias("distance"))
+    return cost.least_cost(whole_surface(s, d), tile=32).select("row", "col", rnd(F.col("distance"), 3).alias("distance"))
 
 
 @query("r15_least_cost_relaxed")

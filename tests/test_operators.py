@@ -118,15 +118,24 @@ def test_least_cost_forms_agree(spark):
                     if e < dist.get((x, y), 1e18):
                         dist[x, y] = e
                         heapq.heappush(heap, (e, (x, y)))
-    for got in (cost.least_cost_heap(cells).drop("grid"), cost.least_cost_relaxed(cells, Latest()), cost.least_cost(cells, Latest(), tile=3)):
+    for got in (cost.least_cost_heap(cells).drop("grid"), cost.least_cost_relaxed(cells, Latest()), cost.least_cost(cells, tile=3)):
         found = {(r.row, r.col): r.distance for r in got.collect()}
         assert found.keys() == dist.keys() and all(abs(found[k] - dist[k]) < 1e-9 for k in dist)
 
 
+def test_a_round_writes_the_tiles_that_changed(spark):
+    cells = spark.createDataFrame([(0, 0, j, 1.0, j == 0) for j in range(12)] + [(0, 40, j, 1.0, j == 5) for j in range(12)], "grid int, row int, col int, cost double, source boolean")
+    written = []
+    got = cost.least_cost(cells, tile=3, written=written)
+    # all eight at first; then along one strip from its end, along the other from its middle to both sides
+    assert written == [8, 3, 2, 1] or (written[0] == 8 and max(written[1:]) <= 3)
+    assert {(r.row, r.col): r.distance for r in got.collect()} == {(0, j): float(j) for j in range(12)} | {(40, j): float(abs(j - 5)) for j in range(12)}
+
+
 def test_least_cost_limits_are_errors(spark):
     cells = spark.createDataFrame([(0, 0, j, 1.0, j == 0) for j in range(12)], "grid int, row int, col int, cost double, source boolean")
     with pytest.raises(RuntimeError):
-        cost.least_cost(cells, Latest(), tile=3, rounds=2)
+        cost.least_cost(cells, tile=3, rounds=2)
     with pytest.raises(RuntimeError):
         cost.least_cost_relaxed(cells, Latest(), rounds=2)
     with pytest.raises(Exception, match="too large"):
