@@ -194,8 +194,15 @@ def rings(sides: DataFrame, by: list[str]) -> DataFrame:
 
     Every round is written; there are as many as the logarithm of the longest ring, and only the last one stays while
     they go on. Corners on straight lines are left out."""
+    own, keys = _keyed(sides, by)
     with Workspace(sides.sparkSession) as work:
-        return stored(_chained(sides, by, work), "rings")
+        return stored(_chained(own, list(keys), work).withColumnsRenamed(keys), "rings")
+
+
+def _keyed(df: DataFrame, by: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with keys of other names than any column here, and what they were called."""
+    keys = {f"key_{i}": c for i, c in enumerate(by)}
+    return df.withColumnsRenamed({c: k for k, c in keys.items()}), keys
 
 
 def _chained(sides: DataFrame, by: list[str], work: Workspace) -> DataFrame:
@@ -242,20 +249,21 @@ def nested(found: DataFrame, by: list[str], band: float = 1.0) -> DataFrame:
     A hole lies in the smallest outer ring of its key that holds it; holes meet the edges of outer rings by bands."""
     from .geo import edges_from_rings, points_in_polygons
 
-    inner = free_names(["name", "x", "y", "hole_ring"], found.columns)
-    key = F.to_json(F.struct(*by, "ring"))
-    outer = found.where("not hole").withColumn(inner["name"], key)
-    edges = edges_from_rings(outer, inner["name"], "ring")
+    found, keys = _keyed(found, by)
+    name = F.to_json(F.struct(*keys, "ring"))
+    outer = found.where("not hole").withColumn("name", name)
+    edges = edges_from_rings(outer, "name", "ring")
     # the middle of a hole's first edge, moved into the hole (which a walk keeps to its right) by a hair
     a, b = F.col("points")[0], F.col("points")[1]
     dx, dy = b.x - a.x, b.y - a.y
     hair = 1e-7
-    spots = found.where("hole").select(*by, F.col("ring").alias(inner["hole_ring"]), ((a.x + b.x) / 2 + dy * hair).alias(inner["x"]), ((a.y + b.y) / 2 - dx * hair).alias(inner["y"]))
-    held = points_in_polygons(spots, edges, inner["name"], inner["x"], inner["y"], band=band)
-    own = outer.select(inner["name"], *(F.col(c).alias(f"{c}_outer") for c in by), F.col("ring").alias("shell"), F.col("signed_area").alias("size"))
-    held = held.join(own, inner["name"]).where(F.lit(True) if not by else _all(F.col(c).eqNullSafe(F.col(f"{c}_outer")) for c in by))
-    least = held.groupBy(*by, F.col(inner["hole_ring"]).alias("ring")).agg(F.min_by("shell", "size").alias("shell"))
-    return found.alias("l").join(least.alias("r"), [*(F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by), F.col("l.ring") == F.col("r.ring")], "left").select("l.*", F.when(~F.col("l.hole"), F.col("l.ring")).otherwise(F.col("r.shell")).alias("shell"))
+    spots = found.where("hole").select(*keys, F.col("ring").alias("inner"), ((a.x + b.x) / 2 + dy * hair).alias("x"), ((a.y + b.y) / 2 - dx * hair).alias("y"))
+    held = points_in_polygons(spots, edges, "name", band=band)
+    own = outer.select("name", *(F.col(c).alias(f"{c}_outer") for c in keys), F.col("ring").alias("shell"), F.col("signed_area").alias("size"))
+    held = held.join(own, "name").where(_all(F.col(c).eqNullSafe(F.col(f"{c}_outer")) for c in keys))
+    least = held.groupBy(*keys, F.col("inner").alias("ring")).agg(F.min_by("shell", "size").alias("shell"))
+    same = [*(F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys), F.col("l.ring") == F.col("r.ring")]
+    return found.alias("l").join(least.alias("r"), same, "left").select("l.*", F.when(~F.col("l.hole"), F.col("l.ring")).otherwise(F.col("r.shell")).alias("shell")).withColumnsRenamed(keys)
 
 
 def _all(conditions) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rnd
 from ..operators import geo, grid, planar
+from ..sources import vector_tiles
 from . import fixtures as fx
 
 query, FUNCTIONS, SQL = fx.collector()
@@ -117,3 +118,22 @@ def _(s, d):
 
 
 SQL["r11_rings"] = fx.with_sql(_PATCHES, "hazard").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_TILED = """, m AS (SELECT unit_id, zoom, (x1 + 180e0) / 360 * pow(2, zoom) AS x1, (1 - asinh(tan(radians(y1 / 2))) / pi()) / 2 * pow(2, zoom) AS y1,
+      (x2 + 180e0) / 360 * pow(2, zoom) AS x2, (1 - asinh(tan(radians(y2 / 2))) / pi()) / 2 * pow(2, zoom) AS y2 FROM edges, (SELECT unnest([2, 4, 6]) AS zoom)),
+    reached AS (SELECT unit_id, zoom, tx, ty FROM (SELECT unit_id, zoom, floor(min(least(x1, x2)))::BIGINT AS xa, floor(max(greatest(x1, x2)))::BIGINT AS xb, floor(min(least(y1, y2)))::BIGINT AS ya, floor(max(greatest(y1, y2)))::BIGINT AS yb FROM m GROUP BY unit_id, zoom), LATERAL (SELECT unnest(range(xa, xb + 1)) AS tx), LATERAL (SELECT unnest(range(ya, yb + 1)) AS ty)),
+    both_layers AS (SELECT concat_ws('/', zoom, tx, ty, unit_id) AS k4, 0 AS layer, x1, y1, x2, y2 FROM m JOIN reached USING (unit_id, zoom)
+      UNION ALL SELECT concat_ws('/', zoom, tx, ty, unit_id), 1, tx + c, ty, tx + c, ty + 1 FROM reached, (SELECT unnest([0, 1]) AS c))"""
+
+
+@query(
+    "k05_vector_tiles",
+    _TILED + slabs("SELECT * FROM both_layers", "k4", "both") + " SELECT CAST(split_part(k, '/', 1) AS INTEGER) AS zoom, CAST(split_part(k, '/', 2) AS INTEGER) AS x, CAST(split_part(k, '/', 3) AS INTEGER) AS y, split_part(k, '/', 4) AS unit_id FROM areas WHERE area > 1e-3",
+    "edges",
+)
+def _(s, d):
+    """Which unit is in which tile, of tiles at three zooms, decoded."""
+    half = F.transform("points", lambda p: F.struct(p.x.alias("x"), (p.y / 2).alias("y")))
+    made = vector_tiles.tiles(fx.rings(s, d).select("unit_id", "ring", half.alias("points")), (2, 4, 6))
+    return vector_tiles.features(made).where("area > 1e-3").select("zoom", "x", "y", F.col("name").alias("unit_id"))
