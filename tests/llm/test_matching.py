@@ -370,3 +370,16 @@ def test_secret_links_are_brute_force(spark):
         near = lambda s, kinds: any(k in kinds and abs(a - s) <= secrets.SCOPE for a, k, _ in every)  # noqa: B023, E731
         want = sorted(w for w in weak if {3: near(w[0], (0, 2, 4)), 4: near(w[0], (1, 3)), 5: near(w[0], (1, 3)) and near(w[0], (0, 2, 4))}[w[1]])
         assert sorted((s.start, s.kind, s.end) for s in row.linked) == want
+
+
+def test_candidates_hold_all_that_is_wanted(spark, monkeypatch):
+    from cellgrove.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "BLOOM_BITS", 12)
+    docs = spark.createDataFrame([(i if i % 9 else None, f"text {i}" if i % 7 else None, "clash") for i in range(2000)], "doc_id long, text string, mark string")
+    marked = docs.selectExpr("doc_id AS w_key", "xxhash64(coalesce(text, '')) AS w_mark", "text")
+    some = marked.where("text like '%1'")
+    got = ngram_join._candidates(docs, some, "doc_id", "text")
+    assert got.columns == ["key", "mark", "text"]
+    assert {(r.key, r.text) for r in got.collect()} >= {(r.w_key, r.text) for r in some.collect()} and got.count() < 1000
+    assert ngram_join._candidates(docs, marked, "doc_id", "text").count() == 2000 and ngram_join._candidates(docs, some.limit(0), "doc_id", "text").count() == 0
