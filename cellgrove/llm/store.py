@@ -25,8 +25,32 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+#: What the scopes that are open have written, the innermost last.
+_OPEN: list[list[str]] = []
+
+
+class Scope:
+    """Deletes at the end of the ``with`` block all tables and folders that were made within it by ``written`` and
+    ``new_path``, whoever asked for them; what shall stay gets its path before. Plans made within read nothing of it
+    afterwards."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self) -> Scope:
+        _OPEN.append([])
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in _OPEN.pop():
+            discard(self.spark, path)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/cellgrove/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/cellgrove/{label}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
 
 
 def written(df: DataFrame, label: str = "table") -> DataFrame:

@@ -214,8 +214,19 @@ def test_pipeline_edges(spark, tmp_path):
     once = [(-1, "no key"), (3, " \n"), (5, base.replace(" ", "  ")[:12]), (6, base[:12]), (7, "so one two t"), (8, "long long lo"), (9, "another text"), (9, "plain text")]
     assert seen["exact_dedup"] == once
     assert seen["ngram_join"] == [x for x in once if x[0] != 6] and seen["decontamination"] == [x for x in once if x[0] not in (6, 7)]
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://") + "/cellgrove"
+    before = set(os.listdir(folder))
     packed = corpus_pipeline.run(spark, here)
+    assert [x.split("-")[0] for x in set(os.listdir(folder)) - before] == ["pipeline"]
     assert sorted({-1 if r.doc_id is None else r.doc_id for r in packed.collect()}) == [-1, 3, 5, 8, 9]
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, here).count() == 0
+
+
+def test_held_out_labels_change_nothing(spark, data):
+    docs, labels = (spark.read.parquet(f"{data}/{n}.parquet") for n in ("documents", "labels"))
+    other = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert other.exceptAll(labels).count() > 0
+    (one, a), (two, b) = toxicity.sample(docs, labels), toxicity.sample(docs, other)
+    assert a == b and sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
