@@ -59,7 +59,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = store.written(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The packed corpus, in one table of the shared folder. A stage's table goes when the next one is written, and what
+    a stage wrote on its way goes with it."""
+    result = store.new_path(spark, "pipeline")
+    with store.Scratch(spark) as tables:
+        docs = _table(spark, sf_dir, "documents")
+        for _, stage in STAGES[:-1]:
+            with store.Scope(spark):
+                docs = tables.put("docs", stage(spark, docs, sf_dir))
+        with store.Scope(spark):
+            packed = STAGES[-1][1](spark, docs, sf_dir)
+            packed.write.parquet(result)
+    return spark.read.schema(packed.schema).parquet(result)
