@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..sources import catalogue, geoparquet, netcdf, new_path, raster, stored, tabular, tiff, vector
+from ..sources import catalogue, copies, geoparquet, netcdf, new_path, raster, stored, tabular, tiff, vector
 from . import fixtures as fx
 
 query, FUNCTIONS, SQL = fx.collector()
@@ -250,3 +250,33 @@ def _(s, d):
     parts = vector.wkb_parts(geoparquet.read(s, folder, (25.0, 5.0, 55.0, 41.0)).select("unit_id", "geometry"))
     x, y = F.transform("points", lambda p: p.x), F.transform("points", lambda p: p.y)
     return parts.select("unit_id", F.col("part").alias("ring"), (F.size("points") - 1).cast("long").alias("points"), F.array_min(x).alias("x_min"), F.array_max(y).alias("y_max"))
+
+
+_BIN = "sex || '_' || CAST(age AS VARCHAR) || '.tif'"
+
+
+@query("s20_cached_bins", f"SELECT {_BIN} AS file, CASE WHEN age < 5 THEN 'same' ELSE 'copied' END AS status, count(*) AS cells, sum(value) AS total FROM (SELECT sex, age, row, col, sum(value) AS value FROM pop_bins WHERE age <= 10 OR age >= 65 GROUP BY ALL) GROUP BY sex, age", "pop_bins")
+def _(s, d):
+    """Rasters of the bins that an indicator needs, each fetched once, those in the cache not again; read from the cache."""
+    source, cache = new_path(s, "remote"), new_path(s, "cache")
+    name = F.concat_ws("", "sex", F.lit("_"), F.col("age").cast("string"), F.lit(".tif"))
+    cells = fx.pop_bins(s, d).groupBy(name.alias("raster"), "sex", "age", "row", "col").agg(F.sum("value").alias("value"))
+    tiff.landed(tiff.geotiffs(cells, (100, 100), 0.0, 0.0, 1.0, 1.0, dtype="f8"), source)
+    needed = fx.pop_bins(s, d).where(fx.is_in("dep_dependents"))  # a row for every item: repeats are fetched once
+    copies.mirrored(needed.where("age < 5").select(name.alias("path")), source, cache)
+    done = copies.mirrored(needed.select(name.alias("path")), source, cache)
+    held = tiff.cells(tiff.blocks(s, cache)).groupBy("raster").agg(F.count("*").alias("cells"), F.sum("value").alias("total"))
+    return done.join(held, F.col("path") == F.col("raster")).select(F.col("path").alias("file"), "status", "cells", "total")
+
+
+@query("k06_upload", "SELECT 'out/' || n_name || '.csv' AS path, CAST(octet_length(encode(n_name || repeat('x', CAST(n_nationkey AS INTEGER)))) AS BIGINT) AS size, CASE WHEN n_nationkey % 3 = 0 THEN 'same' ELSE 'copied' END AS status FROM nation UNION ALL SELECT 'lost.csv', NULL, 'failed'")
+def _(s, d):
+    """Files to a store that has some in their size, some in another; one that doesn't exist fails alone."""
+    local, remote = new_path(s, "local"), new_path(s, "store")
+    n = fx.table(s, d, "nation")
+    path, text = F.concat(F.lit("out/"), "n_name", F.lit(".csv")), F.concat("n_name", F.repeat(F.lit("x"), F.col("n_nationkey").cast("int")))
+    tiff.landed(n.select(path.alias("name"), text.cast("binary").alias("content")), local, "name")
+    old = F.when(F.col("n_nationkey") % 3 == 0, text).otherwise(F.lit("old"))
+    tiff.landed(n.where("n_nationkey % 3 < 2").select(path.alias("name"), old.cast("binary").alias("content")), remote, "name")
+    files = n.select(path.alias("path")).unionByName(n.select(F.lit("lost.csv").alias("path")))
+    return copies.mirrored(files, local, remote).select("path", "size", "status")
