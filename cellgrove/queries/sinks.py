@@ -280,3 +280,58 @@ def _(s, d):
     tiff.landed(n.where("n_nationkey % 3 < 2").select(path.alias("name"), old.cast("binary").alias("content")), remote, "name")
     files = n.select(path.alias("path")).unionByName(n.select(F.lit("lost.csv").alias("path")))
     return copies.mirrored(files, local, remote).select("path", "size", "status")
+
+
+def _package(pdf):
+    """name, content: a GeoPackage with one layer, a polygon for each unit."""
+    import contextlib
+    import sqlite3
+
+    import pandas as pd
+
+    with contextlib.closing(sqlite3.connect(":memory:")) as db:
+        db.execute("CREATE TABLE units (fid INTEGER PRIMARY KEY, unit_id TEXT, geom BLOB)")
+        for unit, own in pdf.sort_values("ring").groupby("unit_id"):
+            db.execute("INSERT INTO units (unit_id, geom) VALUES (?, ?)", (unit, b"GP\0\1\0\0\0\0" + geoparquet.polygon_wkb([list(p) for p in own["points"]])))
+        db.commit()
+        return pd.DataFrame({"name": [f"{pdf['part'].iloc[0]}.gpkg"], "content": [bytes(db.serialize())]})
+
+
+@query("s05_geopackage", "SELECT unit_id, ring, count(*) AS points, sum(x1) AS xs, sum(y1) AS ys FROM edges GROUP BY unit_id, ring", "edges")
+def _(s, d):
+    folder = new_path(s, "packages")
+    parts = fx.rings(s, d).withColumn("part", F.concat(F.lit("p"), (F.crc32(F.col("unit_id")) % 3).cast("string")))
+    tiff.landed(parts.groupBy("part").applyInPandas(_package, "name string, content binary"), folder, "name")
+    read = vector.wkb_parts(vector.geopackage(s, folder, "units", "unit_id string"))
+    p = read.select("unit_id", F.col("part").alias("ring"), F.explode(F.slice("points", F.lit(1), F.size("points") - 1)).alias("p"))
+    return p.groupBy("unit_id", "ring").agg(F.count("*").alias("points"), F.sum("p.x").alias("xs"), F.sum("p.y").alias("ys"))
+
+
+def _workbook(pdf):
+    """name, content: a workbook whose second sheet has a row for each year."""
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    m = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rows = "".join(f'<row><c r="A{k}"><v>{r.year}</v></c><c r="C{k}"><v>{r.fatalities}</v></c></row>' for k, r in enumerate(pdf.sort_values("year").itertuples(), 2))
+    head = '<row><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c><c r="C1" t="s"><v>2</v></c></row>'
+    links = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("xl/workbook.xml", f'<workbook {m} xmlns:r="{links}"><sheets><sheet name="Notes" sheetId="1" r:id="rId1"/><sheet name="Data" sheetId="2" r:id="rId2"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId2" Target="worksheets/sheet1.xml"/><Relationship Id="rId1" Target="worksheets/sheet2.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f"<sst {m}><si><t> Year </t></si><si><t>Notes</t></si><si><t>Fatalities</t></si></sst>")
+        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {m}><sheetData>{head}{rows}</sheetData></worksheet>")
+    return pd.DataFrame({"name": [f"{pdf['unit_id'].iloc[0]}.xlsx"], "content": [out.getvalue()]})
+
+
+@query("s11_worksheets", "SELECT year, CAST(sum(fatalities) AS BIGINT) AS fatalities, count(DISTINCT unit_id) AS files FROM conflict GROUP BY year", "conflict")
+def _(s, d):
+    """A workbook for each unit with its yearly sums, all read and added up."""
+    folder = new_path(s, "workbooks")
+    sums = fx.conflict(s, d).groupBy("unit_id", "year").agg(F.sum("fatalities").alias("fatalities"))
+    tiff.landed(sums.groupBy("unit_id").applyInPandas(_workbook, "name string, content binary"), folder, "name")
+    rows = tabular.worksheet(s, folder, "Data", ["Year", "Fatalities"], {"Year": "year", "Fatalities": "fatalities"})
+    return rows.groupBy(F.col("year").cast("int").alias("year")).agg(F.sum(F.col("fatalities").cast("long")).alias("fatalities"), F.count("*").alias("files"))
