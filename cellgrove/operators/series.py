@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,23 +72,24 @@ def leading_failures(history: DataFrame, key: str, status: str, order: list[str]
 def chunks_under_budget(units: DataFrame, order: str, budget: int, unit: str = "unit_id", most: int = 20_000) -> DataFrame:
     """Consecutive units whose common bounding box has at most ``budget`` cells; a larger unit stands alone.
 
-    Greedy and sequential by nature, so one ordered fold over the list of units (administrative units of one
-    country), inside the plan; more than ``most`` of them are an error. Columns: unit, order, x_min, y_min, x_max, y_max
-    in whole cells. Returns unit, chunk."""
+    Greedy and sequential by nature, so one task reads the list of units (administrative units of one country) in
+    order, linear in their number; more than ``most`` of them are an error. Columns: unit, order, x_min, y_min, x_max,
+    y_max in whole cells. Returns unit, chunk."""
     if units.limit(most + 1).count() > most:
         raise ValueError(f"more than {most} units in one sequence of chunks: split them by country")
-    rows = F.sort_array(F.collect_list(F.struct(order, unit, "x_min", "y_min", "x_max", "y_max")))
-    start = F.struct(
-        F.lit(0).cast("long").alias("chunk"),
-        *(F.lit(None).cast("double").alias(c) for c in ("x_min", "y_min", "x_max", "y_max")),
-        F.array().cast(f"array<struct<unit:{units.schema[unit].dataType.simpleString()},chunk:bigint>>").alias("out"),
-    )
-
-    def step(s: Column, r: Column) -> Column:
-        box = [F.least(s.x_min, r.x_min.cast("double")), F.least(s.y_min, r.y_min.cast("double")), F.greatest(s.x_max, r.x_max.cast("double")), F.greatest(s.y_max, r.y_max.cast("double"))]
-        fits = s.x_min.isNull() | ((box[2] - box[0]) * (box[3] - box[1]) <= budget)
-        chunk = F.when(fits, s.chunk).otherwise(s.chunk + 1)
-        own = [r.x_min, r.y_min, r.x_max, r.y_max]
-        return F.struct(chunk.alias("chunk"), *(F.when(fits, b).otherwise(o.cast("double")).alias(n) for n, b, o in zip(("x_min", "y_min", "x_max", "y_max"), box, own, strict=True)), F.concat(s.out, F.array(F.struct(r[unit].alias("unit"), chunk.alias("chunk")))).alias("out"))
-
-    return units.agg(F.aggregate(rows, start, step, lambda s: s.out).alias("o")).select(F.inline("o")).toDF(unit, "chunk")
+    box = ["x_min", "y_min", "x_max", "y_max"]
+    kind = units.schema[unit].dataType.simpleString()
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["place", "unit", *box], kind="stable")
+        chunk, held, out = 0, None, []
+        for x0, y0, x1, y1 in pdf[box].itertuples(index=False):
+            grown = (x0, y0, x1, y1) if held is None else (min(held[0], x0), min(held[1], y0), max(held[2], x1), max(held[3], y1))
+            if held is not None and (grown[2] - grown[0]) * (grown[3] - grown[1]) > budget:
+                chunk, grown = chunk + 1, (x0, y0, x1, y1)
+            held = grown
+            out.append(chunk)
+        return pd.DataFrame({unit: pdf["unit"].to_numpy(object), "chunk": out})
+
+    rows = units.select(F.col(unit).alias("unit"), F.col(order).alias("place"), *(F.col(c).cast("double").alias(c) for c in box), F.lit(1).alias("all"))
+    return rows.groupBy("all").applyInPandas(run, f"`{unit}` {kind}, chunk long")
