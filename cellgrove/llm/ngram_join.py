@@ -17,7 +17,7 @@
 5. What is left is verified on the whole sets.
 
 Verification sends the sets of pair partners to one place, computed from the texts again, of which only those in pairs
-(and what a Bloom filter takes for them) are moved; leaders of
+(and what a bitmap of their hashes takes for them) are moved; leaders of
 many are salted. Long lists are dealt over several tasks by salts.
 
 Defined results: null and empty texts have no shingles and are linked with nothing; a text of fewer
@@ -53,9 +53,9 @@ CELLS, LEAST_WORDS = 2, 16
 LEADERS = 4
 #: Members of a large component that other classes are first held against.
 REPRESENTATIVES = 64
-#: Bits of the filter that texts pass before they are shuffled, as a power of two: four megabytes, good for some millions
-#: of texts in pairs.
-BLOOM_BITS = 25
+#: Bits of the map that texts pass before they are shuffled, as a power of two: 2^18 rows of 64 bits at most, good for some
+#: millions of texts in pairs.
+FILTER_BITS = 24
 #: Partners of one leader that are verified in one place, and entries of one list that meet in one task.
 SALT_ROWS, LIST_ROWS = 2000, 4000
 
@@ -181,33 +181,16 @@ def signatures(docs: DataFrame, levels: np.ndarray, *, key: str = "doc_id", text
 
 
 def _candidates(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """key, mark, text of all rows that ``wanted`` (w_key, w_mark) holds, and of a few others: a Bloom filter of a fixed
-    size keeps most other texts from being shuffled. With more keys than it is made for it only lets more through."""
-
-    def places(k: str, mark: str) -> list[Column]:
-        one, two = F.xxhash64(k, mark), F.xxhash64(k, mark, F.lit(1))
-        return [F.pmod(h, F.lit(1 << BLOOM_BITS)) for h in (one, F.shiftrightunsigned(one, 32), two)]
-
-    p = wanted.select(F.explode(F.array(*places("w_key", "w_mark"))).alias("p"))
-    bit = F.expr("shiftleft(1L, cast(p % 64 as int))")
-    # one row for each word of the filter at most
-    words = p.groupBy(F.expr("p div 64").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    table = np.zeros(1 << BLOOM_BITS >> 6, np.uint64)
-    table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    shared = docs.sparkSession.sparkContext.broadcast(table)  # a bit a place: a fixed size
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        for batch in batches:
-            there = np.ones(batch.num_rows, bool)
-            for c in range(3, 6):
-                p = batch.column(c).to_numpy().astype(np.uint64)
-                there &= (table[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)) > 0
-            yield batch.select(["key", "mark", "text"]).filter(pa.array(there))
-
-    rows = docs.select(F.col(key).alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("mark"), F.col(text).alias("text"))
-    rows = rows.select("*", *(p.alias(f"p{i}") for i, p in enumerate(places("key", "mark"))))
-    return rows.mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, mark long, text string")
+    """key, mark, text of all rows that ``wanted`` (w_key, w_mark) holds, and of a few others: a bitmap of hashes, of a
+    fixed size, keeps most other texts from being shuffled. With more keys than it is made for it only lets more
+    through."""
+    place = lambda k, mark: F.pmod(F.xxhash64(k, mark), F.lit(1 << FILTER_BITS))
+    bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
+    words = wanted.select(place("w_key", "w_mark").alias("place")).groupBy(F.expr("place div 64").alias("word")).agg(F.bit_or(bit).alias("bits"))
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("mark"), F.col(text).alias("text")).withColumn("place", place("key", "mark"))
+    # a row for each 64 bits of the map at most
+    there = (F.expr("place div 64") == F.col("word")) & (bit.bitwiseAND(F.col("bits")) != 0)
+    return rows.join(F.broadcast(words), there, "left_semi").select("key", "mark", "text")
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, tables: store.Scratch, *, key: str, text: str, k: int, t: int) -> DataFrame:

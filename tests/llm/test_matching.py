@@ -375,7 +375,7 @@ def test_secret_links_are_brute_force(spark):
 def test_candidates_hold_all_that_is_wanted(spark, monkeypatch):
     from cellgrove.llm import ngram_join
 
-    monkeypatch.setattr(ngram_join, "BLOOM_BITS", 12)
+    monkeypatch.setattr(ngram_join, "FILTER_BITS", 12)
     docs = spark.createDataFrame([(i if i % 9 else None, f"text {i}" if i % 7 else None, "clash") for i in range(2000)], "doc_id long, text string, mark string")
     marked = docs.selectExpr("doc_id AS w_key", "xxhash64(coalesce(text, '')) AS w_mark", "text")
     some = marked.where("text like '%1'")
