@@ -79,7 +79,8 @@ def within_distance(points: DataFrame, segments: DataFrame, radius: Column | flo
     bounding box of a part touches, points to their own; the join is on the bucket, the exact distance decides. A
     pair is taken where the point meets the part that is nearest to it, so it appears once. ``bucket`` is the radius
     (1, a cell, at least) unless given, and where radii differ the power of two above each: a part touches nine
-    buckets or so whatever the radius.
+    buckets or so whatever the radius. A long segment has many parts: where segments share their ends and pairs are
+    only summed up, ``by_shape`` goes before.
     """
     n = free_names(["r", "size", "parts", "part", "bx", "by"], [*points.columns, *segments.columns])
     s = segments.withColumn(n["r"], radius if isinstance(radius, Column) else F.lit(float(radius))).where(F.col(n["r"]).isNotNull())
@@ -106,9 +107,18 @@ def within_distance(points: DataFrame, segments: DataFrame, radius: Column | flo
     return p.join(s, [n["size"], n["bx"], n["by"]]).where(near & (F.col(n["part"]) == own)).drop(n["size"], n["bx"], n["by"], n["r"], n["part"], n["parts"])
 
 
+def by_shape(segments: DataFrame, *more: str, **figures: Column) -> DataFrame:
+    """x1, y1, x2, y2, ``more`` columns that tell shapes apart, and ``figures``, aggregates of a shape's segments: one row
+    for each shape, so that a distance join meets it once, however many segments have it."""
+    ends = ["x1", "y1", "x2", "y2", *more]
+    return segments.groupBy(*ends).agg(*(c.alias(n) for n, c in figures.items())) if figures else segments.select(*ends).distinct()
+
+
 def near_any(points: DataFrame, segments: DataFrame, radius: Column | float, **how) -> DataFrame:
     """The points with a segment within the radius, each once (a dissolved buffer)."""
-    return within_distance(points, segments, radius, **how).select(*points.columns).distinct()
+    n = free_names(["r"], [*points.columns, *segments.columns])["r"]
+    shapes = by_shape(segments.withColumn(n, radius if isinstance(radius, Column) else F.lit(float(radius))), n)
+    return within_distance(points, shapes, F.col(n) if isinstance(radius, Column) else radius, **how).select(*points.columns).distinct()
 
 
 def bounds(df: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -159,7 +159,7 @@ def storm_cells(cells: DataFrame, tracks: DataFrame, metres_per_radius: float =
     mean = sum((F.coalesce(F.col(c), F.lit(0)) for c in r), F.lit(0)).cast("double") / F.nullif(n, F.lit(0))
     strong = tracks.where(F.coalesce(F.col("sshs"), F.lit(0)) >= least).withColumn("radius", mean * metres_per_radius).where("radius is not null")
     centres = cells.select("row", "col").withColumns({"x": F.col("col") + 0.5 if x is None else x, "y": F.col("row") + 0.5 if y is None else y})
-    met = geo.within_distance(centres, strong, F.col("radius"))
+    met = geo.within_distance(centres, geo.by_shape(strong, "radius", sshs=F.max("sshs")), F.col("radius"))
     return met.groupBy("row", "col").agg(F.max("sshs").alias("sshs")).select("row", "col", storm_class(F.col("sshs")).alias("cls"))
 
 

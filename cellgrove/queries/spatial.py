@@ -72,7 +72,10 @@ def _(s, d):
 @query("j16_distance_join", f"SELECT line_id, count(*) AS cells FROM grid JOIN roads ON {fx.DISTANCE_SQL} <= 4e0 GROUP BY line_id", "grid", "roads")
 def _(s, d):
     centres = fx.grid(s).withColumns({"x": F.col("col") + 0.5, "y": F.col("row") + 0.5})
-    return geo.within_distance(centres, fx.roads(s, d), 2.0).groupBy("line_id").agg(F.count("*").alias("cells"))
+    roads = fx.roads(s, d).select("line_id", "x1", "y1", "x2", "y2")
+    ends = ["x1", "y1", "x2", "y2"]
+    cells = geo.within_distance(centres, geo.by_shape(roads), 2.0).groupBy(*ends).agg(F.count("*").alias("n"))
+    return roads.join(cells, ends).groupBy("line_id").agg(F.sum("n").alias("cells"))
 
 
 @query("j16_wide_radius", f"SELECT count(*) AS pairs, CAST(sum(line_id) AS BIGINT) AS lines FROM (SELECT line_id, px * 1000e0 AS px, py * 1000e0 AS py, x1 * 1000e0 AS x1, y1 * 1000e0 AS y1, x2 * 9000e0 AS x2, y2 * 1000e0 AS y2 FROM grid, roads) WHERE {fx.DISTANCE_SQL} <= 4e6", "grid", "roads")
@@ -80,7 +83,8 @@ def _(s, d):
     """Metres, long segments and a radius of 2,000."""
     centres = fx.grid(s).select(((F.col("col") + 0.5) * 1000).alias("x"), ((F.col("row") + 0.5) * 1000).alias("y"))
     lines = fx.roads(s, d).select("line_id", *((F.col(c) * (9000 if c == "x2" else 1000)).alias(c) for c in ("x1", "y1", "x2", "y2")))
-    return geo.within_distance(centres, lines, 2000.0).agg(F.count("*").alias("pairs"), F.sum("line_id").alias("lines"))
+    shapes = geo.by_shape(lines, n=F.count("*"), ids=F.sum("line_id"))
+    return geo.within_distance(centres, shapes, 2000.0).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"), F.sum("ids").alias("lines"))
 
 
 @query("p09_box_overlap", "WITH_BOX SELECT a.unit_id AS a, b.unit_id AS b FROM box a JOIN box b ON a.unit_id < b.unit_id AND a.x_min - 4 < b.x_max AND a.x_max + 4 > b.x_min AND a.y_min - 4 < b.y_max AND a.y_max + 4 > b.y_min", "edges")

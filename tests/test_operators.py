@@ -167,6 +167,27 @@ def test_distance_join_is_brute_force_at_any_radius(spark):
         assert got == sorted((i, v[0]) for i, x, y in p for v in s if apart(x, y, *v[1:5]) <= of(v))
 
 
+def test_segments_of_one_shape_are_met_once(spark, monkeypatch, data):
+    from cellgrove.queries import spatial
+
+    points = spark.createDataFrame([(i, float(i), 0.0) for i in range(6)], "id int, x double, y double")
+    rows = [(1, 0.0, 0.0, 1.0, 0.0), (2, 0.0, 0.0, 1.0, 0.0), (3, -0.0, 0.0, 1.0, 0.0), (4, 5.0, 0.0, 5.0, 0.0), (None, 5.0, 0.0, 5.0, 0.0), (6, None, 0.0, 1.0, 0.0)]
+    lines = spark.createDataFrame(rows, "line_id int, x1 double, y1 double, x2 double, y2 double")
+    shapes = geo.by_shape(lines, n=F.count("*"), ids=F.sum("line_id"))
+    got = geo.within_distance(points, shapes, 1.0).agg(F.sum("n"), F.sum("ids")).first()
+    want = geo.within_distance(points, lines, 1.0).agg(F.count("*"), F.sum("line_id")).first()
+    assert tuple(got) == tuple(want) == (13, 26)
+    # whoever only sums pairs up joins no two segments of one shape and radius
+    joined, join = [], geo.within_distance
+    monkeypatch.setattr(geo, "within_distance", lambda p, s, r, **how: (joined.append((s, r)), join(p, s, r, **how))[1])
+    assert {r.id for r in geo.near_any(points, lines, F.lit(1.0)).collect()} == {0, 1, 2, 4, 5}
+    for name in ("j10_units_near_roads", "j16_distance_join", "j16_wide_radius"):
+        spatial.FUNCTIONS[name](spark, data)
+    for s, r in joined:
+        assert s.count() == s.select("x1", "y1", "x2", "y2", r if not isinstance(r, float) else F.lit(r)).distinct().count()
+    assert len(joined) == 4
+
+
 def test_holes_count_off_whichever_way_they_run(spark):
     shell, hole = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)], [(2.0, 2.0), (4.0, 2.0), (4.0, 4.0), (2.0, 4.0)]
     rows = [("A", 0, shell), ("A", 1, hole), ("B", 0, shell), ("B", 1, hole[::-1]), ("C", 0, shell), ("C", 1, [(x + 20, y) for x, y in hole])]
