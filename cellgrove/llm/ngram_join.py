@@ -9,8 +9,10 @@
 3. Links that span most components are found first: every class is verified against a few leaders, those
    it shares most lists with, and then against some members of the largest component of each of its lists.
 4. Then all pairs of classes that still lie in different components are filtered where a list is joined with
-   itself, before they become rows: sizes must fit, and the shared shingle must stand early enough in both
-   prefixes for the overlap that these two sizes need. Of distinct pairs the Hamming distance of the sets' parity
+   itself, before they become rows: sizes must fit, the shared shingle must stand early enough in both
+   prefixes for the overlap that these two sizes need, and from it on both prefixes must have as many shingles in lists
+   with other components as a link has in common there. A pair with a common shingle shortly before is left to that
+   one's list. Of distinct pairs the Hamming distance of the sets' parity
    bitmaps, which no symmetric difference is smaller than, must not exceed what the threshold allows. All this
    only turns away pairs that can't link. Pairs within one component need no verification, and no link between
    components is lost.
@@ -58,6 +60,8 @@ REPRESENTATIVES = 64
 FILTER_BITS = 24
 #: Partners of one leader that are verified in one place, and entries of one list that meet in one task.
 SALT_ROWS, LIST_ROWS = 2000, 4000
+#: Live shingles before its own that an entry names: a pair that has one of them in common meets there.
+EARLIER = 8
 
 
 def shingles(w: Words, n_texts: int, k: int = SHINGLE) -> list[np.ndarray]:
@@ -251,11 +255,25 @@ def _within_reach(shared: Column, twin: Column, n_a: Column, n_b: Column, t: int
 
 def _may_link(a: str, b: str, t: int) -> Column:
     """What two entries of one list must fulfil if their sets link and no shingle before this one is common: sizes,
-    and places of the shingle in both prefixes. The first common shingle fulfils it for every link."""
+    places of the shingle in both prefixes, as many live entries left in both as the prefixes need in common, and no
+    common one among the last before. The first common shingle fulfils it for every link."""
     x, y = (lambda c: F.col(f"{a}.{c}")), (lambda c: F.col(f"{b}.{c}"))
     need = _needed(x("n"), y("n"), t)
     sizes = (100 * x("n") >= t * y("n")) & (100 * y("n") >= t * x("n"))
-    return sizes & (x("pos") <= x("n") - need) & (y("pos") <= y("n") - need)
+    left = _within_reach(F.least(x("left"), y("left")), x("token"), x("n"), y("n"), t)
+    return sizes & (x("pos") <= x("n") - need) & (y("pos") <= y("n") - need) & left & ~F.arrays_overlap(x("earlier"), y("earlier"))
+
+
+def _with_left(live: DataFrame, t: int) -> DataFrame:
+    """``live`` entries with ``left``, how many the class has from this shingle on (every prefix shingle that two classes
+    of different components share is live in both), and the last ones ``earlier``, without those that have too few left
+    for any size in their list (from ``low`` to ``high``). What a link needs in common is least for the sizes farthest
+    from its own; rounding takes one."""
+    w = Window.partitionBy("cid").orderBy(F.desc("token"))
+    counted = live.withColumns({"left": F.row_number().over(w), "earlier": F.collect_list("token").over(w.rowsBetween(1, EARLIER))})
+    far = (F.greatest("low", t * F.col("n") / 100.0), F.least("high", 100.0 * F.col("n") / t))
+    smaller, larger = (_within_reach(F.col("left") + 1, F.col("token"), F.col("n"), size, t) for size in far)
+    return counted.where(smaller | larger).drop("low", "high")
 
 
 def _by_bitmaps(pairs: DataFrame, classes: DataFrame, tables: store.Scratch, t: int) -> DataFrame:
@@ -282,9 +300,10 @@ def _cross_pairs(entries: DataFrame, parts: DataFrame, classes: DataFrame, table
     """Stored distinct pairs (a, b) of classes in different components that may link. ``some``: only pairs with
     representatives of the component that has most members in the list."""
     now = _labelled(entries, parts)
-    blocks = now.groupBy("token", "component").agg(F.count("*").alias("members"))
-    lists = blocks.groupBy("token").agg(F.count("*").alias("blocks"), F.sum("members").alias("size"), F.max(F.struct("members", "component")).alias("top")).where("blocks > 1")
-    live = tables.put("live", now.join(lists.select("token", F.ceil(F.col("size") / LIST_ROWS).alias("salts"), F.col("top.component").alias("top")), "token"))
+    blocks = now.groupBy("token", "component").agg(F.count("*").alias("members"), F.min("n").alias("low"), F.max("n").alias("high"))
+    lists = blocks.groupBy("token").agg(F.count("*").alias("blocks"), F.sum("members").alias("size"), F.min("low").alias("low"), F.max("high").alias("high"), F.max(F.struct("members", "component")).alias("top")).where("blocks > 1")
+    lists = lists.select("token", F.ceil(F.col("size") / LIST_ROWS).alias("salts"), F.col("top.component").alias("top"), "low", "high")
+    live = tables.put("live", _with_left(now.join(lists, "token"), t))
     # outside the largest component, against all of the list: the largest one isn't paired with itself
     a = live.where("component <> top").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
     b = live.withColumn("salt", F.pmod(F.xxhash64("cid"), F.col("salts")))

@@ -117,6 +117,28 @@ def test_one_large_group_of_near_misses(spark, monkeypatch):
     assert got == brute_components(rows) and len({c for _, c in got.values()}) > 5
 
 
+def test_near_misses_make_few_pairs(spark, monkeypatch):
+    """Texts that share a good part of their shingles, but not what a link needs, aren't paired in every list."""
+    rows = [(i, " ".join(words_of(80, 30) + words_of(120, 400 + i))) for i in range(40)]
+    for i in range(12):
+        w, r = words_of(150, 31), random.Random(i)
+        for at in r.sample(range(150), r.choice((1, 2, 3, 4))):
+            w[at] = f"edit{i}x{at}"
+        rows.append((100 + i, " ".join(w[: 150 - r.choice((0, 10, 25))])))
+    made, put = [], ngram_join.store.Scratch.put
+
+    def counted(tables, name, df):
+        stored = put(tables, name, df)
+        if name == "met":
+            made.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(ngram_join.store.Scratch, "put", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_components(rows) and len({c for i, (_, c) in got.items() if i >= 100}) < 12
+    assert made and max(made) < 40 * 39 / 2 / 4
+
+
 def test_ngram_join_empty(spark):
     assert ngram_join.report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
