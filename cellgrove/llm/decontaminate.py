@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from . import store
 from .columns import free_name
-from .words import ALNUM, Words, chunks, utf8
+from .words import ALNUM, SMALL_CHUNK, Words, chunks, utf8
 
 WINDOW = 10
 #: Benchmark text that one broadcast may hold, with about 28 bytes a window besides; a larger benchmark is scanned in
@@ -107,7 +107,7 @@ def _mark(df: DataFrame, grams) -> DataFrame:
         for batch in batches:
             texts = utf8(batch.column("text"))
             n_words, runs, items = [], [], []
-            for begin, end in chunks(texts):
+            for begin, end in chunks(texts, SMALL_CHUNK):
                 w = Words(texts[begin:end], ALNUM)
                 mask, found = g.scan(w)
                 for i in range(end - begin):

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from . import store
 from .components import components, extended
-from .words import SPACED, Words, chunks, utf8
+from .words import SMALL_CHUNK, SPACED, Words, chunks, utf8
 
 SHINGLE = 5
 #: The threshold in hundredths: 100 * intersection >= T * union.
@@ -91,7 +91,7 @@ def prefix_length(n: int, t: int = T) -> int:
 
 def _sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
     texts = utf8(column)
-    for begin, end in chunks(texts):
+    for begin, end in chunks(texts, SMALL_CHUNK):
         yield from shingles(Words(texts[begin:end], SPACED), end - begin, k)
 
 
@@ -105,14 +105,15 @@ def frequencies(docs: DataFrame, *, text: str = "text", k: int = SHINGLE) -> np.
 
         def flush() -> None:
             if held:
-                table[:] += np.bincount(np.concatenate(held) & np.uint64((1 << SKETCH_BITS) - 1), minlength=len(table)).astype(np.uint32)
+                each, n = np.unique(np.concatenate(held) & np.uint64((1 << SKETCH_BITS) - 1), return_counts=True)
+                table[each] += n.astype(np.uint32)
                 held.clear()
 
         for batch in batches:
             for s in _sets(batch.column(0), k):
                 held.append(s)
                 n += len(s)
-                if n > 2_000_000:
+                if n > 500_000:
                     flush()
                     n = 0
         flush()

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .columns import free_name
-from .words import _BYTE_VALUE, ALNUM, Words, _power, chunks, mix, utf8
+from .words import _BYTE_VALUE, ALNUM, SMALL_CHUNK, Words, _power, chunks, mix, utf8
 
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 1600, 2800, 24 << 20
 #: Rows of the embedding table, and their width.
@@ -268,7 +268,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", name: str = "sco
         model, known = shared.value, _Known()
         for batch in batches:
             texts, out = utf8(batch.column(text)), []
-            for begin, end in chunks(texts):
+            for begin, end in chunks(texts, SMALL_CHUNK):
                 w = Words(texts[begin:end], ALNUM)
                 upto = np.append(0, np.cumsum(known.scores(model, w), dtype=np.float64)) if len(w.hashes) else np.zeros(1)
                 n = np.diff(w.first)

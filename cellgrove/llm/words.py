@@ -11,7 +11,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+#: Bytes of texts handled at a time, and where several workers of one executor count: about ten numbers of 8 bytes are held
+#: for each.
+CHUNK_BYTES, SMALL_CHUNK = 1 << 20, 1 << 18
 
 
 def _splitmix(seed: int, n: int) -> np.ndarray:
@@ -104,11 +106,11 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
-def chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about CHUNK_BYTES; a longer text is a range of its own. Texts are never cut."""
+def chunks(texts: list[bytes], most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``most`` bytes; a longer text is a range of its own. Texts are never cut."""
     begin, size = 0, 0
     for i, t in enumerate(texts):
-        if size and size + len(t) > CHUNK_BYTES:
+        if size and size + len(t) > most:
             yield begin, i
             begin, size = i, 0
         size += len(t) + 1

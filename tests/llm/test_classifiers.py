@@ -230,3 +230,44 @@ def test_held_out_labels_change_nothing(spark, data):
     assert other.exceptAll(labels).count() > 0
     (one, a), (two, b) = toxicity.sample(docs, labels), toxicity.sample(docs, other)
     assert a == b and sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+
+
+def test_pipeline_workers_hold_small_parts(spark, data):
+    """Arrow batches are bounded by bytes once a stage was called, not by rows alone, and ``run`` takes the bound back."""
+    import corpus_pipeline
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["size"])
+
+    bound = corpus_pipeline._BOUND
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    many = spark.range(0, 400, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 10000) AS text")
+    spark.conf.unset(bound)
+    try:
+        corpus_pipeline.drop_copies(spark, docs, data)
+        got = [r.size for r in many.mapInArrow(sizes, "size long").collect()]
+        assert sum(got) > 3 * corpus_pipeline.BATCH_BYTES and max(got) < 1.1 * corpus_pipeline.BATCH_BYTES
+        spark.conf.unset(bound)
+        corpus_pipeline.run(spark, data)
+        assert spark.conf.get(bound, None) is None
+        spark.conf.set(bound, "1m")
+        corpus_pipeline.drop_copies(spark, docs, data)
+        assert spark.conf.get(bound) == "1m"
+    finally:
+        spark.conf.unset(bound)
+
+
+def test_texts_are_hashed_in_small_parts():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array([f"w{i} " * 900 for i in range(1500)])
+    tracemalloc.start()
+    try:
+        assert sum(map(len, ngram_join._sets(texts, 5))) == 1500
+        assert tracemalloc.get_traced_memory()[1] < 25e6
+    finally:
+        tracemalloc.stop()
